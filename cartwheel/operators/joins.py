@@ -1,0 +1,17 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows.  Larger inputs are returned
+    unchanged, so the planner (sort-merge or its own size-checked broadcast,
+    with adaptive re-planning) decides.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
