@@ -70,3 +70,62 @@ _model("fct_geography_revenue", _cast(
     dbl={"total_revenue", "total_profit"}, big={"country_rank"}))
 _model("daily_revenue", _cast(
     "order_date, order_count, total_revenue, total_items_sold, avg_order_value", dbl={"total_revenue"}))
+_model("fct_customer_orders", _cast(
+    "user_id, first_order_at, last_order_at, customer_lifespan_days, days_since_last_order, total_orders, "
+    "total_revenue, total_profit, total_items, total_returns, return_rate, avg_order_value, avg_items_per_order, "
+    "customer_status, signup_cohort, age_group, country", dbl={"total_revenue", "total_profit"}))
+_model("fct_rfm_scores", _cast(
+    "user_id, recency_days, frequency, monetary, recency_score, frequency_score, monetary_score, rfm_code, "
+    "rfm_segment", dbl={"monetary"}))
+_model("fct_customer_cohorts", _cast(
+    "user_id, signup_cohort, activity_month, months_since_signup, orders_in_month, items_in_month, "
+    "revenue_in_month, is_active, cumulative_orders, cumulative_revenue",
+    dbl={"revenue_in_month", "cumulative_revenue"}))
+_model("fct_customer_retention", _cast(
+    "signup_cohort, months_since_signup, cohort_size, active_customers, retention_rate, total_revenue, "
+    "avg_revenue_per_active_customer, cumulative_revenue_per_customer", dbl={"total_revenue"}))
+_model("fct_cohort_revenue", _cast(
+    "signup_cohort, order_month, months_since_signup, total_cohort_users, active_customers, total_orders, "
+    "total_revenue, cumulative_revenue_total, active_pct, avg_revenue_per_active_user, ltv_to_date",
+    dbl={"total_revenue", "cumulative_revenue_total"}))
+_model("fct_product_performance", _cast(
+    "product_id, product_name, brand, category, department, product_retail_price, cost, total_units_sold, "
+    "total_revenue, total_profit, total_orders_containing, avg_sale_price, first_sold_at, last_sold_at, "
+    "units_returned, revenue_lost_to_returns, return_rate, profit_margin_pct, days_since_last_sale",
+    dbl={"product_retail_price", "cost", "total_revenue", "total_profit", "revenue_lost_to_returns"}))
+_model("fct_category_performance", _cast(
+    "category, department, order_month, total_units_sold, total_revenue, total_profit, avg_sale_price, "
+    "order_count, unique_customers, items_returned, return_rate, category_rank_by_revenue",
+    dbl={"total_revenue", "total_profit"}))
+_model("fct_brand_performance", _cast(
+    "brand, order_month, total_units_sold, total_revenue, total_profit, avg_sale_price, order_count, "
+    "unique_customers, distinct_products_sold, items_returned, return_rate, brand_rank_by_revenue",
+    dbl={"total_revenue", "total_profit"}))
+_model("fct_product_affinity", "*")
+_model("fct_order_status", _cast(
+    "order_month, order_status, order_count, item_count, revenue, pct_of_month_orders, pct_of_month_revenue, "
+    "avg_order_value", dbl={"revenue"}))
+_model("fct_fulfillment", _cast(
+    "order_id, user_id, status, created_at, shipped_at, delivered_at, returned_at, total_revenue, item_count, "
+    "processing_hours, shipping_hours, total_fulfillment_hours, is_shipped_same_day, is_delivered_within_3_days, "
+    "is_delivered_within_7_days", dbl={"total_revenue"}))
+_model("fct_fulfillment_summary", "*")
+_model("fct_returns", _cast(
+    "product_id, product_name, brand, category, department, total_orders, total_units_sold, total_revenue, "
+    "returned_orders, returned_units, revenue_lost_to_returns, avg_days_to_return, return_rate",
+    dbl={"total_revenue", "revenue_lost_to_returns"}))
+_model("fct_distribution_center_performance", _cast(
+    "distribution_center_id, order_month, items_shipped, total_revenue, unique_products, avg_processing_hours, "
+    "items_returned, distribution_center_name, latitude, longitude, return_rate", dbl={"total_revenue"}))
+_model("fct_sessions", "*")
+_model("fct_web_funnel", "*")
+_model("fct_traffic_source_performance", _cast(
+    "traffic_source, event_month, total_sessions, unique_users, conversions, revenue, bounce_sessions, "
+    "avg_events_per_session, conversion_rate, revenue_per_session, bounce_rate", dbl={"revenue"}))
+_model("fct_browser_performance", _cast(
+    "browser, event_month, total_sessions, conversions, revenue, conversion_rate, revenue_per_session",
+    dbl={"revenue"}))
+_model("vw_orders", _cast("order_id, order_date, user_country, order_status, revenue, item_count", dbl={"revenue"}))
+_model("vw_users", _cast("user_id, country, city, age, gender, total_orders, first_order_at, lifetime_revenue",
+                         dbl={"lifetime_revenue"}, big={"total_orders"}))
+_model("vw_daily_revenue", _cast("order_date, daily_revenue, order_count, avg_order_value", dbl={"daily_revenue"}))
