@@ -129,3 +129,223 @@ _model("vw_orders", _cast("order_id, order_date, user_country, order_status, rev
 _model("vw_users", _cast("user_id, country, city, age, gender, total_orders, first_order_at, lifetime_revenue",
                          dbl={"lifetime_revenue"}, big={"total_orders"}))
 _model("vw_daily_revenue", _cast("order_date, daily_revenue, order_count, avg_order_value", dbl={"daily_revenue"}))
+
+# --- metric queries ----------------------------------------------------------
+from cartwheel.oracle.duckdb_sql import avg_exact, sdiv  # noqa: E402
+from cartwheel.plans.quality import CHECKS  # noqa: E402
+
+
+def _daily(lo: str, hi: str) -> str:
+    return sql(f"""
+SELECT order_date AS date, CAST(SUM(daily_revenue) AS DOUBLE) AS total_revenue,
+       CAST(SUM(order_count) AS BIGINT) AS total_orders
+FROM vw_daily_revenue WHERE order_date BETWEEN DATE '{lo}' AND DATE '{hi}'
+GROUP BY 1 ORDER BY 1 LIMIT 100""", "vw_daily_revenue")
+
+
+ORACLES["metric_daily_revenue"] = _daily("2025-12-01", "2025-12-30")
+ORACLES["metric_daily_revenue_365"] = _daily("2024-12-31", "2025-12-30")
+ORACLES["metric_revenue_by_country"] = sql("""
+SELECT user_country AS country, CAST(SUM(revenue) AS DOUBLE) AS total_revenue, COUNT(*) AS count
+FROM vw_orders GROUP BY 1 ORDER BY SUM(revenue) DESC NULLS LAST, country ASC NULLS FIRST LIMIT 20""", "vw_orders")
+ORACLES["metric_order_totals"] = sql(f"""
+SELECT COUNT(*) AS count, CAST(SUM(revenue) AS DOUBLE) AS total_revenue, {avg_exact('revenue')} AS avg_order_value
+FROM vw_orders""", "vw_orders")
+ORACLES["metric_user_totals"] = sql("""
+SELECT COUNT(*) AS count, CAST(SUM(total_orders) AS BIGINT) AS total_orders_placed FROM vw_users""", "vw_users")
+ORACLES["metric_orders_by_status"] = sql("""
+SELECT order_status AS status, COUNT(*) AS count, CAST(SUM(revenue) AS DOUBLE) AS total_revenue
+FROM vw_orders GROUP BY 1 ORDER BY count DESC, status ASC NULLS FIRST LIMIT 100""", "vw_orders")
+ORACLES["metric_time_grain"] = sql(f"""
+SELECT order_status AS status, CAST(date_trunc('quarter', order_date) AS DATE) AS order_date,
+       CAST(SUM(revenue) AS DOUBLE) AS total_revenue, COUNT(*) AS count, {avg_exact('revenue')} AS avg_order_value
+FROM vw_orders WHERE order_date BETWEEN DATE '2021-01-01' AND DATE '2024-12-31'
+GROUP BY 1, 2""", "vw_orders")
+ORACLES["metric_filtered"] = sql("""
+SELECT * FROM (
+  SELECT user_country AS country, COUNT(*) AS count, CAST(SUM(revenue) AS DOUBLE) AS total_revenue
+  FROM vw_orders WHERE order_status IN ('Complete', 'Shipped') AND (user_country <> 'CHINA' OR user_country IS NULL)
+  GROUP BY 1) t WHERE count > 100""", "vw_orders")
+
+# --- ad-hoc analyses ---------------------------------------------------------
+ORACLES["topk_products_by_return_rate"] = sql("""
+SELECT product_name, return_rate, total_units_sold FROM fct_product_performance WHERE total_units_sold > 10
+ORDER BY return_rate DESC NULLS LAST, product_id LIMIT 10""", "fct_product_performance")
+ORACLES["champions_list"] = sql("""
+SELECT user_id, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary, rfm_segment FROM fct_rfm_scores
+WHERE rfm_segment = 'Champions' ORDER BY user_id LIMIT 100""", "fct_rfm_scores")
+ORACLES["monthly_growth_last_12"] = sql("""
+SELECT order_month, CAST(total_revenue AS DOUBLE) AS total_revenue, mom_growth_pct, yoy_growth_pct
+FROM fct_monthly_revenue ORDER BY order_month DESC LIMIT 12""", "fct_monthly_revenue")
+ORACLES["latest_month_revenue"] = sql("""
+SELECT order_month, CAST(total_revenue AS DOUBLE) AS total_revenue FROM fct_monthly_revenue
+ORDER BY order_month DESC LIMIT 1""", "fct_monthly_revenue")
+ORACLES["purchase_rate_by_source"] = sql(f"""
+SELECT *, {sdiv('sessions_with_purchase', 'total_sessions')} AS purchase_rate FROM (
+  SELECT traffic_source, CAST(SUM(total_sessions) AS BIGINT) AS total_sessions,
+         CAST(SUM(sessions_with_purchase) AS BIGINT) AS sessions_with_purchase
+  FROM fct_web_funnel GROUP BY 1) t""", "fct_web_funnel")
+ORACLES["brands_over_10k"] = sql("""
+SELECT brand, CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue FROM fct_brand_performance
+GROUP BY brand HAVING SUM(total_revenue) > 10000""", "fct_brand_performance")
+
+
+def _cat_sales(lo: str, hi: str) -> str:
+    return f"""SELECT category, CAST(SUM(sale_price) AS DOUBLE) AS total_sales, COUNT(*) AS units_sold
+FROM int_order_items_enriched WHERE order_date BETWEEN DATE '{lo}' AND DATE '{hi}' GROUP BY category"""
+
+
+ORACLES["category_sales_last_30_days"] = sql(_cat_sales("2025-12-01", "2025-12-30"), "int_order_items_enriched")
+ORACLES["category_sales_last_365_days"] = sql(_cat_sales("2024-12-31", "2025-12-30"), "int_order_items_enriched")
+ORACLES["top8_categories"] = sql(
+    "SELECT * FROM (" + _cat_sales("2024-12-31", "2025-12-30") + ") s ORDER BY total_sales DESC NULLS LAST, category LIMIT 8",
+    "int_order_items_enriched")
+ORACLES["cohort_retention_lookup"] = sql("""
+SELECT signup_cohort, months_since_signup, cohort_size, active_customers, retention_rate,
+       CAST(total_revenue AS DOUBLE) AS total_revenue, avg_revenue_per_active_customer, cumulative_revenue_per_customer
+FROM fct_customer_retention WHERE signup_cohort = '2020-01'""", "fct_customer_retention")
+ORACLES["segment_summary"] = sql(f"""
+SELECT rfm_segment, COUNT(*) AS customers, {avg_exact('recency_days')} AS avg_recency_days,
+       {avg_exact('frequency')} AS avg_frequency, {avg_exact('monetary')} AS avg_monetary,
+       CAST(SUM(monetary) AS DOUBLE) AS total_monetary
+FROM fct_rfm_scores GROUP BY 1""", "fct_rfm_scores")
+ORACLES["top_customers"] = sql("""
+SELECT user_id, CAST(total_revenue AS DOUBLE) AS total_revenue, total_orders, avg_order_value, customer_status
+FROM fct_customer_orders ORDER BY total_revenue DESC NULLS LAST, user_id LIMIT 10""", "fct_customer_orders")
+ORACLES["kpi_summary"] = sql(f"""
+SELECT *, CASE WHEN COALESCE(total_orders, 0) > 0 THEN {sdiv('total_revenue', 'total_orders')} ELSE 0.0 END AS avg_order_value
+FROM (
+  SELECT CAST(SUM(tr) AS DOUBLE) AS total_revenue, CAST(SUM(tor) AS BIGINT) AS total_orders,
+         CAST(MAX(tr) AS DOUBLE) AS max_daily_revenue, CAST(MIN(tr) AS DOUBLE) AS min_daily_revenue,
+         {avg_exact('tr')} AS avg_daily_revenue, COUNT(*) AS days_of_data
+  FROM (SELECT order_date, SUM(daily_revenue) AS tr, SUM(order_count) AS tor FROM vw_daily_revenue
+        WHERE order_date BETWEEN DATE '2024-12-31' AND DATE '2025-12-30' GROUP BY 1 ORDER BY 1 LIMIT 100) d
+) k""", "vw_daily_revenue")
+ORACLES["sql_adhoc_monthly_by_status"] = sql("""
+SELECT order_month, order_status, order_count, CAST(revenue AS DOUBLE) AS revenue FROM fct_order_status
+WHERE order_status IN ('Complete', 'Returned')""", "fct_order_status")
+
+# --- data-quality checks -----------------------------------------------------
+
+
+def _check_sql(model: str, col: str, test: str, arg) -> str:
+    head = f"SELECT '{model}' AS model, '{col}' AS column_name, '{test}' AS test, CAST("
+    if test == "not_null":
+        return head + f"COUNT(*) AS BIGINT) AS failures FROM {model} WHERE {col} IS NULL"
+    if test == "unique":
+        return head + (f"COUNT(*) AS BIGINT) AS failures FROM (SELECT {col} FROM {model} WHERE {col} IS NOT NULL "
+                       f"GROUP BY {col} HAVING COUNT(*) > 1) d")
+    if test == "accepted_values":
+        vals = ", ".join("'" + v + "'" for v in arg)
+        return head + f"COUNT(DISTINCT {col}) AS BIGINT) AS failures FROM {model} WHERE {col} NOT IN ({vals})"
+    parent, pcol = arg
+    return head + (f"COUNT(*) AS BIGINT) AS failures FROM {model} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
+
+
+def _checks_sql(checks) -> str:
+    models = sorted({c[0] for c in checks} | {c[3][0] for c in checks if c[2] == "relationships"})
+    return sql("\nUNION ALL\n".join(_check_sql(*c) for c in checks), *models)
+
+
+def _of(kind):
+    return [c for c in CHECKS if c[2] == kind]
+
+
+ORACLES["dq_not_null"] = _checks_sql([c for c in _of("not_null") if not c[0].startswith(("fct_customer_c", "vw_"))])
+ORACLES["dq_unique"] = _checks_sql([c for c in _of("unique") if c[0].startswith(("stg_", "int_", "fct_orders", "dim_"))])
+ORACLES["dq_accepted_values"] = _checks_sql(_of("accepted_values"))
+ORACLES["dq_relationships"] = _checks_sql(_of("relationships"))
+ORACLES["dq_report"] = _checks_sql(CHECKS)
+
+# --- primitive-level keys ----------------------------------------------------
+from cartwheel.oracle.duckdb_sql import AS_OF, product_affinity_sql  # noqa: E402
+
+ORACLES["join_left_equi"] = sql("""
+SELECT oi.order_item_id, oi.order_id, o.status AS order_status, o.created_at AS order_created_at
+FROM stg_order_items oi LEFT JOIN stg_orders o ON oi.order_id = o.order_id""", "stg_order_items", "stg_orders")
+ORACLES["join_inner_equi"] = sql("""
+SELECT p.product_id, p.distribution_center_id, d.distribution_center_name
+FROM stg_products p JOIN stg_distribution_centers d ON p.distribution_center_id = d.distribution_center_id""",
+                                 "stg_products", "stg_distribution_centers")
+_GRID = f"""
+SELECT u.user_id, m.activity_month
+FROM dim_users u
+CROSS JOIN (SELECT DISTINCT CAST(date_trunc('month', date_key) AS DATE) AS activity_month FROM dim_date) m
+WHERE m.activity_month >= CAST(date_trunc('month', u.created_at) AS DATE)
+  AND m.activity_month <= CAST(date_trunc('month', {AS_OF}) AS DATE) AND u.user_id IS NOT NULL"""
+ORACLES["join_cross_range"] = sql(_GRID, "dim_users", "dim_date")
+ORACLES["join_left_composite"] = sql(f"""
+SELECT g.user_id, g.activity_month, CAST(COALESCE(o.n, 0) AS BIGINT) AS orders_in_month
+FROM ({_GRID}) g
+LEFT JOIN (SELECT user_id, CAST(date_trunc('month', order_created_at) AS DATE) AS m, COUNT(*) AS n
+           FROM fct_orders GROUP BY 1, 2) o ON g.user_id = o.user_id AND g.activity_month = o.m""",
+                                     "dim_users", "dim_date", "fct_orders")
+ORACLES["join_left_on_date_expr"] = sql("""
+SELECT s.session_id, s.user_id, CAST(COUNT(o.order_id) AS BIGINT) AS same_day_orders,
+       CAST(COALESCE(SUM(o.total_revenue), 0) AS DOUBLE) AS same_day_revenue
+FROM fct_sessions s
+LEFT JOIN fct_orders o ON s.user_id = o.user_id AND CAST(s.session_start_at AS DATE) = CAST(o.order_created_at AS DATE)
+GROUP BY s.session_id, s.user_id""", "fct_sessions", "fct_orders")
+ORACLES["join_self_pairs"] = sql("SELECT * FROM (" + product_affinity_sql(2) + ") x", "int_order_items_enriched")
+ORACLES["join_cross_scalar"] = sql(f"""
+SELECT g.product_id, CAST(g.revenue AS DOUBLE) AS revenue, {sdiv('g.revenue', 't.total')} AS revenue_share
+FROM (SELECT product_id, SUM(sale_price) AS revenue FROM int_order_items_enriched GROUP BY 1) g
+CROSS JOIN (SELECT SUM(sale_price) AS total FROM int_order_items_enriched) t""", "int_order_items_enriched")
+ORACLES["agg_count_distinct_multi"] = sql("""
+SELECT brand, COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT user_id) AS customers,
+       COUNT(DISTINCT product_id) AS products FROM int_order_items_enriched GROUP BY 1""", "int_order_items_enriched")
+ORACLES["agg_conditional_distinct"] = sql("""
+SELECT order_date, COUNT(DISTINCT user_id) AS unique_customers,
+       COUNT(DISTINCT CASE WHEN is_first_order THEN user_id END) AS new_customers FROM fct_orders GROUP BY 1""", "fct_orders")
+ORACLES["agg_countif"] = sql("""
+SELECT date_trunc('month', order_created_at) AS order_month,
+       COUNT(*) FILTER (WHERE order_status = 'Returned') AS returned,
+       COUNT(*) FILTER (WHERE order_status = 'Cancelled') AS cancelled,
+       COUNT(*) FILTER (WHERE shipped_at IS NOT NULL) AS shipped,
+       COUNT(*) FILTER (WHERE order_status IN ('Complete', 'Shipped')) AS open_or_done
+FROM fct_orders GROUP BY 1""", "fct_orders")
+ORACLES["agg_conditional_sum_avg"] = sql(f"""
+SELECT product_id, CAST(SUM(CASE WHEN order_status = 'Returned' THEN sale_price ELSE 0 END) AS DOUBLE) AS revenue_lost_to_returns,
+       {avg_exact("CASE WHEN order_status = 'Returned' THEN date_sub('day', order_delivered_at, order_returned_at) END")} AS avg_days_to_return
+FROM int_order_items_enriched GROUP BY 1""", "int_order_items_enriched")
+ORACLES["win_row_number_first"] = sql("""
+SELECT order_id, user_id, created_at,
+       row_number() OVER (PARTITION BY user_id ORDER BY created_at ASC NULLS FIRST, order_id) = 1 AS is_first_order
+FROM stg_orders""", "stg_orders")
+ORACLES["win_ntile_global"] = sql("""
+SELECT user_id, CAST(total_revenue AS DOUBLE) AS total_revenue, last_order_at,
+       CAST(ntile(4) OVER (ORDER BY total_revenue ASC NULLS FIRST, user_id ASC NULLS FIRST) AS BIGINT) AS revenue_quartile,
+       CAST(ntile(7) OVER (ORDER BY last_order_at DESC NULLS LAST, user_id ASC NULLS FIRST) AS BIGINT) AS recency_septile
+FROM int_user_order_summary""", "int_user_order_summary")
+ORACLES["win_rank_partitioned"] = sql("""
+SELECT brand, order_month, CAST(total_revenue AS DOUBLE) AS total_revenue, brand_rank_by_revenue
+FROM fct_brand_performance""", "fct_brand_performance")
+ORACLES["win_lag"] = sql("""
+SELECT order_month, CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(prev_month_revenue AS DOUBLE) AS prev_month_revenue,
+       CAST(prev_year_revenue AS DOUBLE) AS prev_year_revenue FROM fct_monthly_revenue""", "fct_monthly_revenue")
+ORACLES["win_running_sum_rows"] = sql("""
+SELECT order_month, CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(cumulative_revenue_ytd AS DOUBLE) AS cumulative_revenue_ytd
+FROM fct_monthly_revenue""", "fct_monthly_revenue")
+ORACLES["win_running_sum_partition"] = sql("""
+SELECT user_id, activity_month, orders_in_month, cumulative_orders FROM fct_customer_cohorts""", "fct_customer_cohorts")
+ORACLES["fn_safe_divide"] = sql(f"""
+SELECT product_id, returned_units, total_orders, {sdiv('returned_units', 'total_orders')} AS ratio,
+       {sdiv('returned_units', 'returned_units - returned_units')} AS by_zero FROM fct_returns""", "fct_returns")
+ORACLES["fn_date_trunc"] = sql("""
+SELECT order_id, date_trunc('month', order_created_at) AS month_ts, date_trunc('quarter', order_created_at) AS quarter_ts,
+       CAST(date_trunc('month', order_date) AS DATE) AS month_date, CAST(date_trunc('quarter', order_date) AS DATE) AS quarter_date
+FROM fct_orders""", "fct_orders")
+ORACLES["fn_date_diff"] = sql(f"""
+SELECT user_id, CAST(date_diff('day', CAST(created_at AS DATE), {AS_OF}) AS BIGINT) AS days,
+       CAST(date_diff('month', CAST(created_at AS DATE), {AS_OF}) AS BIGINT) AS months FROM dim_users""", "dim_users")
+ORACLES["fn_timestamp_diff"] = sql("""
+SELECT order_id, CAST(date_sub('hour', created_at, delivered_at) AS BIGINT) AS hours,
+       CAST(date_sub('day', created_at, delivered_at) AS BIGINT) AS days,
+       CAST(date_sub('second', created_at, shipped_at) AS BIGINT) AS seconds,
+       CAST(date_sub('hour', delivered_at, created_at) AS BIGINT) AS negative_hours FROM stg_orders""", "stg_orders")
+ORACLES["fn_calendar"] = sql("""
+SELECT order_id, CAST(dayofweek(order_date) + 1 AS BIGINT) AS day_of_week, CAST(strftime(order_date, '%U') AS BIGINT) AS week_of_year,
+       CAST(month(order_date) AS BIGINT) AS month_number, CAST(quarter(order_date) AS BIGINT) AS quarter,
+       CAST(year(order_date) AS BIGINT) AS year, strftime(order_date, '%A') AS day_name, strftime(order_date, '%B') AS month_name
+FROM fct_orders""", "fct_orders")

@@ -9,7 +9,9 @@ from cartwheel.functions import count_if, mean, month_start_ts, safe_divide, ts_
 from cartwheel.operators.joins import broadcast_if_small
 from cartwheel.plans.context import model
 
-RETURNED = F.col("order_status") == "Returned"
+
+def _returned():
+    return F.col("order_status") == "Returned"
 
 
 @model("fct_order_status", "operations")
@@ -76,12 +78,12 @@ def fct_fulfillment_summary(ctx):
 def fct_returns(ctx):
     min_orders = int(ctx.param("min_orders", 10))
     items = ctx.ref("int_order_items_enriched")
-    days_to_return = F.when(RETURNED, ts_diff("DAY", F.col("order_returned_at"), F.col("order_delivered_at")))
+    days_to_return = F.when(_returned(), ts_diff("DAY", F.col("order_returned_at"), F.col("order_delivered_at")))
     agg = items.groupBy("product_id", "product_name", "brand", "category", "department").agg(
         F.countDistinct("order_id").alias("total_orders"), F.count("order_item_id").alias("total_units_sold"),
-        F.sum("sale_price").alias("total_revenue"), count_if(RETURNED).alias("returned_orders"),
-        count_if(RETURNED).alias("returned_units"),
-        F.sum(F.when(RETURNED, F.col("sale_price")).otherwise(F.lit(0))).alias("revenue_lost_to_returns"),
+        F.sum("sale_price").alias("total_revenue"), count_if(_returned()).alias("returned_orders"),
+        count_if(_returned()).alias("returned_units"),
+        F.sum(F.when(_returned(), F.col("sale_price")).otherwise(F.lit(0))).alias("revenue_lost_to_returns"),
         mean(days_to_return).alias("avg_days_to_return"))
     return agg.select("*", safe_divide("returned_orders", "total_orders").alias("return_rate")).where(
         F.col("total_orders") >= min_orders)
@@ -94,7 +96,7 @@ def fct_distribution_center_performance(ctx):
         F.count("order_item_id").alias("items_shipped"), F.sum("sale_price").alias("total_revenue"),
         F.countDistinct("product_id").alias("unique_products"),
         mean(ts_diff("HOUR", F.col("order_shipped_at"), F.col("order_created_at"))).alias("avg_processing_hours"),
-        count_if(RETURNED).alias("items_returned"))
+        count_if(_returned()).alias("items_returned"))
     dcs = broadcast_if_small(ctx.ref("dim_distribution_centers").select(
         F.col("distribution_center_id").alias("_dc_id"), "distribution_center_name", "latitude", "longitude"))
     j = monthly.join(dcs, monthly["distribution_center_id"] == dcs["_dc_id"], "inner").drop("_dc_id")

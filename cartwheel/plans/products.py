@@ -9,7 +9,9 @@ from cartwheel.functions import count_if, day_diff, mean, month_start_ts, safe_d
 from cartwheel.operators.pairs import frequent_pairs, item_basket_counts
 from cartwheel.plans.context import model
 
-RETURNED = F.col("order_status") == "Returned"
+
+def _returned():
+    return F.col("order_status") == "Returned"
 
 
 def sold_items(ctx):
@@ -25,8 +27,8 @@ def fct_product_performance(ctx):
         F.count("order_item_id").alias("total_units_sold"), F.sum("sale_price").alias("total_revenue"),
         F.sum("item_profit").alias("total_profit"), F.countDistinct("order_id").alias("total_orders_containing"),
         mean("sale_price").alias("avg_sale_price"), F.min("order_created_at").alias("first_sold_at"),
-        F.max("order_created_at").alias("last_sold_at"), count_if(RETURNED).alias("units_returned"),
-        F.sum(F.when(RETURNED, F.col("sale_price")).otherwise(F.lit(0))).alias("revenue_lost_to_returns"))
+        F.max("order_created_at").alias("last_sold_at"), count_if(_returned()).alias("units_returned"),
+        F.sum(F.when(_returned(), F.col("sale_price")).otherwise(F.lit(0))).alias("revenue_lost_to_returns"))
     as_of = F.lit(ctx.as_of).cast("date")
     return agg.select(
         "*", safe_divide("units_returned", "total_units_sold").alias("return_rate"),
@@ -41,7 +43,7 @@ def _monthly_perf(ctx, keys, extra_distinct, rank_col):
             F.sum("item_profit").alias("total_profit"), mean("sale_price").alias("avg_sale_price"),
             F.countDistinct("order_id").alias("order_count"), F.countDistinct("user_id").alias("unique_customers")]
     aggs += [F.countDistinct(c).alias(a) for c, a in extra_distinct]
-    aggs.append(count_if(RETURNED).alias("items_returned"))
+    aggs.append(count_if(_returned()).alias("items_returned"))
     monthly = items.groupBy(*keys, month_start_ts("order_created_at").alias("order_month")).agg(*aggs)
     w = Window.partitionBy("order_month").orderBy(F.col("total_revenue").desc_nulls_last())
     return monthly.select("*", safe_divide("items_returned", "total_units_sold").alias("return_rate"),

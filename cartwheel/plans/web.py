@@ -61,8 +61,8 @@ def sessions_with_same_day_orders(ctx):
         F.coalesce(F.col("_rev"), F.lit(0)).alias("_revenue"))
 
 
-def _weighted(pred, mult=F.col("_mult")):
-    return F.sum(F.when(pred, mult).otherwise(F.lit(0)))
+def _weighted(pred):
+    return F.sum(F.when(pred, F.col("_mult")).otherwise(F.lit(0)))
 
 
 @model("fct_traffic_source_performance", "web")

@@ -62,6 +62,7 @@ MODEL_KEYS = [
 
 def all_queries() -> dict[str, QueryFn]:
     load_models()
+    import cartwheel.queries  # noqa: F401  (registers the non-model keys)
     out = {k: model_query(k) for k in MODEL_KEYS}
     out.update(QUERIES)
     return out
