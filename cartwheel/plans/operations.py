@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import count_if, mean, month_start_ts, safe_divide, ts_diff
-from cartwheel.operators.joins import broadcast_if_small
 from cartwheel.plans.context import model
 
 
@@ -97,7 +96,8 @@ def fct_distribution_center_performance(ctx):
         F.countDistinct("product_id").alias("unique_products"),
         mean(ts_diff("HOUR", F.col("order_shipped_at"), F.col("order_created_at"))).alias("avg_processing_hours"),
         count_if(_returned()).alias("items_returned"))
-    dcs = broadcast_if_small(ctx.ref("dim_distribution_centers").select(
-        F.col("distribution_center_id").alias("_dc_id"), "distribution_center_name", "latitude", "longitude"))
+    # a handful of centres: the planner broadcasts it after its own size check
+    dcs = ctx.ref("dim_distribution_centers").select(
+        F.col("distribution_center_id").alias("_dc_id"), "distribution_center_name", "latitude", "longitude")
     j = monthly.join(dcs, monthly["distribution_center_id"] == dcs["_dc_id"], "inner").drop("_dc_id")
     return j.select("*", safe_divide("items_returned", "items_shipped").alias("return_rate"))

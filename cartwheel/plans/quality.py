@@ -10,8 +10,6 @@ map-side-combined group count; relationships is a left-anti join.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,4 +125,12 @@ def run_checks(ctx, checks=None) -> DataFrame:
             elif test == "relationships":
                 parent, pcol = arg
                 parts += _rows(ctx.spark, model, [(col, test, relationships_failures(df, col, ctx.ref(parent), pcol))])
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union as a balanced tree: each union is analyzed once over a log-depth plan."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]

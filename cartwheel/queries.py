@@ -15,7 +15,7 @@ from cartwheel.operators.calendar import SPINE_END, SPINE_START, month_grid, mon
 from cartwheel.operators.ranking import ntile
 from cartwheel.plans import adhoc, metrics, quality
 from cartwheel.plans.core import first_order_flag
-from cartwheel.registry import query
+from cartwheel.registry import context, query
 
 # --- metric queries (MQ4-MQ8, MQ10, MQ11) ----------------------------------
 
@@ -236,8 +236,7 @@ def _join_left_on_date_expr(ctx):
 @query("join_self_pairs")
 def _join_self_pairs(ctx):
     """fct_product_affinity with min_support_count=2 (pairs exist at this threshold in the fixtures)."""
-    ctx.params["min_support_count"] = 2
-    return ctx.ref("fct_product_affinity")
+    return context(ctx.spark, ctx.sf_dir, ctx.as_of, min_support_count=2).ref("fct_product_affinity")
 
 
 @query("join_cross_scalar")

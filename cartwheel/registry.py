@@ -21,10 +21,27 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 
+_CONTEXTS: dict[tuple, ModelContext] = {}
+
+
 def context(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, **params) -> ModelContext:
+    """Model context over the fixture sources of ``sf_dir``.
+
+    DataFrames are immutable lazy plans, so contexts with default parameters
+    are kept per (session, sf_dir, as_of): a model shared by several queries
+    is planned once and every query still runs it over the whole tables.
+    """
     configure(spark)
     load_models()
-    return ModelContext(spark, FixtureSources(spark, sf_dir), as_of=as_of, params=params)
+    key = (id(spark), sf_dir.rstrip("/"), str(as_of))
+    if params:
+        ctx = ModelContext(spark, FixtureSources(spark, sf_dir), as_of=as_of, params=params)
+    else:
+        ctx = _CONTEXTS.get(key)
+        if ctx is None or ctx.spark is not spark:
+            ctx = _CONTEXTS[key] = ModelContext(spark, FixtureSources(spark, sf_dir), as_of=as_of)
+    ctx.sf_dir = sf_dir
+    return ctx
 
 
 def query(name: str):

@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.operators.joins import broadcast_if_small
 from cartwheel.operators.ranking import row_number
 
 # Fixed values of the fixture mapping (FIXTURES.md §3).
@@ -27,11 +26,37 @@ EVENT_TYPE_MAP = {"view": "product", "click": "cart", "signup": "home", "error":
                   "purchase": "purchase"}
 TRAFFIC_SOURCES = ["Email", "Adwords", "Organic", "Facebook"]  # by props.k % 4
 
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+# Schemas of the driver tables the adapter reads (given explicitly: no footer inference).
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+DRIVER_TABLES = list(DRIVER_SCHEMAS)
+
+
+class DriverTables:
+    """Driver tables read lazily, one ``spark.read`` per table on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._dfs = spark, sf_dir.rstrip("/"), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._dfs:
+            self._dfs[name] = self.spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._dfs[name]
 
 
-def read_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in DRIVER_TABLES}
+def read_driver(spark: SparkSession, sf_dir: str) -> DriverTables:
+    return DriverTables(spark, sf_dir)
 
 
 def _add_hours(ts: Column, hours: Column) -> Column:
@@ -39,8 +64,9 @@ def _add_hours(ts: Column, hours: Column) -> Column:
 
 
 def map_users(t: dict[str, DataFrame]) -> DataFrame:
-    nation = broadcast_if_small(t["nation"])
-    region = broadcast_if_small(t["region"])
+    # nation/region are tiny; the planner's size-checked broadcast (and AQE at
+    # runtime) picks the broadcast without an eager count here
+    nation, region = t["nation"], t["region"]
     c = t["customer"]
     k = F.col("c_custkey")
     geo = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
@@ -189,7 +215,7 @@ class FixtureSources:
         self._cache: dict[str, DataFrame] = {}
 
     @property
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self) -> DriverTables:
         if self._t is None:
             self._t = read_driver(self.spark, self.sf_dir)
         return self._t
