@@ -13,8 +13,12 @@ partition is spread over many tasks:
    range for a global window), turned into offsets by a window over ranges.
 4. join the offsets back; ``rn = offset + position - first + 1``.
 
-Both branches read the same range exchange (Spark reuses it) and the sort is
-total, so positions agree on every recomputation, also after a lost executor.
+The numbered rows feed two branches (the per-range counts and the rows
+themselves).  Column pruning makes those branches plan separate range
+exchanges, and each samples its own boundaries from shuffled input whose row
+order is not fixed, so the tagged rows are materialized once with a reliable
+``checkpoint()`` in the session's checkpoint folder: both branches read the
+same positions, also when an executor is lost and tasks re-run.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.session import checkpoint_dir
+
 
 def _sort_exprs(cols) -> list[Column]:
     out = []
@@ -47,6 +53,8 @@ def row_number(df: DataFrame, order_by, partition_by=(), rn_col: str = "_rn",
         pid.alias("_pid"),
         (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_pos"),
     )
+    checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     stats = tagged.groupBy("_pid", *part).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -75,27 +75,33 @@ def fct_customer_cohorts(ctx):
     """User x month activity grid from the signup month to the as-of month.
 
     Instead of a cross join of users and months with a range filter, each user
-    row explodes its own month range (at most the spine's 96 months).  Both
-    the grid and the monthly order aggregate are partitioned by user_id once,
-    so the (user, month) join and the per-user running sums share that layout.
-    The monthly aggregate combines map-side, so a user with a huge share of
-    orders still brings at most one row per month.
+    row explodes its own month range (at most the spine's 96 months).  Users
+    are hash-partitioned by user_id *before* the explode, so the grid -- the
+    largest frame here -- is generated in place and never shuffled.  The
+    monthly order aggregate (combined map-side: a user with a huge share of
+    orders still brings at most one row per month) is partitioned the same
+    way and joined on user_id alone, with the month match as a residual
+    (at most 96 x 96 row pairs per user); the running sums then reuse the
+    user_id partitioning, so the whole model costs two shuffles of small
+    inputs.
     """
     u = ctx.ref("dim_users").where(F.col("user_id").isNotNull())
     signup_month = F.trunc(F.to_date("created_at"), "month")
     first = F.greatest(signup_month, month_of(ctx.param("spine_start", SPINE_START)))
     last = F.least(month_of(ctx.as_of), month_of(ctx.param("spine_end", SPINE_END)))
-    grid = u.select("user_id", "signup_cohort", signup_month.alias("_signup_month"),
-                    F.explode(month_grid(first, last)).alias("activity_month"))
+    users = u.select("user_id", "signup_cohort", signup_month.alias("_signup_month"),
+                     first.alias("_first"), last.alias("_last")).repartition("user_id")
+    grid = users.select("user_id", "signup_cohort", "_signup_month",
+                        F.explode(month_grid(F.col("_first"), F.col("_last"))).alias("activity_month"))
     orders = ctx.ref("fct_orders").groupBy(
         F.col("user_id").alias("_o_user"),
         F.trunc(F.to_date("order_created_at"), "month").alias("_o_month")).agg(
         F.count(F.lit(1)).alias("_orders"), F.sum("item_count").alias("_items"),
-        F.coalesce(F.sum("total_revenue"), F.lit(0)).alias("_revenue"))
-    grid = grid.repartition("user_id")
-    orders = orders.repartition("_o_user")
-    j = grid.join(orders, (grid["user_id"] == orders["_o_user"]) & (grid["activity_month"] == orders["_o_month"]),
-                  "left")
+        F.coalesce(F.sum("total_revenue"), F.lit(0)).alias("_revenue")).repartition("_o_user")
+    # user_id is the only join key (keeps the grid's partitioning); the month
+    # equality is written as datediff(...) = 0 so it stays a residual condition
+    same_month = F.datediff(grid["activity_month"], orders["_o_month"]) == 0
+    j = grid.join(orders, (grid["user_id"] == orders["_o_user"]) & same_month, "left")
     n_orders = F.coalesce(F.col("_orders"), F.lit(0))
     joined = j.select(
         "user_id", "signup_cohort", "activity_month",
