@@ -113,12 +113,25 @@ def fct_customer_cohorts(ctx):
                          F.sum("revenue_in_month").over(w).alias("cumulative_revenue"))
 
 
+def grid_user_counts():
+    """Distinct users per group of the cohort grid, as plain (map-side) counts.
+
+    The grid holds one row per (user, month) and months_since_signup is fixed
+    by the month for a given user, so within any group keyed by cohort and
+    month (or months since signup) a user occurs at most once (user_id is a
+    declared unique key of dim_users).  ``count(distinct user_id)`` therefore
+    equals ``count(user_id)``, which combines map-side instead of shuffling
+    every (group, user) pair of the grid.
+    """
+    return (F.count("user_id"), F.count_if(F.col("is_active") & F.col("user_id").isNotNull()))
+
+
 @model("fct_customer_retention", "customers")
 def fct_customer_retention(ctx):
     c = ctx.ref("fct_customer_cohorts")
+    users, active = grid_user_counts()
     agg = c.groupBy("signup_cohort", "months_since_signup").agg(
-        F.countDistinct("user_id").alias("cohort_size"),
-        F.countDistinct(F.when(F.col("is_active"), F.col("user_id"))).alias("active_customers"),
+        users.alias("cohort_size"), active.alias("active_customers"),
         F.sum("revenue_in_month").alias("total_revenue"),
         F.sum("cumulative_revenue").alias("_cum_revenue"))
     return agg.select(

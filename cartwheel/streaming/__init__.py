@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is batch only: no streaming source, watermark, time window,
+state store or incremental materialization exists in it (its "real-time"
+refresh is a 300 s dashboard cache).  Sessions arrive with a ready
+session_id, so no session windowing is needed either.  Nothing is built here.
+"""
