@@ -349,3 +349,21 @@ SELECT order_id, CAST(dayofweek(order_date) + 1 AS BIGINT) AS day_of_week, CAST(
        CAST(month(order_date) AS BIGINT) AS month_number, CAST(quarter(order_date) AS BIGINT) AS quarter,
        CAST(year(order_date) AS BIGINT) AS year, strftime(order_date, '%A') AS day_name, strftime(order_date, '%B') AS month_name
 FROM fct_orders""", "fct_orders")
+
+# --- documented-only metrics -------------------------------------------------
+ORACLES["repeat_customer_rate"] = sql(f"""
+SELECT *, {sdiv('repeat_customers', 'customers')} AS repeat_customer_rate FROM (
+  SELECT COUNT(*) AS customers, COUNT(*) FILTER (WHERE total_orders > 1) AS repeat_customers
+  FROM fct_customer_orders) t""", "fct_customer_orders")
+ORACLES["cart_abandonment"] = sql(f"""
+SELECT event_date, traffic_source, sessions_with_cart, sessions_with_purchase,
+       1.0 - {sdiv('sessions_with_purchase', 'sessions_with_cart')} AS cart_abandonment_rate
+FROM fct_web_funnel""", "fct_web_funnel")
+ORACLES["on_time_delivery_rate"] = sql("""
+SELECT order_month, orders_delivered, delivered_7_days, pct_delivered_within_7_days AS on_time_delivery_rate
+FROM fct_fulfillment_summary""", "fct_fulfillment_summary")
+ORACLES["cohort_churn"] = sql(f"""
+SELECT signup_cohort, months_since_signup, cohort_size, active_customers,
+       cohort_size - active_customers AS churned_customers,
+       {sdiv('cohort_size - active_customers', 'cohort_size')} AS churn_rate
+FROM fct_customer_retention""", "fct_customer_retention")

@@ -358,3 +358,27 @@ def _fn_calendar(ctx):
 
 
 __all__ = ["Window"]
+
+
+# --- documented-only metrics ----------------------------------
+from cartwheel.plans import documented  # noqa: E402
+
+
+@query("repeat_customer_rate")
+def _repeat_customer_rate(ctx):
+    return documented.repeat_customer_rate(ctx)
+
+
+@query("cart_abandonment")
+def _cart_abandonment(ctx):
+    return documented.cart_abandonment(ctx)
+
+
+@query("on_time_delivery_rate")
+def _on_time_delivery_rate(ctx):
+    return documented.on_time_delivery_rate(ctx)
+
+
+@query("cohort_churn")
+def _cohort_churn(ctx):
+    return documented.cohort_churn(ctx)
