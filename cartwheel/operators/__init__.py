@@ -1,5 +1,5 @@
 """Reusable distributed operators."""
 
-from cartwheel.operators import calendar, joins, pairs, ranking
+from cartwheel.operators import calendar, pairs, ranking
 
-__all__ = ["calendar", "joins", "pairs", "ranking"]
+__all__ = ["calendar", "pairs", "ranking"]

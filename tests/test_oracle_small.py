@@ -34,6 +34,8 @@ def con():
 
 
 KEYS = sorted(E.oracle_sql())
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -43,6 +45,11 @@ def test_key_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF_SMALL)
     cols = sorted(df.columns)
     got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+    rel = con.sql(E.oracle_sql()[key])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     cur = con.execute(E.oracle_sql()[key])
     dcols = [d[0] for d in cur.description]
     assert sorted(dcols) == cols
