@@ -1,12 +1,22 @@
 """Co-occurrence counting for pairs of items that share baskets.
 
-A pair can reach ``min_count`` shared baskets only if each of its items is in
-at least ``min_count`` baskets, so items below the threshold are removed before
-pairing (lossless).  Baskets left with fewer than two items cannot form a pair
-and are dropped as well.  The self-join on the basket key keeps ``a < b`` as a
-residual, so each unordered pair is produced once per basket; adaptive skew
-splitting spreads a very large basket over several tasks, and the pair counts
-are combined map-side before the shuffle.
+Lossless pruning first: a pair can reach ``min_count`` shared baskets only if
+each of its items is in at least ``min_count`` baskets, so rarer items are
+removed, and baskets left with fewer than two items are dropped.
+
+Pairs are then enumerated only inside *normal* baskets (at most
+``max_basket`` items, so at most max_basket^2/2 pairs per basket).  Let h be
+the number of *hot* baskets (more items than that).  Hot baskets add at most
+h to any pair's count, so when h < min_count every qualifying pair already
+co-occurs at least ``min_count - h`` times in normal baskets.  Those are the
+candidates; their exact hot-basket count is added by joining the candidates
+with the hot baskets' membership rows (per candidate at most h rows), and
+the threshold is applied to the sum.  No pair is ever produced from inside a
+hot basket.  Only when h >= min_count (many huge baskets) are hot baskets
+enumerated as well, with AQE's skew-join splitting spreading them.
+
+The self-join on the basket key keeps ``a < b`` as a residual, so each
+unordered pair appears once per basket; pair counts combine map-side.
 """
 
 from __future__ import annotations
@@ -14,28 +24,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+DEFAULT_MAX_BASKET = 1000
+
 
 def item_basket_counts(baskets: DataFrame, basket_col: str, item_col: str) -> DataFrame:
     """Baskets per item; ``baskets`` must already be distinct on (basket, item)."""
     return baskets.groupBy(item_col).agg(F.count(F.lit(1)).alias("basket_count"))
 
 
+def _enumerate(bi: DataFrame, basket_col: str, item_col: str) -> DataFrame:
+    a = bi.select(F.col(basket_col).alias("_ba"), F.col(item_col).alias("item_a"))
+    b = bi.select(F.col(basket_col).alias("_bb"), F.col(item_col).alias("item_b"))
+    pairs = a.join(b, (F.col("_ba") == F.col("_bb")) & (F.col("item_a") < F.col("item_b")), "inner")
+    return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("co_count"))
+
+
 def frequent_pairs(baskets: DataFrame, basket_col: str, item_col: str, min_count: int,
-                   item_counts: DataFrame | None = None) -> DataFrame:
+                   item_counts: DataFrame | None = None, max_basket: int = DEFAULT_MAX_BASKET) -> DataFrame:
     """(item_a, item_b, co_count) with item_a < item_b and co_count >= min_count.
 
     ``baskets`` must be distinct on (basket, item).
     """
+    min_count = max(int(min_count), 1)
     bi = baskets.select(basket_col, item_col)
     counts = item_counts if item_counts is not None else item_basket_counts(bi, basket_col, item_col)
     if min_count > 1:
         keep = counts.where(F.col("basket_count") >= min_count).select(item_col)
         bi = bi.join(keep, item_col, "left_semi")
-    # a basket needs two surviving items to form any pair
-    multi = bi.groupBy(basket_col).agg(F.count(F.lit(1)).alias("_k")).where("_k >= 2").select(basket_col)
-    bi = bi.join(multi, basket_col, "left_semi")
-    a = bi.select(F.col(basket_col).alias("_ba"), F.col(item_col).alias("item_a"))
-    b = bi.select(F.col(basket_col).alias("_bb"), F.col(item_col).alias("item_b"))
-    pairs = a.join(b, (F.col("_ba") == F.col("_bb")) & (F.col("item_a") < F.col("item_b")), "inner")
-    out = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("co_count"))
-    return out.where(F.col("co_count") >= min_count)
+    sizes = bi.groupBy(basket_col).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") >= 2)
+    hot = sizes.where(F.col("_size") > max_basket).select(basket_col)
+    n_hot = hot.count()  # one number: hot baskets are at most (rows / max_basket)
+    if n_hot == 0 or n_hot >= min_count:
+        bi = bi.join(sizes.select(basket_col), basket_col, "left_semi")
+        return _enumerate(bi, basket_col, item_col).where(F.col("co_count") >= min_count)
+    normal = bi.join(sizes.where(F.col("_size") <= max_basket).select(basket_col), basket_col, "left_semi")
+    cand = _enumerate(normal, basket_col, item_col).where(F.col("co_count") >= min_count - n_hot)
+    members = bi.join(hot, basket_col, "left_semi")
+    ma = members.select(F.col(basket_col).alias("_hb"), F.col(item_col).alias("item_a"))
+    mb = members.select(F.col(basket_col).alias("_hb"), F.col(item_col).alias("item_b"))
+    hot_counts = (cand.select("item_a", "item_b").join(ma, "item_a").join(mb, ["_hb", "item_b"])
+                  .groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("_hot")))
+    total = cand.join(hot_counts, ["item_a", "item_b"], "left").select(
+        "item_a", "item_b", (F.col("co_count") + F.coalesce(F.col("_hot"), F.lit(0))).alias("co_count"))
+    return total.where(F.col("co_count") >= min_count)

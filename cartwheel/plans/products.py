@@ -68,7 +68,8 @@ def fct_product_affinity(ctx):
     baskets = items.select("order_id", "product_id").distinct()
     stats = item_basket_counts(baskets, "order_id", "product_id")
     total = items.select(F.countDistinct("order_id").alias("t")).scalar()
-    pairs = frequent_pairs(baskets, "order_id", "product_id", min_count, item_counts=stats)
+    pairs = frequent_pairs(baskets, "order_id", "product_id", min_count, item_counts=stats,
+                           max_basket=int(ctx.param("max_basket_items", 1000)))
     attrs = items.select("product_id", "product_name", "category").distinct()
     a = attrs.select(F.col("product_id").alias("item_a"), F.col("product_name").alias("product_name_a"),
                      F.col("category").alias("category_a"))

@@ -70,3 +70,36 @@ def test_frequent_pairs_matches_brute_force(spark):
         got = {(r.item_a, r.item_b): r.co_count
                for r in frequent_pairs(df, "order_id", "product_id", min_count).collect()}
         assert got == expect
+
+
+def _brute_pairs(baskets, min_count):
+    brute = {}
+    for ps in baskets.values():
+        for a, b in itertools.combinations(sorted(set(ps)), 2):
+            brute[(a, b)] = brute.get((a, b), 0) + 1
+    return {k: v for k, v in brute.items() if v >= min_count}
+
+
+def test_frequent_pairs_with_hot_baskets_matches_brute_force(spark):
+    rnd = random.Random(11)
+    baskets = {o: sorted(set(rnd.randint(0, 30) for _ in range(rnd.choice([2, 3, 4])))) for o in range(400)}
+    # two huge baskets holding most items: pairs inside them must not be enumerated,
+    # yet their contribution must be counted exactly
+    baskets[10_000] = list(range(0, 30))
+    baskets[10_001] = list(range(5, 30, 2))
+    rows = [(o, p) for o, ps in baskets.items() for p in ps]
+    df = spark.createDataFrame(rows, "order_id bigint, product_id bigint")
+    for min_count in (3, 5):
+        got = {(r.item_a, r.item_b): r.co_count
+               for r in frequent_pairs(df, "order_id", "product_id", min_count, max_basket=8).collect()}
+        assert got == _brute_pairs(baskets, min_count)
+
+
+def test_frequent_pairs_many_hot_baskets_fall_back(spark):
+    rnd = random.Random(5)
+    baskets = {o: sorted(set(rnd.randint(0, 12) for _ in range(rnd.choice([3, 9, 10])))) for o in range(60)}
+    rows = [(o, p) for o, ps in baskets.items() for p in ps]
+    df = spark.createDataFrame(rows, "order_id bigint, product_id bigint")
+    got = {(r.item_a, r.item_b): r.co_count
+           for r in frequent_pairs(df, "order_id", "product_id", 2, max_basket=6).collect()}
+    assert got == _brute_pairs(baskets, 2)
