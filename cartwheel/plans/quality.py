@@ -72,10 +72,7 @@ CHECKS = [
     ("vw_users", "user_id", "unique", None), ("vw_users", "user_id", "not_null", None),
 ]
 
-REPORT_SCHEMA = "model string, column_name string, test string, failures bigint"
-
-
-def _rows(spark, model: str, pairs: list[tuple[str, str, DataFrame]]) -> list[DataFrame]:
+def _rows(model: str, pairs: list[tuple[str, str, DataFrame]]) -> list[DataFrame]:
     return [df.select(F.lit(model).alias("model"), F.lit(col).alias("column_name"), F.lit(test).alias("test"),
                       F.col("failures").cast("long").alias("failures")) for col, test, df in pairs]
 
@@ -119,12 +116,12 @@ def run_checks(ctx, checks=None) -> DataFrame:
                                   F.col("failures").cast("long").alias("failures")))
         for _, col, test, arg in chks:
             if test == "unique":
-                parts += _rows(ctx.spark, model, [(col, test, unique_failures(df, col))])
+                parts += _rows(model, [(col, test, unique_failures(df, col))])
             elif test == "accepted_values":
-                parts += _rows(ctx.spark, model, [(col, test, accepted_values_failures(df, col, arg))])
+                parts += _rows(model, [(col, test, accepted_values_failures(df, col, arg))])
             elif test == "relationships":
                 parent, pcol = arg
-                parts += _rows(ctx.spark, model, [(col, test, relationships_failures(df, col, ctx.ref(parent), pcol))])
+                parts += _rows(model, [(col, test, relationships_failures(df, col, ctx.ref(parent), pcol))])
     return union_all(parts)
 
 

@@ -69,3 +69,36 @@ def test_build_all_and_invariants(spark, tmp_out):
     assert r.where("cohort_size <= 0").count() == 0
     report = quality.run_checks(ctx).collect()
     assert len(report) == len(quality.CHECKS)
+
+
+def test_metric_filter_operators_and_grains(ctx):
+    base = ctx.ref("vw_orders")
+    n_all = base.count()
+    q = lambda filters: metrics.metric_query(ctx, ["orders.count"], [], filters=filters).collect()[0]["count"]
+    assert q([{"member": "orders.country", "operator": "set"}]) == base.where("user_country IS NOT NULL").count()
+    assert q([{"member": "orders.country", "operator": "notSet"}]) == base.where("user_country IS NULL").count()
+    assert q([{"member": "orders.status", "operator": "contains", "values": ["compl"]}]) == \
+        base.where("order_status = 'Complete'").count()
+    assert q([{"member": "orders.order_date", "operator": "inDateRange", "values": ["2020-01-01", "2020-12-31"]}]) == \
+        base.where("year(order_date) = 2020").count()
+    assert q([]) == n_all
+    for grain in ("day", "week", "month", "quarter", "year"):
+        df = metrics.metric_query(ctx, ["orders.count"], [],
+                                  time_dimensions=[{"dimension": "orders.order_date", "granularity": grain}],
+                                  limit=None)
+        assert df.agg(F.sum("count")).collect()[0][0] == n_all
+    first = metrics.metric_query(ctx, ["users.count"], [], time_dimensions=[
+        {"dimension": "users.first_order_date", "granularity": "month"}], limit=None)
+    assert dict(first.dtypes)["first_order_date"] == "timestamp_ntz"
+
+
+def test_relative_month_and_week_ranges():
+    assert metrics.resolve_date_range("last 2 months", "2025-03-15") == (dt.date(2025, 1, 1), dt.date(2025, 2, 28))
+    assert metrics.resolve_date_range("last 1 week", "2025-03-15") == (dt.date(2025, 3, 8), dt.date(2025, 3, 14))
+    with pytest.raises(ValueError):
+        metrics.resolve_date_range("yesterday-ish", "2025-03-15")
+
+
+def test_catalogue_lists_marts(spark):
+    from cartwheel.plans.adhoc import catalogue
+    assert catalogue(spark).where(F.col("table_name") == "fct_rfm_scores").count() == 1
