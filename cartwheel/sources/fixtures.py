@@ -136,7 +136,9 @@ def map_order_items(t: dict[str, DataFrame], orders: DataFrame) -> DataFrame:
     li = t["lineitem"]
     o = orders.select(F.col("order_id").alias("l_orderkey"), "user_id", "status", "created_at",
                       "shipped_at", "delivered_at", "returned_at")
-    j = li.join(o, "l_orderkey", "left")
+    # orders is as large as lineitem's key space: a shuffle join (the plan it
+    # gets at scale anyway) whose exchanges AQE can split for a hot order
+    j = li.join(o.hint("shuffle_merge"), "l_orderkey", "left")
     return j.select(
         _line_id().alias("id"), F.col("l_orderkey").alias("order_id"), "user_id",
         F.col("l_partkey").alias("product_id"), _line_id().alias("inventory_item_id"), "status",
@@ -203,7 +205,7 @@ def map_inventory_items(t: dict[str, DataFrame], orders: DataFrame, products: Da
                         F.col("retail_price").alias("product_retail_price"),
                         F.col("department").alias("product_department"), F.col("sku").alias("product_sku"),
                         F.col("distribution_center_id").alias("product_distribution_center_id"))
-    j = li.join(o, "l_orderkey", "left").join(p, "l_partkey", "left")
+    j = li.join(o.hint("shuffle_merge"), "l_orderkey", "left").join(p, "l_partkey", "left")
     return j.select(
         _line_id().alias("id"), F.col("l_partkey").alias("product_id"), "cost",
         F.when(F.col("l_linestatus") == "F", F.col("_order_at")).alias("sold_at"),
