@@ -132,7 +132,7 @@ _model("vw_daily_revenue", _cast("order_date, daily_revenue, order_count, avg_or
 
 # --- metric queries ----------------------------------------------------------
 from cartwheel.oracle.duckdb_sql import avg_exact, sdiv  # noqa: E402
-from cartwheel.plans.quality import CHECKS  # noqa: E402
+from cartwheel.plans.quality import CHECKS, checks_of  # noqa: E402
 
 
 def _daily(lo: str, hi: str) -> str:
@@ -248,14 +248,10 @@ def _checks_sql(checks) -> str:
     return sql("\nUNION ALL\n".join(_check_sql(*c) for c in checks), *models)
 
 
-def _of(kind):
-    return [c for c in CHECKS if c[2] == kind]
-
-
-ORACLES["dq_not_null"] = _checks_sql([c for c in _of("not_null") if not c[0].startswith(("fct_customer_c", "vw_"))])
-ORACLES["dq_unique"] = _checks_sql([c for c in _of("unique") if c[0].startswith(("stg_", "int_", "fct_orders", "dim_"))])
-ORACLES["dq_accepted_values"] = _checks_sql(_of("accepted_values"))
-ORACLES["dq_relationships"] = _checks_sql(_of("relationships"))
+ORACLES["dq_not_null"] = _checks_sql(checks_of("not_null", foundation_only=True))
+ORACLES["dq_unique"] = _checks_sql(checks_of("unique", foundation_only=True))
+ORACLES["dq_accepted_values"] = _checks_sql(checks_of("accepted_values"))
+ORACLES["dq_relationships"] = _checks_sql(checks_of("relationships"))
 ORACLES["dq_report"] = _checks_sql(CHECKS)
 
 # --- primitive-level keys ----------------------------------------------------

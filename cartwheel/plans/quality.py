@@ -72,6 +72,16 @@ CHECKS = [
     ("vw_users", "user_id", "unique", None), ("vw_users", "user_id", "not_null", None),
 ]
 
+# Models of the staging, intermediate and core layers: the foundation every mart reads.
+FOUNDATION_PREFIXES = ("stg_", "int_", "dim_", "fct_orders")
+
+
+def checks_of(kind: str | None = None, foundation_only: bool = False) -> list:
+    """Declared checks of one test kind, optionally only those on foundation models."""
+    return [c for c in CHECKS if (kind is None or c[2] == kind)
+            and (not foundation_only or c[0].startswith(FOUNDATION_PREFIXES))]
+
+
 def _rows(model: str, pairs: list[tuple[str, str, DataFrame]]) -> list[DataFrame]:
     return [df.select(F.lit(model).alias("model"), F.lit(col).alias("column_name"), F.lit(test).alias("test"),
                       F.col("failures").cast("long").alias("failures")) for col, test, df in pairs]

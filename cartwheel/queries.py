@@ -150,28 +150,26 @@ def _sql_adhoc(ctx):
 # --- data-quality checks (DQ1-DQ5) ----------------------------------------
 
 
-def _checks_of(kind):
-    return [c for c in quality.CHECKS if c[2] == kind]
-
-
 @query("dq_not_null")
 def _dq_not_null(ctx):
-    return quality.run_checks(ctx, [c for c in _checks_of("not_null") if not c[0].startswith(("fct_customer_c", "vw_"))])
+    """not_null checks of the foundation models (staging, intermediate, core)."""
+    return quality.run_checks(ctx, quality.checks_of("not_null", foundation_only=True))
 
 
 @query("dq_unique")
 def _dq_unique(ctx):
-    return quality.run_checks(ctx, [c for c in _checks_of("unique") if c[0].startswith(("stg_", "int_", "fct_orders", "dim_"))])
+    """unique checks of the foundation models."""
+    return quality.run_checks(ctx, quality.checks_of("unique", foundation_only=True))
 
 
 @query("dq_accepted_values")
 def _dq_accepted_values(ctx):
-    return quality.run_checks(ctx, _checks_of("accepted_values"))
+    return quality.run_checks(ctx, quality.checks_of("accepted_values"))
 
 
 @query("dq_relationships")
 def _dq_relationships(ctx):
-    return quality.run_checks(ctx, _checks_of("relationships"))
+    return quality.run_checks(ctx, quality.checks_of("relationships"))
 
 
 @query("dq_report")
