@@ -55,7 +55,11 @@ _model("dim_products", _cast(
     "product_id, product_name, brand, category, department, cost, retail_price, sku, distribution_center_id, "
     "margin_amount, margin_percentage, price_quartile, margin_tier, price_tier",
     dbl={"cost", "retail_price", "margin_amount"}))
-_model("dim_date", "*")
+ORACLES["dim_date_orders"] = sql("""
+SELECT d.*, o.orders, o.first_orders
+FROM dim_date d
+JOIN (SELECT order_date AS date_key, COUNT(*) AS orders, COUNT(*) FILTER (WHERE is_first_order) AS first_orders
+      FROM fct_orders GROUP BY 1) o ON d.date_key = o.date_key""", "dim_date", "fct_orders")
 _model("dim_distribution_centers", "*")
 _model("fct_daily_revenue", _cast(
     "order_date, total_orders, total_items, total_revenue, total_profit, unique_customers, new_customers, "

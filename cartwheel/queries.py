@@ -17,6 +17,21 @@ from cartwheel.plans import adhoc, metrics, quality
 from cartwheel.plans.core import first_order_flag
 from cartwheel.registry import context, query
 
+# --- calendar dimension over the data (COR4) --------------------------------
+
+
+@query("dim_date_orders")
+def _dim_date_orders(ctx):
+    """dim_date attributes of every order date, with that day's orders.
+
+    dim_date itself is a fixed calendar (it reads no table), so the key joins
+    it to the order facts: the work grows with the orders.
+    """
+    daily = ctx.ref("fct_orders").groupBy(F.col("order_date").alias("date_key")).agg(
+        F.count(F.lit(1)).alias("orders"), count_if(F.col("is_first_order")).alias("first_orders"))
+    return ctx.ref("dim_date").join(daily, "date_key", "inner")
+
+
 # --- metric queries (MQ4-MQ8, MQ10, MQ11) ----------------------------------
 
 

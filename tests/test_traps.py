@@ -99,3 +99,14 @@ def test_rfm_first_match_order(spark):
     df = spark.createDataFrame([(2, 4, 4), (1, 4, 1), (3, 1, 5), (5, 5, 5)], "r long, f long, m long")
     got = [x[0] for x in df.select(rfm_segment(F.col("r"), F.col("f"), F.col("m"))).collect()]
     assert got == ["Needs Attention", "Can't Lose", "Promising", "Champions"]
+
+
+def test_dim_date_calendar(spark):
+    d = ctx_for(spark).ref("dim_date")
+    assert d.count() == 2922
+    rows = {r.date_key: r for r in d.where(F.col("date_key").isin(
+        dt.date(2019, 1, 1), dt.date(2024, 3, 31), dt.date(2026, 12, 31))).collect()}
+    a, b, c = rows[dt.date(2019, 1, 1)], rows[dt.date(2024, 3, 31)], rows[dt.date(2026, 12, 31)]
+    assert (a.day_of_week, a.day_name, a.week_of_year, a.is_quarter_start) == (3, "Tuesday", 0, True)
+    assert (b.day_of_week, b.is_weekend, b.is_month_end, b.is_quarter_end, b.quarter) == (1, True, True, True, 1)
+    assert (c.week_of_year, c.month_name, c.is_quarter_end) == (int(dt.date(2026, 12, 31).strftime("%U")), "December", True)
