@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import safe_divide
 from cartwheel.plans.context import LAYERS, MODELS
+from cartwheel.plans.intermediate import enriched_items
 from cartwheel.plans.metrics import revenue_by_date
 
 ROW_CAP = 100
@@ -89,7 +90,7 @@ def brands_over(ctx, threshold: float = 10_000) -> DataFrame:
 def category_sales_last_days(ctx, days: int = 30) -> DataFrame:
     as_of = dt.date.fromisoformat(ctx.as_of)
     lo, hi = as_of - dt.timedelta(days=days), as_of - dt.timedelta(days=1)
-    items = ctx.ref("int_order_items_enriched").where(
+    items = enriched_items(ctx, "order_date", "category", "sale_price").where(
         F.col("order_date").between(F.lit(lo.isoformat()).cast("date"), F.lit(hi.isoformat()).cast("date")))
     return items.groupBy("category").agg(F.sum("sale_price").alias("total_sales"),
                                          F.count(F.lit(1)).alias("units_sold"))

@@ -36,6 +36,7 @@ class ModelContext:
         self.as_of = str(as_of)
         self.params = dict(params or {})
         self._resolved: dict[str, DataFrame] = {}
+        self.materialized: set[str] = set()
 
     def source(self, name: str) -> DataFrame:
         return self.sources(name)
@@ -50,6 +51,7 @@ class ModelContext:
     def replace(self, name: str, df: DataFrame) -> None:
         """Point ``ref(name)`` at ``df`` (e.g. the table the build wrote)."""
         self._resolved[name] = df
+        self.materialized.add(name)
 
     def param(self, key: str, default):
         return self.params.get(key, default)

@@ -8,6 +8,7 @@ from cartwheel.functions import day_diff, quarter_end, safe_divide, us_week
 from cartwheel.operators.calendar import day_spine
 from cartwheel.operators.ranking import ntile
 from cartwheel.plans.context import model
+from cartwheel.plans.intermediate import enriched_items
 
 
 def first_order_flag(orders, user_col="user_id", ts_col="created_at", id_col="order_id"):
@@ -26,7 +27,7 @@ def first_order_flag(orders, user_col="user_id", ts_col="created_at", id_col="or
 @model("fct_orders", "core")
 def fct_orders(ctx):
     orders = ctx.ref("stg_orders")
-    items = ctx.ref("int_order_items_enriched")
+    items = enriched_items(ctx, "order_id", "sale_price", "item_profit")
     users = ctx.ref("stg_users").select(F.col("user_id").alias("_u_id"), F.col("country").alias("user_country"),
                                         F.col("city").alias("user_city"))
     metrics = items.groupBy(F.col("order_id").alias("_m_id")).agg(

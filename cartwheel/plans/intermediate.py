@@ -8,42 +8,77 @@ from cartwheel.functions import count_if
 from cartwheel.plans.context import model
 
 
-@model("int_order_items_enriched", "intermediate")
+INT1 = "int_order_items_enriched"
+ORDER_COLS = {"order_status", "order_created_at", "order_shipped_at", "order_delivered_at",
+              "order_returned_at", "order_date"}
+PRODUCT_COLS = {"distribution_center_id", "cost", "item_profit", "product_name", "brand", "category",
+                "department", "product_retail_price"}
+USER_COLS = {"user_country", "user_city", "user_traffic_source", "user_signup_at"}
+INT1_COLUMNS = [
+    "order_item_id", "order_id", "user_id", "product_id", "distribution_center_id",
+    "order_status", "order_created_at", "order_shipped_at", "order_delivered_at", "order_returned_at",
+    "order_date", "sale_price", "cost", "item_profit", "product_name", "brand", "category", "department",
+    "product_retail_price", "user_country", "user_city", "user_traffic_source", "user_signup_at"]
+
+
+def _enrich(ctx, with_orders: bool, with_products: bool, with_users: bool):
+    j = ctx.ref("stg_order_items")
+    cols = ["order_item_id", "order_id", "user_id", "product_id", "sale_price"]
+    if with_orders:
+        o = ctx.ref("stg_orders").select(
+            F.col("order_id").alias("_o_id"), F.col("status").alias("order_status"),
+            F.col("created_at").alias("order_created_at"), F.col("shipped_at").alias("order_shipped_at"),
+            F.col("delivered_at").alias("order_delivered_at"), F.col("returned_at").alias("order_returned_at"))
+        j = j.join(o, j["order_id"] == o["_o_id"], "left")
+        cols += ["order_status", "order_created_at", "order_shipped_at", "order_delivered_at", "order_returned_at",
+                 F.to_date("order_created_at").alias("order_date")]
+    if with_products:
+        p = ctx.ref("stg_products").select(
+            F.col("product_id").alias("_p_id"), "distribution_center_id", "cost", "product_name", "brand",
+            "category", "department", F.col("retail_price").alias("product_retail_price"))
+        j = j.join(p, j["product_id"] == p["_p_id"], "left")
+        cols += ["distribution_center_id", "cost", (F.col("sale_price") - F.col("cost")).alias("item_profit"),
+                 "product_name", "brand", "category", "department", "product_retail_price"]
+    if with_users:
+        u = ctx.ref("stg_users").select(
+            F.col("user_id").alias("_u_id"), F.col("country").alias("user_country"),
+            F.col("city").alias("user_city"), F.col("traffic_source").alias("user_traffic_source"),
+            F.col("created_at").alias("user_signup_at"))
+        j = j.join(u, j["user_id"] == u["_u_id"], "left")
+        cols += ["user_country", "user_city", "user_traffic_source", "user_signup_at"]
+    return j.select(*cols)
+
+
+@model(INT1, "intermediate")
 def int_order_items_enriched(ctx):
     """One row per order item with order status/timestamps, product and user context.
 
-    Three LEFT equi-joins.  Orders and users are keyed joins (shuffle on the
-    key; AQE splits a hot key on the item side); products is left to the
-    planner's size-checked broadcast.
+    Three LEFT equi-joins on declared unique keys (order, product, user), so
+    the item grain is kept.  Joins on keys that can be hot get the planner's
+    exchanges, which adaptive execution splits.
+    """
+    return _enrich(ctx, True, True, True).select(*INT1_COLUMNS)
+
+
+def enriched_items(ctx, *columns: str):
+    """Columns of ``int_order_items_enriched`` without joins nobody reads.
+
+    When the build job has written the model, its table is read (column-pruned
+    scan).  Otherwise only the joins the requested columns need are planned:
+    the left joins are on declared unique keys, so dropping an unused one
+    leaves the rows unchanged, and Spark itself keeps unused outer joins.
     """
-    oi = ctx.ref("stg_order_items")
-    o = ctx.ref("stg_orders").select(
-        F.col("order_id").alias("_o_id"), F.col("status").alias("order_status"),
-        F.col("created_at").alias("order_created_at"), F.col("shipped_at").alias("order_shipped_at"),
-        F.col("delivered_at").alias("order_delivered_at"), F.col("returned_at").alias("order_returned_at"))
-    p = ctx.ref("stg_products").select(
-        F.col("product_id").alias("_p_id"), "distribution_center_id", "cost", "product_name", "brand",
-        "category", "department", F.col("retail_price").alias("product_retail_price"))
-    u = ctx.ref("stg_users").select(
-        F.col("user_id").alias("_u_id"), F.col("country").alias("user_country"),
-        F.col("city").alias("user_city"), F.col("traffic_source").alias("user_traffic_source"),
-        F.col("created_at").alias("user_signup_at"))
-    j = (oi.join(o, oi["order_id"] == o["_o_id"], "left")
-           .join(p, oi["product_id"] == p["_p_id"], "left")
-           .join(u, oi["user_id"] == u["_u_id"], "left"))
-    return j.select(
-        "order_item_id", "order_id", "user_id", "product_id", "distribution_center_id",
-        "order_status", "order_created_at", "order_shipped_at", "order_delivered_at", "order_returned_at",
-        F.to_date("order_created_at").alias("order_date"),
-        "sale_price", "cost", (F.col("sale_price") - F.col("cost")).alias("item_profit"),
-        "product_name", "brand", "category", "department", "product_retail_price",
-        "user_country", "user_city", "user_traffic_source", "user_signup_at")
+    if INT1 in ctx.materialized:
+        return ctx.ref(INT1).select(*columns)
+    need = set(columns)
+    return _enrich(ctx, bool(need & ORDER_COLS), bool(need & PRODUCT_COLS), bool(need & USER_COLS)).select(*columns)
 
 
 @model("int_user_order_summary", "intermediate")
 def int_user_order_summary(ctx):
     """Per-user totals; all aggregates combine map-side, so a hot user costs one row per task."""
-    items = ctx.ref("int_order_items_enriched")
+    items = enriched_items(ctx, "user_id", "order_id", "sale_price", "item_profit", "order_created_at",
+                           "order_status")
     return items.groupBy("user_id").agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.sum("sale_price").alias("total_revenue"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import count_if, mean, month_start_ts, safe_divide, ts_diff
 from cartwheel.plans.context import model
+from cartwheel.plans.intermediate import enriched_items
 
 
 def _returned():
@@ -76,7 +77,8 @@ def fct_fulfillment_summary(ctx):
 @model("fct_returns", "operations")
 def fct_returns(ctx):
     min_orders = int(ctx.param("min_orders", 10))
-    items = ctx.ref("int_order_items_enriched")
+    items = enriched_items(ctx, "order_item_id", "order_id", "product_id", "product_name", "brand", "category",
+                           "department", "sale_price", "order_status", "order_returned_at", "order_delivered_at")
     days_to_return = F.when(_returned(), ts_diff("DAY", F.col("order_returned_at"), F.col("order_delivered_at")))
     agg = items.groupBy("product_id", "product_name", "brand", "category", "department").agg(
         F.countDistinct("order_id").alias("total_orders"), F.count("order_item_id").alias("total_units_sold"),
@@ -90,7 +92,8 @@ def fct_returns(ctx):
 
 @model("fct_distribution_center_performance", "operations")
 def fct_distribution_center_performance(ctx):
-    items = ctx.ref("int_order_items_enriched").where(~F.col("order_status").isin("Cancelled"))
+    items = enriched_items(ctx, "order_item_id", "distribution_center_id", "order_created_at", "order_shipped_at",
+                           "sale_price", "product_id", "order_status").where(~F.col("order_status").isin("Cancelled"))
     monthly = items.groupBy("distribution_center_id", month_start_ts("order_created_at").alias("order_month")).agg(
         F.count("order_item_id").alias("items_shipped"), F.sum("sale_price").alias("total_revenue"),
         F.countDistinct("product_id").alias("unique_products"),

@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 from cartwheel.functions import count_if, day_diff, mean, month_start_ts, safe_divide
 from cartwheel.operators.pairs import frequent_pairs, item_basket_counts
 from cartwheel.plans.context import model
+from cartwheel.plans.intermediate import enriched_items
 
 
 def _returned():
     return F.col("order_status") == "Returned"
 
 
+ITEM_PERF_COLS = ("order_item_id", "order_id", "user_id", "product_id", "order_status", "order_created_at",
+                  "sale_price", "item_profit", "product_name", "brand", "category", "department",
+                  "product_retail_price", "cost")
+
+
 def sold_items(ctx):
     """Order items outside cancelled orders (NULL status is dropped, as NOT IN does)."""
-    return ctx.ref("int_order_items_enriched").where(~F.col("order_status").isin("Cancelled"))
+    return enriched_items(ctx, *ITEM_PERF_COLS).where(~F.col("order_status").isin("Cancelled"))
 
 
 @model("fct_product_performance", "products")
@@ -64,7 +70,7 @@ def fct_brand_performance(ctx):
 def fct_product_affinity(ctx):
     """Market-basket pairs (a < b) sharing at least ``min_support_count`` orders."""
     min_count = int(ctx.param("min_support_count", 10))
-    items = ctx.ref("int_order_items_enriched").select("order_id", "product_id", "product_name", "category").distinct()
+    items = enriched_items(ctx, "order_id", "product_id", "product_name", "category").distinct()
     baskets = items.select("order_id", "product_id").distinct()
     stats = item_basket_counts(baskets, "order_id", "product_id")
     total = items.select(F.countDistinct("order_id").alias("t")).scalar()

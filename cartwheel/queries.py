@@ -15,6 +15,7 @@ from cartwheel.operators.calendar import SPINE_END, SPINE_START, month_grid, mon
 from cartwheel.operators.ranking import ntile
 from cartwheel.plans import adhoc, metrics, quality
 from cartwheel.plans.core import first_order_flag
+from cartwheel.plans.intermediate import enriched_items
 from cartwheel.registry import context, query
 
 # --- calendar dimension over the data (COR4) --------------------------------
@@ -254,7 +255,7 @@ def _join_self_pairs(ctx):
 
 @query("join_cross_scalar")
 def _join_cross_scalar(ctx):
-    items = ctx.ref("int_order_items_enriched")
+    items = enriched_items(ctx, "product_id", "sale_price")
     total = items.select(F.sum("sale_price")).scalar()
     g = items.groupBy("product_id").agg(F.sum("sale_price").alias("revenue"))
     return g.select("product_id", "revenue", safe_divide(F.col("revenue"), total).alias("revenue_share"))
@@ -262,7 +263,7 @@ def _join_cross_scalar(ctx):
 
 @query("agg_count_distinct_multi")
 def _agg_count_distinct_multi(ctx):
-    items = ctx.ref("int_order_items_enriched")
+    items = enriched_items(ctx, "brand", "order_id", "user_id", "product_id")
     return items.groupBy("brand").agg(F.countDistinct("order_id").alias("orders"),
                                       F.countDistinct("user_id").alias("customers"),
                                       F.countDistinct("product_id").alias("products"))
@@ -287,7 +288,8 @@ def _agg_countif(ctx):
 
 @query("agg_conditional_sum_avg")
 def _agg_conditional_sum_avg(ctx):
-    items = ctx.ref("int_order_items_enriched")
+    items = enriched_items(ctx, "product_id", "order_status", "sale_price", "order_returned_at",
+                           "order_delivered_at")
     ret = F.col("order_status") == "Returned"
     return items.groupBy("product_id").agg(
         F.sum(F.when(ret, F.col("sale_price")).otherwise(F.lit(0))).alias("revenue_lost_to_returns"),
