@@ -118,9 +118,7 @@ def run_checks(ctx, checks=None) -> DataFrame:
         by_model.setdefault(chk[0], []).append(chk)
     parts: list[DataFrame] = []
     for model, chks in by_model.items():
-        # one projection of the checked columns per model: every check of the
-        # model reads the same subtree, so Spark reuses its exchanges
-        df = ctx.ref(model).select(*dict.fromkeys(c for _, c, _, _ in chks))
+        df = ctx.ref(model)
         nn = [c for _, c, t, _ in chks if t == "not_null"]
         if nn:
             s = not_null_failures(df, nn)
