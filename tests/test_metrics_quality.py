@@ -55,7 +55,7 @@ def test_checks_find_planted_failures(spark):
 
 
 def test_build_all_and_invariants(spark, tmp_out):
-    ctx = context(spark, SF_SMALL, as_of="2025-12-31", _fresh=True)
+    ctx = context(spark, SF_SMALL, as_of="2025-12-31", fresh=True)
     timings = build_all(ctx, tmp_out)
     assert set(timings) == set(BUILD_ORDER)
     assert all(os.path.isdir(f"{tmp_out}/{m}") for m in BUILD_ORDER)
