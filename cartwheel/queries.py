@@ -5,7 +5,6 @@ each (joins, aggregates, windows, top-k, scalar functions) over the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import (
@@ -372,8 +371,6 @@ def _fn_calendar(ctx):
                     F.date_format(d, "EEEE").alias("day_name"), F.date_format(d, "MMMM").alias("month_name"))
 
 
-__all__ = ["Window"]
-
 
 # --- documented-only metrics ----------------------------------
 from cartwheel.plans import documented  # noqa: E402

@@ -6,7 +6,7 @@ double once at their edge.
 """
 
 from pyspark.sql.types import (
-    BooleanType, DecimalType, DoubleType, LongType, StringType, StructField,
+    DecimalType, DoubleType, LongType, StringType, StructField,
     StructType, TimestampNTZType,
 )
 
@@ -78,4 +78,5 @@ SOURCES = {
     "distribution_centers": DISTRIBUTION_CENTERS,
 }
 
-__all__ = ["SOURCES", "BooleanType"] + list(SOURCES)
+__all__ = ["SOURCES", "ORDERS", "ORDER_ITEMS", "USERS", "PRODUCTS", "EVENTS", "INVENTORY_ITEMS",
+           "DISTRIBUTION_CENTERS"]
