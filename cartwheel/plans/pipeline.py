@@ -7,7 +7,7 @@ the stored result instead of recomputing its lineage, and a lost executor
 only re-runs the model being written.  Output defaults to a ``marts`` folder
 under the cluster's ``spark.checkpoint.dir``.
 
-usage: python -m cartwheel.plans.pipeline --sf-dir DIR [--out DIR] [--as-of YYYY-MM-DD]
+usage: python -m cartwheel.plans.pipeline --sf-dir DIR [--out DIR] [--as-of YYYY-MM-DD] [--checks]
 """
 
 from __future__ import annotations
@@ -69,6 +69,20 @@ def build_all(ctx: ModelContext, out_dir: str | None = None, models: list[str] |
     return timings
 
 
+def build_and_check(ctx: ModelContext, out_dir: str | None = None, log=None):
+    """Build every mart, then run the declared checks over the written tables.
+
+    The report (model, column_name, test, failures) is written next to the
+    marts as ``_dq_report``; returns (timings, report DataFrame).
+    """
+    from cartwheel.plans.quality import run_checks
+
+    timings = build_all(ctx, out_dir, log=log)
+    root = (out_dir or f"{checkpoint_dir(ctx.spark).rstrip('/')}/marts").rstrip("/")
+    run_checks(ctx).write.mode("overwrite").parquet(f"{root}/_dq_report")
+    return timings, ctx.spark.read.parquet(f"{root}/_dq_report")
+
+
 def main(argv=None):
     from cartwheel.session import local_session
     from cartwheel.sources import FixtureSources, ParquetSources
@@ -78,11 +92,17 @@ def main(argv=None):
     ap.add_argument("--sources", help="folder of the seven source tables as parquet")
     ap.add_argument("--out", default=None)
     ap.add_argument("--as-of", default=DEFAULT_AS_OF)
+    ap.add_argument("--checks", action="store_true", help="run the declared checks after the build")
     args = ap.parse_args(argv)
     spark = local_session()
     src = ParquetSources(spark, args.sources) if args.sources else FixtureSources(spark, args.sf_dir)
     ctx = ModelContext(spark, src, as_of=args.as_of)
-    build_all(ctx, args.out, log=print)
+    if args.checks:
+        _, report = build_and_check(ctx, args.out, log=print)
+        for row in report.where("failures > 0").collect():  # at most one row per declared check
+            print(f"FAIL {row.model}.{row.column_name} {row.test}: {row.failures}")
+    else:
+        build_all(ctx, args.out, log=print)
 
 
 if __name__ == "__main__":
