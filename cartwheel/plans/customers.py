@@ -11,14 +11,18 @@ from cartwheel.operators.ranking import ntile
 from cartwheel.plans.context import model
 
 
+def customer_status(total_orders):
+    """New (1 order), Repeat (2-5), else Loyal -- NULL and 0 fall to Loyal as in the reference."""
+    return F.when(total_orders == 1, "New").when(total_orders.between(2, 5), "Repeat").otherwise("Loyal")
+
+
 @model("fct_customer_orders", "customers")
 def fct_customer_orders(ctx):
     s = ctx.ref("int_user_order_summary")
     u = ctx.ref("dim_users").select(F.col("user_id").alias("_u_id"), "signup_cohort", "age_group", "country")
     j = s.join(u, s["user_id"] == u["_u_id"], "left")
     as_of = F.lit(ctx.as_of).cast("date")
-    n = F.col("total_orders")
-    status = F.when(n == 1, "New").when(n.between(2, 5), "Repeat").otherwise("Loyal")
+    status = customer_status(F.col("total_orders"))
     return j.select(
         F.col("_u_id").alias("user_id"), "first_order_at", "last_order_at",
         day_diff(F.to_date("last_order_at"), F.to_date("first_order_at")).alias("customer_lifespan_days"),

@@ -110,3 +110,24 @@ def test_dim_date_calendar(spark):
     assert (a.day_of_week, a.day_name, a.week_of_year, a.is_quarter_start) == (3, "Tuesday", 0, True)
     assert (b.day_of_week, b.is_weekend, b.is_month_end, b.is_quarter_end, b.quarter) == (1, True, True, True, 1)
     assert (c.week_of_year, c.month_name, c.is_quarter_end) == (int(dt.date(2026, 12, 31).strftime("%U")), "December", True)
+
+
+def test_null_margin_is_high_tier(spark):
+    ctx = ctx_for(spark, products=[_product(1, price="0.00", cost="0.000"), _product(2, price="10.00", cost="9.000")])
+    tiers = {r.product_id: (r.margin_percentage, r.margin_tier) for r in ctx.ref("dim_products").collect()}
+    assert tiers[1] == (None, "High") and tiers[2][1] == "Low"
+
+
+def test_zero_orders_status_is_loyal(spark):
+    from cartwheel.plans.customers import customer_status
+    df = spark.createDataFrame([(0,), (1,), (3,), (None,)], "n bigint")
+    got = [r[0] for r in df.select(customer_status(F.col("n"))).collect()]
+    assert got == ["Loyal", "New", "Repeat", "Loyal"]
+
+
+def test_cumulative_revenue_does_not_reset_at_year_end(spark):
+    orders = [_order(1, 1, T(2020, 12, 5)), _order(2, 1, T(2021, 1, 5))]
+    items = [_item("a", 1, 1, 100, "2.00"), _item("b", 2, 1, 100, "3.00")]
+    ctx = ctx_for(spark, users=[_user(1)], orders=orders, order_items=items, products=[_product(100)])
+    m = ctx.ref("fct_monthly_revenue").orderBy("order_month").collect()
+    assert [float(r.cumulative_revenue_ytd) for r in m] == [2.0, 5.0]
