@@ -102,3 +102,14 @@ def test_relative_month_and_week_ranges():
 def test_catalogue_lists_marts(spark):
     from cartwheel.plans.adhoc import catalogue
     assert catalogue(spark).where(F.col("table_name") == "fct_rfm_scores").count() == 1
+
+
+def test_build_and_check_writes_report(spark, tmp_out):
+    from cartwheel.plans.pipeline import build_and_check
+    ctx = context(spark, SF_SMALL, fresh=True)
+    _, report = build_and_check(ctx, tmp_out)
+    rows = report.collect()
+    assert len(rows) == len(quality.CHECKS)
+    assert os.path.isdir(f"{tmp_out}/_dq_report")
+    # the fixtures satisfy every declared key and value check
+    assert sum(r.failures for r in rows) == 0
