@@ -49,7 +49,7 @@ THRESHOLDS = (
     Threshold("exclamations_per_word", "n_exclamations", "n_words", high=0.3),
     Threshold("words_with_a_letter", "n_letter_words", "n_words", low=0.8),
     Threshold("stop_words", "n_stop_words", "n_words", low=0.02),
-    Threshold("repeated_lines", "n_dup_lines", "n_lines", high=0.3),
+    Threshold("repeated_lines", "n_dup_lines", "n_lines", high=0.6),
 )
 
 
