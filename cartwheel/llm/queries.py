@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import quality, secrets
+from cartwheel.llm import quality, secrets, simhash
 from cartwheel.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.joined(F.col("_spans")).alias("spans"))
 
 
+@query
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).select(
