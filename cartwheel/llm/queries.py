@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, quality, secrets, simhash
+from cartwheel.llm import bpe, quality, secrets, simhash, substrings
 from cartwheel.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # --- SQL --------------------------------------------------------------------
 
 def _either_case(pattern: str) -> str:
@@ -122,3 +128,15 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 
 ORACLES["op1_secret_scans"] = _secrets_sql()
 ORACLES["op6_quality_rules"] = _quality_sql()
+
+#: A window is compared as the list of its words.
+ORACLES["op8_substring_dedup"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT rid, doc_id, k, sha256(array_to_string(w[k:k + {substrings.WINDOW} - 1], ' ')) AS a
+      FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - {substrings.WINDOW} + 2)) AS k FROM d)),
+g AS (SELECT DISTINCT rid, k + i AS p FROM (SELECT rid, k, doc_id, min(doc_id) OVER (PARTITION BY a) AS first FROM s),
+             range({substrings.WINDOW}) t(i) WHERE doc_id > first),
+k AS (SELECT rid, string_agg(w[p], ' ' ORDER BY p) AS kept, count(*) AS n
+      FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN g USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)"""
