@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from cartwheel.llm.common import worker_cache
 
 #: Kept matches and states of one worker; beyond it they are made anew.
-KEPT_MATCHES = 500_000
-KEPT_STATES = 300_000
+KEPT_MATCHES = 250_000
+KEPT_STATES = 150_000
 #: Documents that a task encodes before it hands over a batch.
 BATCH = 256
 
