@@ -198,8 +198,8 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     row, start = np.concatenate(rows), np.concatenate(starts).astype(np.int32)
                     for a in range(0, len(row), BATCH_WINDOWS):
                         b = a + BATCH_WINDOWS
-                        ids = part.take(pa.array(row[a:b]))
-                        yield pa.record_batch([ids.column("row"), ids.column("doc_id"), pa.array(start[a:b]),
+                        at_rows = pa.array(row[a:b])
+                        yield pa.record_batch([part.column("row").take(at_rows), part.column("doc_id").take(at_rows), pa.array(start[a:b]),
                                                pa.array(keys[a:b, 0]), pa.array(keys[a:b, 1])],
                                               ["row", "doc_id", "start", "k1", "k2"])
 
