@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, quality, secrets, simhash, substrings
+from cartwheel.llm import bpe, packed, quality, secrets, simhash, substrings
 from cartwheel.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op9_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packed.checksums(packed.read(packed.write(documents(spark, sf_dir), path, end=2)))
+
+
 # --- SQL --------------------------------------------------------------------
 
 def _either_case(pattern: str) -> str:
