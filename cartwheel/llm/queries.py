@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, packed, quality, secrets, simhash, substrings
+from cartwheel.llm import bpe, hmm, packed, quality, secrets, simhash, substrings
 from cartwheel.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.joined(F.col("_spans")).alias("spans"))
 
 
+@query
+def op2_hidden_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(documents(spark, sf_dir))
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
