@@ -14,12 +14,13 @@ characters and holds an unfinished one (at most three bytes) until the next push
 
 Defined cases: a null or empty text has no ids and decodes to nothing; rows that
 repeat a document or lack a ``doc_id`` give one row each; an empty table gives an
-empty table; ids that the vocabulary lacks raise ``KeyError``.
+empty table; ids that the vocabulary lacks raise an error.
 """
 
 from __future__ import annotations
 
 import base64
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame
 from cartwheel.llm.common import worker_cache
 
 #: Kept matches and states of one worker; beyond it they are made anew.
-KEPT_MATCHES = 250_000
-KEPT_STATES = 150_000
+KEPT_MATCHES = 400_000
+KEPT_STATES = 200_000
 #: Documents that a task encodes before it hands over a batch.
 BATCH = 256
 
@@ -67,13 +68,17 @@ class Transducer:
 
     def merged(self, piece: bytes) -> list[bytes]:
         """The merges by rank, applied to a short piece; used to compare two neighbours."""
+        get, none = self.ranks.get, 1 << 60
         parts = [piece[k:k + 1] for k in range(len(piece))]
-        while len(parts) > 1:
-            pairs = [(self.ranks.get(a + b, 1 << 60), k) for k, (a, b) in enumerate(zip(parts, parts[1:]))]
-            rank, k = min(pairs)
-            if rank == 1 << 60:
-                break
+        order = [get(piece[k:k + 2], none) for k in range(len(piece) - 1)]
+        while order and (best := min(order)) < none:
+            k = order.index(best)
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del order[k]
+            if k:
+                order[k - 1] = get(parts[k - 1] + parts[k], none)
+            if k < len(order):
+                order[k] = get(parts[k] + parts[k + 1], none)
         return parts
 
     def _fits(self, left: bytes | None, token: bytes) -> bool:
@@ -116,6 +121,8 @@ class Transducer:
             ids.append(ranks[token])
             k -= last[k]
         alive.append(n)
+        if alive[0] != cut:  # no entry can begin there any more, so its left neighbour no longer matters
+            prev = b""
         return self._state(prev, text[cut:], (0, *last[cut + 1:]), tuple(j - cut for j in alive)), tuple(reversed(ids))
 
     def _end(self, state: int) -> tuple:
@@ -156,15 +163,14 @@ class Encoder:
         self.known: dict[str, tuple] = {}
 
     def encode(self, text: str) -> list[int]:
-        known, out = self.known, []
-        for m in self.find(text):
-            ids = known.get(m)
-            if ids is None:
-                if len(known) >= KEPT_MATCHES:
-                    known.clear()
-                ids = known[m] = self.transducer.encode(m.encode())
-            out += ids
-        return out
+        known, matches = self.known, self.find(text)
+        new = [m for m in set(matches) if m not in known]
+        if len(known) + len(new) > KEPT_MATCHES:
+            known.clear()
+            new = set(matches)
+        for m in new:
+            known[m] = self.transducer.encode(m.encode())
+        return list(chain.from_iterable(map(known.__getitem__, matches)))
 
 
 class Utf8Stream:
@@ -226,10 +232,11 @@ def decode(encoded: DataFrame, path: str, chunk: int = 4096) -> DataFrame:
         tokens = worker_cache(f"bpe bytes {path}", table)
         for batch in batches:
             column, texts = batch.column(1), []
-            for ids in column.to_pylist():
+            ends, values = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
+            for first, stop in zip(ends[:-1], ends[1:]):
                 stream, out = Utf8Stream(), []
-                for at in range(0, len(ids or ()), chunk):
-                    out.append(stream.push(b"".join([tokens[k] for k in ids[at:at + chunk]])))
+                for at in range(first, stop, chunk):
+                    out.append(stream.push(b"".join(map(tokens.__getitem__, values[at:min(at + chunk, stop)].tolist()))))
                 texts.append("".join(out) + stream.close())
             yield pa.record_batch([batch.column(0), column, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, hmm, packed, quality, secrets, simhash, substrings
+from cartwheel.llm import bpe, hmm, packed, quality, secrets, shards, simhash, substrings
 from cartwheel.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op7_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(documents(spark, sf_dir))
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(documents(spark, sf_dir)).select(
