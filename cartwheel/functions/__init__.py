@@ -22,6 +22,11 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def numeric(c: Column | str) -> Column:
+    """Numeric coercion: a value that is no number becomes NULL (exact to four decimals)."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast("decimal(30,4)")
+
+
 def safe_divide(a, b) -> Column:
     """``a / b`` as double; NULL when ``b`` is 0 or either side is NULL."""
     return F.try_divide(_c(a).cast("double"), _c(b).cast("double"))

@@ -12,6 +12,11 @@ SPINE_START = "2019-01-01"
 SPINE_END = "2026-12-31"
 
 
+def spine_end(ctx) -> str:
+    """Last day of the spine: the parameter, else the reference's end, but never before ``as_of``."""
+    return ctx.param("spine_end", max(SPINE_END, str(ctx.as_of)))
+
+
 def day_spine(spark: SparkSession, start: str = SPINE_START, end: str = SPINE_END,
               col: str = "date_day") -> DataFrame:
     """One row per calendar day in [start, end] (bounded by the calendar, not the data)."""

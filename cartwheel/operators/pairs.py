@@ -4,19 +4,11 @@ Lossless pruning first: a pair can reach ``min_count`` shared baskets only if
 each of its items is in at least ``min_count`` baskets, so rarer items are
 removed, and baskets left with fewer than two items are dropped.
 
-Pairs are then enumerated only inside *normal* baskets (at most
-``max_basket`` items, so at most max_basket^2/2 pairs per basket).  Let h be
-the number of *hot* baskets (more items than that).  Hot baskets add at most
-h to any pair's count, so when h < min_count every qualifying pair already
-co-occurs at least ``min_count - h`` times in normal baskets.  Those are the
-candidates; their exact hot-basket count is added by joining the candidates
-with the hot baskets' membership rows (per candidate at most h rows), and
-the threshold is applied to the sum.  No pair is ever produced from inside a
-hot basket.  Only when h >= min_count (many huge baskets) are hot baskets
-enumerated as well, with AQE's skew-join splitting spreading them.
-
-The self-join on the basket key keeps ``a < b`` as a residual, so each
-unordered pair appears once per basket; pair counts combine map-side.
+Every basket is cut into blocks of about ``block`` items by a hash, and the
+blocks of a basket meet two by two: the join key is (basket, i, j), so no key
+holds more than a block on either side whatever the size of a basket, and a
+basket of one block (the usual case) is just (basket, 0, 0).  Each unordered
+pair of items meets in exactly one (i, j); pair counts combine map-side.
 """
 
 from __future__ import annotations
@@ -24,46 +16,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BASKET = 1000
+BLOCK = 512
 
 
 def item_basket_counts(baskets: DataFrame, basket_col: str, item_col: str) -> DataFrame:
-    """Baskets per item; ``baskets`` must already be distinct on (basket, item)."""
-    return baskets.groupBy(item_col).agg(F.count(F.lit(1)).alias("basket_count"))
+    """Baskets per item; ``baskets`` must already be distinct on (basket, item). A NULL basket is none."""
+    return baskets.where(F.col(basket_col).isNotNull()).groupBy(item_col).agg(F.count(F.lit(1)).alias("basket_count"))
 
 
-def _enumerate(bi: DataFrame, basket_col: str, item_col: str) -> DataFrame:
-    a = bi.select(F.col(basket_col).alias("_ba"), F.col(item_col).alias("item_a"))
-    b = bi.select(F.col(basket_col).alias("_bb"), F.col(item_col).alias("item_b"))
-    pairs = a.join(b, (F.col("_ba") == F.col("_bb")) & (F.col("item_a") < F.col("item_b")), "inner")
-    return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("co_count"))
+def block_rows(items: DataFrame, basket_col: str, item_col: str, block: int) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the block join: rows (_basket, _i, _j, item) with i <= j, own block i on the left, j on the right."""
+    sizes = items.groupBy(F.col(basket_col).alias("_basket")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    blocks = F.ceil(F.col("_n") / block).cast("int")
+    own = F.pmod(F.xxhash64(item_col), blocks).cast("int")
+    met = items.join(sizes, F.col(basket_col) == F.col("_basket")).select(
+        "_basket", F.col(item_col).alias("_item"), own.alias("_own"), (blocks - 1).alias("_last"))
+    left = met.select("_basket", F.col("_own").alias("_i"), F.explode(F.sequence("_own", "_last")).alias("_j"),
+                      F.col("_item").alias("_l"))
+    right = met.select(F.col("_basket").alias("_basket"), F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"),
+                       F.col("_own").alias("_j"), F.col("_item").alias("_r"))
+    return left, right
 
 
 def frequent_pairs(baskets: DataFrame, basket_col: str, item_col: str, min_count: int,
-                   item_counts: DataFrame | None = None, max_basket: int = DEFAULT_MAX_BASKET) -> DataFrame:
+                   item_counts: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """(item_a, item_b, co_count) with item_a < item_b and co_count >= min_count.
 
     ``baskets`` must be distinct on (basket, item).
     """
     min_count = max(int(min_count), 1)
-    bi = baskets.select(basket_col, item_col)
-    counts = item_counts if item_counts is not None else item_basket_counts(bi, basket_col, item_col)
+    items = baskets.select(basket_col, item_col).where(F.col(basket_col).isNotNull() & F.col(item_col).isNotNull())
     if min_count > 1:
-        keep = counts.where(F.col("basket_count") >= min_count).select(item_col)
-        bi = bi.join(keep, item_col, "left_semi")
-    sizes = bi.groupBy(basket_col).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") >= 2)
-    hot = sizes.where(F.col("_size") > max_basket).select(basket_col)
-    n_hot = hot.count()  # one number: hot baskets are at most (rows / max_basket)
-    if n_hot == 0 or n_hot >= min_count:
-        bi = bi.join(sizes.select(basket_col), basket_col, "left_semi")
-        return _enumerate(bi, basket_col, item_col).where(F.col("co_count") >= min_count)
-    normal = bi.join(sizes.where(F.col("_size") <= max_basket).select(basket_col), basket_col, "left_semi")
-    cand = _enumerate(normal, basket_col, item_col).where(F.col("co_count") >= min_count - n_hot)
-    members = bi.join(hot, basket_col, "left_semi")
-    ma = members.select(F.col(basket_col).alias("_hb"), F.col(item_col).alias("item_a"))
-    mb = members.select(F.col(basket_col).alias("_hb"), F.col(item_col).alias("item_b"))
-    hot_counts = (cand.select("item_a", "item_b").join(ma, "item_a").join(mb, ["_hb", "item_b"])
-                  .groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("_hot")))
-    total = cand.join(hot_counts, ["item_a", "item_b"], "left").select(
-        "item_a", "item_b", (F.col("co_count") + F.coalesce(F.col("_hot"), F.lit(0))).alias("co_count"))
-    return total.where(F.col("co_count") >= min_count)
+        counts = item_counts if item_counts is not None else item_basket_counts(items, basket_col, item_col)
+        keep = counts.where(F.col("basket_count") >= min_count).select(F.col(item_col).alias("_keep"))
+        items = items.join(keep, F.col(item_col) == F.col("_keep"), "left_semi")
+    left, right = block_rows(items, basket_col, item_col, block)
+    pairs = left.join(right, ["_basket", "_i", "_j"]).where("_i < _j OR _l < _r")
+    return pairs.groupBy(F.least("_l", "_r").alias("item_a"), F.greatest("_l", "_r").alias("item_b")).agg(
+        F.count(F.lit(1)).alias("co_count")).where(F.col("co_count") >= min_count)

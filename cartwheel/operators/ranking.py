@@ -18,7 +18,8 @@ themselves).  Column pruning makes those branches plan separate range
 exchanges, and each samples its own boundaries from shuffled input whose row
 order is not fixed, so the tagged rows are materialized once with a reliable
 ``checkpoint()`` in the session's checkpoint folder: both branches read the
-same positions, also when an executor is lost and tasks re-run.
+same positions, also when an executor is lost and tasks re-run.  Callers pass
+narrow frames (sort keys and a unique key), so little is written.
 """
 
 from __future__ import annotations
@@ -87,7 +88,31 @@ def ntile_of(rn: Column, n: Column, k: int) -> Column:
     return F.when(rn <= r * big, first_part).otherwise(second_part).cast("long")
 
 
-def ntile(df: DataFrame, k: int, order_by, out_col: str) -> DataFrame:
-    """Add ``out_col`` = ntile(k) over (order by ...) computed without a single-task window."""
-    ranked = row_number(df, order_by, rn_col="_nt_rn", size_col="_nt_n")
-    return ranked.withColumn(out_col, ntile_of(F.col("_nt_rn"), F.col("_nt_n"), k)).drop("_nt_rn", "_nt_n")
+def ntile(df: DataFrame, k: int, column: str, out_col: str, key: str, descending: bool = False) -> DataFrame:
+    """Add ``out_col`` = ntile(k) over (order by column, key) without a single-task window.
+
+    Ascending with NULLs first, or descending with NULLs last; ``key`` is unique and breaks
+    ties.  Only the column and the key are ranked (and written once); the bucket is
+    joined back on the key.
+    """
+    order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_first()
+    ranked = row_number(df.select(key, column), [order, F.col(key).asc_nulls_first()], rn_col="_nt_rn", size_col="_nt_n")
+    buckets = ranked.select(F.col(key).alias("_nt_key"), ntile_of(F.col("_nt_rn"), F.col("_nt_n"), k).alias(out_col))
+    return df.join(buckets, df[key].eqNullSafe(buckets["_nt_key"])).drop("_nt_key")
+
+
+def ntiles(df: DataFrame, key: str, scores) -> DataFrame:
+    """Several numeric ntiles of a narrow frame at once: ``scores`` is [(column, k, descending, out_col)].
+
+    Every row is ranked once per score under one (score, value, key) order, so the
+    frame is computed and written once; the scores of a key then meet in one group.
+    """
+    each = [F.struct(
+        F.lit(i).alias("_score"), F.when(F.col(c).isNull(), 1 if desc else -1).otherwise(0).alias("_nulls"),
+        (F.col(c) * (-1 if desc else 1)).cast("decimal(38,6)").alias("_value")) for i, (c, _, desc, _) in enumerate(scores)]
+    long = df.select("*", F.inline(F.array(*each)))
+    ranked = row_number(long, ["_nulls", "_value", F.col(key).asc_nulls_first()], partition_by=["_score"],
+                        rn_col="_nt_rn", size_col="_nt_n")
+    out = [F.max(F.when(F.col("_score") == i, ntile_of(F.col("_nt_rn"), F.col("_nt_n"), k))).alias(name)
+           for i, (_, k, _, name) in enumerate(scores)]
+    return ranked.groupBy(key).agg(*[F.first(c).alias(c) for c in df.columns if c != key], *out)

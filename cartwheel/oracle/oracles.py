@@ -136,7 +136,6 @@ _model("vw_daily_revenue", _cast("order_date, daily_revenue, order_count, avg_or
 
 # --- metric queries ----------------------------------------------------------
 from cartwheel.oracle.duckdb_sql import avg_exact, sdiv  # noqa: E402
-from cartwheel.plans.quality import CHECKS, checks_of  # noqa: E402
 
 
 def _daily(lo: str, hi: str) -> str:
@@ -144,7 +143,7 @@ def _daily(lo: str, hi: str) -> str:
 SELECT order_date AS date, CAST(SUM(daily_revenue) AS DOUBLE) AS total_revenue,
        CAST(SUM(order_count) AS BIGINT) AS total_orders
 FROM vw_daily_revenue WHERE order_date BETWEEN DATE '{lo}' AND DATE '{hi}'
-GROUP BY 1 ORDER BY 1 LIMIT 100""", "vw_daily_revenue")
+GROUP BY 1""", "vw_daily_revenue")
 
 
 ORACLES["metric_daily_revenue"] = _daily("2025-12-01", "2025-12-30")
@@ -171,6 +170,26 @@ SELECT * FROM (
   FROM vw_orders WHERE order_status IN ('Complete', 'Shipped') AND (user_country <> 'CHINA' OR user_country IS NULL)
   GROUP BY 1) t WHERE count > 100""", "vw_orders")
 
+ORACLES["metric_users_by_first_order"] = sql("""
+SELECT country, COUNT(*) AS count, CAST(SUM(total_orders) AS BIGINT) AS total_orders_placed FROM vw_users
+WHERE first_order_at >= TIMESTAMP '2019-01-01' AND first_order_at < TIMESTAMP '2020-07-01' GROUP BY country""", "vw_users")
+ORACLES["metric_dimensions_only"] = sql("""
+SELECT DISTINCT user_country AS country, order_status AS status FROM vw_orders""", "vw_orders")
+ORACLES["metric_ordered_by_unselected"] = sql(f"""
+SELECT country, count FROM (
+  SELECT user_country AS country, COUNT(*) AS count, {avg_exact('revenue')} AS mean FROM vw_orders GROUP BY 1
+) ORDER BY mean DESC NULLS LAST, country ASC NULLS FIRST LIMIT 10""", "vw_orders")
+ORACLES["metric_year_to_date"] = sql("""
+SELECT order_status AS status, COUNT(*) AS count, CAST(SUM(revenue) AS DOUBLE) AS total_revenue
+FROM vw_orders WHERE year(order_date) = 2025 GROUP BY 1""", "vw_orders")
+ORACLES["metric_last_month"] = sql("""
+SELECT order_date AS date, CAST(SUM(daily_revenue) AS DOUBLE) AS total_revenue, CAST(SUM(order_count) AS BIGINT) AS total_orders
+FROM vw_daily_revenue WHERE strftime(order_date, '%Y-%m') = '2025-05' GROUP BY 1""", "vw_daily_revenue")
+ORACLES["ordered_category_top20"] = sql("""
+SELECT category, department, order_month, CAST(total_revenue AS DOUBLE) AS total_revenue FROM fct_category_performance
+ORDER BY order_month DESC NULLS LAST, fct_category_performance.total_revenue DESC NULLS LAST, category, department LIMIT 20""",
+                                        "fct_category_performance")
+
 # --- ad-hoc analyses ---------------------------------------------------------
 ORACLES["topk_products_by_return_rate"] = sql("""
 SELECT product_name, return_rate, total_units_sold FROM fct_product_performance WHERE total_units_sold > 10
@@ -223,13 +242,86 @@ FROM (
          CAST(MAX(tr) AS DOUBLE) AS max_daily_revenue, CAST(MIN(tr) AS DOUBLE) AS min_daily_revenue,
          {avg_exact('tr')} AS avg_daily_revenue, COUNT(*) AS days_of_data
   FROM (SELECT order_date, SUM(daily_revenue) AS tr, SUM(order_count) AS tor FROM vw_daily_revenue
-        WHERE order_date BETWEEN DATE '2024-12-31' AND DATE '2025-12-30' GROUP BY 1 ORDER BY 1 LIMIT 100) d
+        WHERE order_date BETWEEN DATE '2024-12-31' AND DATE '2025-12-30' GROUP BY 1) d
 ) k""", "vw_daily_revenue")
 ORACLES["sql_adhoc_monthly_by_status"] = sql("""
 SELECT order_month, order_status, order_count, CAST(revenue AS DOUBLE) AS revenue FROM fct_order_status
 WHERE order_status IN ('Complete', 'Returned')""", "fct_order_status")
 
 # --- data-quality checks -----------------------------------------------------
+# The declared checks, written from the schema files one by one (n not_null,
+# u unique), with the number of checks of each file; a test holds this list against the engine's.
+DECLARED = {
+    "staging": (21, """
+        stg_orders order_id:nu user_id:n status:accepted
+        stg_order_items order_item_id:nu order_id:n order_id:parent user_id:n product_id:n sale_price:n
+        stg_users user_id:nu
+        stg_products product_id:nu
+        stg_events event_id:nu
+        stg_inventory_items inventory_item_id:nu
+        stg_distribution_centers distribution_center_id:nu"""),
+    "intermediate": (5, """
+        int_order_items_enriched order_item_id:nu order_id:n
+        int_user_order_summary user_id:nu"""),
+    "core": (7, """
+        fct_orders order_id:nu user_id:n
+        dim_users user_id:nu
+        dim_products product_id:nu"""),
+    "customers": (9, """
+        fct_customer_orders user_id:nu customer_status:accepted
+        fct_rfm_scores user_id:nu
+        fct_customer_cohorts user_id:n activity_month:n
+        fct_customer_retention signup_cohort:n months_since_signup:n"""),
+    "products": (5, """
+        fct_product_performance product_id:nu
+        fct_category_performance category:n order_month:n
+        fct_product_affinity product_name_a:n"""),
+    "revenue": (7, """
+        fct_daily_revenue order_date:nu
+        fct_monthly_revenue order_month:nu
+        fct_cohort_revenue signup_cohort:n order_month:n
+        fct_geography_revenue country:n"""),
+    "metrics": (2, """
+        daily_revenue order_date:nu"""),
+    "operations": (9, """
+        fct_order_status order_month:n order_status:n
+        fct_fulfillment order_id:nu
+        fct_fulfillment_summary order_month:nu
+        fct_returns product_id:nu
+        fct_distribution_center_performance distribution_center_id:n"""),
+    "web": (5, """
+        fct_sessions session_id:nu
+        fct_web_funnel event_date:n
+        fct_traffic_source_performance traffic_source:n
+        fct_browser_performance browser:n"""),
+    "semantic": (6, """
+        vw_orders order_id:nu
+        vw_daily_revenue order_date:nu
+        vw_users user_id:nu"""),
+}
+ACCEPTED = {"stg_orders.status": ["Shipped", "Complete", "Returned", "Cancelled", "Processing"],
+            "fct_customer_orders.customer_status": ["New", "Repeat", "Loyal"]}
+PARENTS = {"stg_order_items.order_id": ("stg_orders", "order_id")}
+
+
+def declared() -> list[tuple]:
+    """(model, column, test, argument) of every declared check."""
+    out = []
+    for count, text in DECLARED.values():
+        before = len(out)
+        for line in text.split("\n")[1:]:
+            model, *columns = line.split()
+            for column, tests in (c.split(":") for c in columns):
+                name = f"{model}.{column}"
+                if tests == "accepted":
+                    out.append((model, column, "accepted_values", ACCEPTED[name]))
+                elif tests == "parent":
+                    out.append((model, column, "relationships", PARENTS[name]))
+                else:
+                    out += [(model, column, {"n": "not_null", "u": "unique"}[t], None) for t in tests]
+        if len(out) - before != count:
+            raise ValueError(f"{len(out) - before} checks listed, {count} declared: {text}")
+    return out
 
 
 def _check_sql(model: str, col: str, test: str, arg) -> str:
@@ -252,11 +344,9 @@ def _checks_sql(checks) -> str:
     return sql("\nUNION ALL\n".join(_check_sql(*c) for c in checks), *models)
 
 
-ORACLES["dq_not_null"] = _checks_sql(checks_of("not_null", foundation_only=True))
-ORACLES["dq_unique"] = _checks_sql(checks_of("unique", foundation_only=True))
-ORACLES["dq_accepted_values"] = _checks_sql(checks_of("accepted_values"))
-ORACLES["dq_relationships"] = _checks_sql(checks_of("relationships"))
-ORACLES["dq_report"] = _checks_sql(CHECKS)
+for _test in ("not_null", "unique", "accepted_values", "relationships"):
+    ORACLES[f"dq_{_test}"] = _checks_sql([c for c in declared() if c[2] == _test])
+ORACLES["dq_report"] = _checks_sql(declared())
 
 # --- primitive-level keys ----------------------------------------------------
 from cartwheel.oracle.duckdb_sql import AS_OF, product_affinity_sql  # noqa: E402
@@ -287,7 +377,7 @@ SELECT s.session_id, s.user_id, CAST(COUNT(o.order_id) AS BIGINT) AS same_day_or
 FROM fct_sessions s
 LEFT JOIN fct_orders o ON s.user_id = o.user_id AND CAST(s.session_start_at AS DATE) = CAST(o.order_created_at AS DATE)
 GROUP BY s.session_id, s.user_id""", "fct_sessions", "fct_orders")
-ORACLES["join_self_pairs"] = sql("SELECT * FROM (" + product_affinity_sql(2) + ") x", "int_order_items_enriched")
+ORACLES["join_self_pairs"] = sql("SELECT * FROM (" + product_affinity_sql(2) + ") x", "stg_order_items", "stg_products")
 ORACLES["join_cross_scalar"] = sql(f"""
 SELECT g.product_id, CAST(g.revenue AS DOUBLE) AS revenue, {sdiv('g.revenue', 't.total')} AS revenue_share
 FROM (SELECT product_id, SUM(sale_price) AS revenue FROM int_order_items_enriched GROUP BY 1) g
@@ -332,6 +422,10 @@ SELECT user_id, activity_month, orders_in_month, cumulative_orders FROM fct_cust
 ORACLES["fn_safe_divide"] = sql(f"""
 SELECT product_id, returned_units, total_orders, {sdiv('returned_units', 'total_orders')} AS ratio,
        {sdiv('returned_units', 'returned_units - returned_units')} AS by_zero FROM fct_returns""", "fct_returns")
+ORACLES["fn_numeric"] = sql("""
+SELECT product_id, raw, CAST(TRY_CAST(raw AS DECIMAL(30,4)) AS DOUBLE) AS value FROM (
+  SELECT product_id, CASE product_id % 3 WHEN 0 THEN sku WHEN 1 THEN substr(sku, 5) ELSE CAST(retail_price AS VARCHAR) || '0' END AS raw
+  FROM stg_products)""", "stg_products")
 ORACLES["fn_date_trunc"] = sql("""
 SELECT order_id, date_trunc('month', order_created_at) AS month_ts, date_trunc('quarter', order_created_at) AS quarter_ts,
        CAST(date_trunc('month', order_date) AS DATE) AS month_date, CAST(date_trunc('quarter', order_date) AS DATE) AS quarter_date

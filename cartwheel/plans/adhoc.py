@@ -13,14 +13,14 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions import safe_divide
+from cartwheel.functions import numeric, safe_divide
 from cartwheel.plans.context import LAYERS, MODELS
 from cartwheel.plans.intermediate import enriched_items
 from cartwheel.plans.metrics import revenue_by_date
 
 ROW_CAP = 100
 
-# Domain -> tables catalogue shown to question writers.
+# Domain -> marts, shown to question writers (all marts, by our own domains).
 CATALOGUE = {
     "customers": ["fct_customer_orders", "fct_rfm_scores", "fct_customer_cohorts", "fct_customer_retention"],
     "products": ["fct_product_performance", "fct_category_performance", "fct_brand_performance",
@@ -33,23 +33,53 @@ CATALOGUE = {
 }
 
 
+# Plan nodes a read-only query may consist of; commands and writes are not among them.
+QUERY_NODES = {
+    "Aggregate", "Deduplicate", "Distinct", "Except", "Filter", "Generate", "GlobalLimit", "GroupingSets", "Intersect", "Join",
+    "LateralJoin", "LocalLimit", "LocalRelation", "Offset", "OneRowRelation", "Pivot", "Project", "RebalancePartitions",
+    "Repartition", "RepartitionByExpression", "Sample", "Sort", "SubqueryAlias", "Union", "Unpivot", "UnresolvedHaving",
+    "UnresolvedHint", "UnresolvedInlineTable", "UnresolvedOrdinal", "UnresolvedRelation", "UnresolvedSubqueryColumnAliases",
+    "UnresolvedTableValuedFunction", "UnresolvedWith", "Window", "WithWindowDefinition",
+}
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def tables_read(ctx, statement: str) -> set[str]:
+    """Names of the relations a statement reads; ValueError if its parsed plan is anything but a query."""
+    plan = ctx.spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    found, todo = set(), [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind not in QUERY_NODES:
+            raise ValueError(f"only queries are accepted, not {kind}")
+        if kind == "UnresolvedRelation":
+            found.add(".".join(_items(node.multipartIdentifier())))
+        todo += _items(node.children()) + _items(node.subqueries())
+        if kind == "UnresolvedWith":
+            todo += _items(node.innerChildren())
+    return found
+
+
 def run_sql(ctx, statement: str) -> DataFrame:
-    """Run one SELECT over the named models (registered lazily as temp views)."""
+    """Run one query over the models it names (registered lazily as temp views)."""
     text = statement.strip().rstrip(";")
-    head = text.split(None, 1)[0].upper() if text else ""
-    if head not in ("SELECT", "WITH"):
-        raise ValueError("only SELECT statements are accepted")
-    lowered = text.lower()
-    for name in MODELS:
-        if LAYERS[name] != "staging" and name in lowered:
+    for name in tables_read(ctx, text):
+        if name in MODELS and LAYERS[name] != "staging":
             ctx.ref(name).createOrReplaceTempView(name)
     return ctx.spark.sql(text)
 
 
 def capped(df: DataFrame, cap: int = ROW_CAP) -> tuple[list[dict], int]:
-    """First ``cap`` rows as dicts and the full row count (the API edge)."""
-    rows = [r.asDict() for r in df.limit(cap).collect()]
-    return rows, df.count()
+    """First ``cap`` rows as dicts and the full row count (the API edge).
+
+    A result shorter than the cap has been counted by reading it; only a longer one is counted again.
+    """
+    rows = [r.asDict() for r in df.limit(cap + 1).collect()]
+    return rows[:cap], len(rows) if len(rows) <= cap else df.count()
 
 
 def topk_products_by_return_rate(ctx, min_units: int = 10, k: int = 10) -> DataFrame:
@@ -122,9 +152,9 @@ def top_customers(ctx, k: int = 10) -> DataFrame:
 
 
 def kpi_summary(ctx, days: int = 30) -> DataFrame:
-    """Dashboard KPIs over the daily revenue series (a global aggregate, one row)."""
-    s = revenue_by_date(ctx, days)
-    g = s.agg(F.sum("total_revenue").alias("total_revenue"), F.sum("total_orders").alias("total_orders"),
+    """Dashboard KPIs over the whole daily revenue series (a global aggregate, one row)."""
+    s = revenue_by_date(ctx, days).select(*[numeric(c).alias(c) for c in ("total_revenue", "total_orders")])
+    g = s.agg(F.sum("total_revenue").alias("total_revenue"), F.sum("total_orders").cast("bigint").alias("total_orders"),
               F.max("total_revenue").alias("max_daily_revenue"), F.min("total_revenue").alias("min_daily_revenue"),
               F.try_divide(F.sum("total_revenue").cast("double"), F.count("total_revenue").cast("double"))
               .alias("avg_daily_revenue"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.functions import day_diff, quarter_end, safe_divide, us_week
-from cartwheel.operators.calendar import day_spine
+from cartwheel.operators.calendar import SPINE_START, day_spine, spine_end
 from cartwheel.operators.ranking import ntile
 from cartwheel.plans.context import model
 from cartwheel.plans.intermediate import enriched_items
@@ -84,7 +84,7 @@ def dim_products(ctx):
         "distribution_center_id",
         (F.col("retail_price") - F.col("cost")).alias("margin_amount"),
         safe_divide(F.col("retail_price") - F.col("cost"), F.col("retail_price")).alias("margin_percentage"))
-    calc = ntile(calc, 4, ["retail_price", "product_id"], "price_quartile")
+    calc = ntile(calc, 4, "retail_price", "price_quartile", key="product_id")
     mp = F.col("margin_percentage")
     margin_tier = (F.when(mp < 0.20, "Low").when((mp >= 0.20) & (mp < 0.40), "Medium").otherwise("High"))
     q = F.col("price_quartile")
@@ -98,7 +98,7 @@ def dim_products(ctx):
 def dim_date(ctx):
     d = F.col("date_day")
     dow = F.dayofweek(d)
-    spine = day_spine(ctx.spark, ctx.param("spine_start", "2019-01-01"), ctx.param("spine_end", "2026-12-31"))
+    spine = day_spine(ctx.spark, ctx.param("spine_start", SPINE_START), spine_end(ctx))
     return spine.select(
         d.alias("date_key"), dow.cast("long").alias("day_of_week"),
         F.date_format(d, "EEEE").alias("day_name"), dow.isin(1, 7).alias("is_weekend"),

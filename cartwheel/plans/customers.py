@@ -6,8 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import day_diff, month_diff, safe_divide
-from cartwheel.operators.calendar import SPINE_END, SPINE_START, month_grid, month_of
-from cartwheel.operators.ranking import ntile
+from cartwheel.operators.calendar import SPINE_START, month_grid, month_of, spine_end
+from cartwheel.operators.ranking import ntiles
 from cartwheel.plans.context import model
 
 
@@ -58,15 +58,13 @@ def rfm_segment(r, f, m):
 
 @model("fct_rfm_scores", "customers")
 def fct_rfm_scores(ctx):
-    """Three global quintiles, each by the distributed ntile (no single-task window)."""
+    """Three global quintiles, ranked together by the distributed ntile (no single-task window)."""
     s = ctx.ref("int_user_order_summary")
     as_of = F.lit(ctx.as_of).cast("date")
     base = s.select("user_id", day_diff(as_of, F.to_date("last_order_at")).alias("recency_days"),
                     F.col("total_orders").alias("frequency"), F.col("total_revenue").alias("monetary"))
-    uid = F.col("user_id").asc_nulls_first()
-    scored = ntile(base, 5, [F.col("recency_days").desc_nulls_last(), uid], "recency_score")
-    scored = ntile(scored, 5, [F.col("frequency").asc_nulls_first(), uid], "frequency_score")
-    scored = ntile(scored, 5, [F.col("monetary").asc_nulls_first(), uid], "monetary_score")
+    scored = ntiles(base, "user_id", [("recency_days", 5, True, "recency_score"), ("frequency", 5, False, "frequency_score"),
+                                      ("monetary", 5, False, "monetary_score")])
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
     return scored.select(
         "user_id", "recency_days", "frequency", "monetary", "recency_score", "frequency_score", "monetary_score",
@@ -84,15 +82,16 @@ def fct_customer_cohorts(ctx):
     largest frame here -- is generated in place and never shuffled.  The
     monthly order aggregate (combined map-side: a user with a huge share of
     orders still brings at most one row per month) is partitioned the same
-    way and joined on user_id alone, with the month match as a residual
-    (at most 96 x 96 row pairs per user); the running sums then reuse the
-    user_id partitioning, so the whole model costs two shuffles of small
-    inputs.
+    way and joined on (user_id, month), which keeps the user_id partitioning
+    (spark.sql.requireAllClusterKeysForCoPartition is off); the running sums
+    reuse it, so the whole model costs two shuffles of small inputs.  The
+    window is also partitioned by signup_cohort (one per user), so a filter on
+    the cohort reaches the users below the grid.
     """
     u = ctx.ref("dim_users").where(F.col("user_id").isNotNull())
     signup_month = F.trunc(F.to_date("created_at"), "month")
     first = F.greatest(signup_month, month_of(ctx.param("spine_start", SPINE_START)))
-    last = F.least(month_of(ctx.as_of), month_of(ctx.param("spine_end", SPINE_END)))
+    last = F.least(month_of(ctx.as_of), month_of(spine_end(ctx)))
     users = u.select("user_id", "signup_cohort", signup_month.alias("_signup_month"),
                      first.alias("_first"), last.alias("_last")).repartition("user_id")
     grid = users.select("user_id", "signup_cohort", "_signup_month",
@@ -102,17 +101,14 @@ def fct_customer_cohorts(ctx):
         F.trunc(F.to_date("order_created_at"), "month").alias("_o_month")).agg(
         F.count(F.lit(1)).alias("_orders"), F.sum("item_count").alias("_items"),
         F.coalesce(F.sum("total_revenue"), F.lit(0)).alias("_revenue")).repartition("_o_user")
-    # user_id is the only join key (keeps the grid's partitioning); the month
-    # equality is written as datediff(...) = 0 so it stays a residual condition
-    same_month = F.datediff(grid["activity_month"], orders["_o_month"]) == 0
-    j = grid.join(orders, (grid["user_id"] == orders["_o_user"]) & same_month, "left")
+    j = grid.join(orders, (grid["user_id"] == orders["_o_user"]) & (grid["activity_month"] == orders["_o_month"]), "left")
     n_orders = F.coalesce(F.col("_orders"), F.lit(0))
     joined = j.select(
         "user_id", "signup_cohort", "activity_month",
         month_diff("activity_month", "_signup_month").alias("months_since_signup"),
         n_orders.alias("orders_in_month"), F.coalesce(F.col("_items"), F.lit(0)).alias("items_in_month"),
         F.coalesce(F.col("_revenue"), F.lit(0)).alias("revenue_in_month"), (n_orders > 0).alias("is_active"))
-    w = Window.partitionBy("user_id").orderBy("activity_month").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("user_id", "signup_cohort").orderBy("activity_month").rowsBetween(Window.unboundedPreceding, 0)
     return joined.select("*", F.sum("orders_in_month").over(w).alias("cumulative_orders"),
                          F.sum("revenue_in_month").over(w).alias("cumulative_revenue"))
 

@@ -97,6 +97,17 @@ def resolve_date_range(date_range, as_of: str) -> tuple[dt.date, dt.date]:
     """[start, end] inclusive.  "last N days" is the N whole days before ``as_of``."""
     as_of_d = dt.date.fromisoformat(str(as_of))
     if isinstance(date_range, str):
+        named = date_range.strip().lower()
+        if named in ("ytd", "year to date", "this year"):  # the as-of date's year; data after it has not happened
+            return as_of_d.replace(month=1, day=1), as_of_d.replace(month=12, day=31)
+        if named == "last quarter":
+            this = as_of_d.replace(month=(as_of_d.month - 1) // 3 * 3 + 1, day=1)
+            end = this - dt.timedelta(days=1)
+            return end.replace(month=end.month - 2, day=1), end
+        if named == "last year":
+            return dt.date(as_of_d.year - 1, 1, 1), dt.date(as_of_d.year - 1, 12, 31)
+        if named in ("last month", "last week", "last day"):
+            date_range = named.replace("last ", "last 1 ")
         m = _LAST_N.match(date_range)
         if not m:
             raise ValueError(f"unsupported dateRange {date_range!r}")
@@ -141,11 +152,11 @@ def _filter_col(col: Column, op: str, values) -> Column:
         return out
     if op == "inDateRange":
         lo, hi = values
-        return col.between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
+        return F.to_date(col).between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
     raise ValueError(f"unsupported filter operator {op!r}")
 
 
-def metric_query(ctx, measures, dimensions=None, filters=None, time_dimensions=None, order=None,
+def metric_query(ctx, measures=(), dimensions=None, filters=None, time_dimensions=None, order=None,
                  limit: int | None = 100) -> DataFrame:
     members = list(measures) + list(dimensions or []) + [f["member"] for f in (filters or [])] \
         + [t["dimension"] for t in (time_dimensions or [])] + list((order or {}).keys())
@@ -182,18 +193,29 @@ def metric_query(ctx, measures, dimensions=None, filters=None, time_dimensions=N
             base = base.where(day.between(F.lit(lo.isoformat()).cast("date"), F.lit(hi.isoformat()).cast("date")))
         if t.get("granularity"):
             group_cols.append(_truncate(src, t["granularity"], is_date).alias(name))
-    aggs = []
-    for m in measures:
-        _, name = _split(m)
+    def measure(name):
         if name not in cube.measures:
-            raise ValueError(f"unknown measure {m}")
-        aggs.append(_measure_col(cube.measures[name]).alias(name))
-    out = base.groupBy(*group_cols).agg(*aggs) if group_cols else base.agg(*aggs)
+            raise ValueError(f"unknown measure {cube.name}.{name}")
+        return _measure_col(cube.measures[name])
+
+    selected = [_split(m)[1] for m in measures]
+    # measures that only a filter or the order names are computed and dropped at the end
+    extra = [n for n in [n for n, _, _ in measure_filters] + [_split(m)[1] for m in (order or {})]
+             if n in cube.measures and n not in selected]
+    aggs = [measure(n).alias(n) for n in dict.fromkeys(selected + extra)]
+    if not aggs and not group_cols:
+        raise ValueError("a metric query needs a measure, a dimension or a time grain")
+    if not aggs:
+        out = base.select(*group_cols).distinct()
+    else:
+        out = base.groupBy(*group_cols).agg(*aggs) if group_cols else base.agg(*aggs)
     for name, op, values in measure_filters:
         out = out.where(_filter_col(F.col(name), op, values))
     sort = []
     for member, direction in (order or {}).items():
         _, name = _split(member)
+        if name not in out.columns:
+            raise ValueError(f"cannot order by {member}: a dimension must be selected (or given a grain) to order by it")
         c = F.col(name)
         sort.append(c.desc_nulls_last() if str(direction).lower() == "desc" else c.asc_nulls_first())
     if not sort:
@@ -201,14 +223,14 @@ def metric_query(ctx, measures, dimensions=None, filters=None, time_dimensions=N
         if times:
             sort.append(F.col(_split(times[0]["dimension"])[1]).asc_nulls_first())
         elif measures:
-            sort.append(F.col(_split(measures[0])[1]).desc_nulls_last())
+            sort.append(F.col(selected[0]).desc_nulls_last())
     # dimension columns as tie-breaks make the limited row set deterministic
-    sort += [F.col(c).asc_nulls_first() for c in out.columns if c not in {_split(m)[1] for m in measures}]
+    sort += [F.col(c).asc_nulls_first() for c in out.columns if c not in cube.measures or c not in selected + extra]
     if sort:
         out = out.orderBy(*sort)
-    if limit is not None and (group_cols or not aggs):
+    if limit is not None and group_cols:
         out = out.limit(int(limit))
-    return out
+    return out.drop(*extra) if extra else out
 
 
 def cube_meta(spark) -> DataFrame:
@@ -223,11 +245,12 @@ def cube_meta(spark) -> DataFrame:
 
 
 # Named metric calls of the reference's API.
-def revenue_by_date(ctx, days: int = 30) -> DataFrame:
+def revenue_by_date(ctx, days: int = 30, limit: int | None = None) -> DataFrame:
+    """Daily revenue and orders of the whole period; a listing may ask for a limit."""
     return metric_query(ctx, ["revenue_daily.total_revenue", "revenue_daily.total_orders"], [],
                         time_dimensions=[{"dimension": "revenue_daily.date", "dateRange": f"last {days} days",
                                           "granularity": "day"}],
-                        order={"revenue_daily.date": "asc"})
+                        order={"revenue_daily.date": "asc"}, limit=limit)
 
 
 def revenue_by_country(ctx) -> DataFrame:

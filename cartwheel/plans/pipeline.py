@@ -4,10 +4,9 @@ Staging models and public views stay lazy (views in the reference); the
 intermediate models and marts are written as Parquet.  After each write,
 ``ref(name)`` is re-pointed at the written table, so downstream models read
 the stored result instead of recomputing its lineage, and a lost executor
-only re-runs the model being written.  Output defaults to a ``marts`` folder
-under the cluster's ``spark.checkpoint.dir``.
+only re-runs the model being written.
 
-usage: python -m cartwheel.plans.pipeline --sf-dir DIR [--out DIR] [--as-of YYYY-MM-DD] [--checks]
+usage: python -m cartwheel.plans.pipeline --sf-dir DIR --out DIR [--as-of YYYY-MM-DD] [--checks]
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ import time
 from cartwheel import DEFAULT_AS_OF
 from cartwheel.plans import load_models
 from cartwheel.plans.context import LAYERS, ModelContext
+from cartwheel.plans.quality import require_keys, run_checks
 from cartwheel.session import checkpoint_dir, configure
 
 # Topological order of the materialized models (each after everything it refs).
@@ -45,14 +45,20 @@ CLUSTER_BY = {
 }
 
 
-def build_all(ctx: ModelContext, out_dir: str | None = None, models: list[str] | None = None,
-              log=None) -> dict[str, float]:
-    """Write each model of ``BUILD_ORDER`` (or ``models``) to ``out_dir/<name>``; returns seconds per model."""
+def build_all(ctx: ModelContext, out_dir: str, models: list[str] | None = None, log=None,
+              check_keys: bool = True) -> dict[str, float]:
+    """Write each model of ``BUILD_ORDER`` (or ``models``) to ``out_dir/<name>``; returns seconds per model.
+
+    The declared keys of the sources are checked first: nothing is written if one does not hold.
+    """
     load_models()
     spark = ctx.spark
     configure(spark)
-    root = (out_dir or f"{checkpoint_dir(spark).rstrip('/')}/marts").rstrip("/")
+    checkpoint_dir(spark)
+    root = out_dir.rstrip("/")
     timings: dict[str, float] = {}
+    if check_keys:
+        require_keys(ctx)
     for name in models or BUILD_ORDER:
         if LAYERS.get(name) in VIEW_LAYERS:
             continue
@@ -69,16 +75,14 @@ def build_all(ctx: ModelContext, out_dir: str | None = None, models: list[str] |
     return timings
 
 
-def build_and_check(ctx: ModelContext, out_dir: str | None = None, log=None):
+def build_and_check(ctx: ModelContext, out_dir: str, log=None):
     """Build every mart, then run the declared checks over the written tables.
 
     The report (model, column_name, test, failures) is written next to the
     marts as ``_dq_report``; returns (timings, report DataFrame).
     """
-    from cartwheel.plans.quality import run_checks
-
     timings = build_all(ctx, out_dir, log=log)
-    root = (out_dir or f"{checkpoint_dir(ctx.spark).rstrip('/')}/marts").rstrip("/")
+    root = out_dir.rstrip("/")
     run_checks(ctx).write.mode("overwrite").parquet(f"{root}/_dq_report")
     return timings, ctx.spark.read.parquet(f"{root}/_dq_report")
 
@@ -90,7 +94,7 @@ def main(argv=None):
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("--sf-dir", help="driver fixture tables (TPC-H style)")
     ap.add_argument("--sources", help="folder of the seven source tables as parquet")
-    ap.add_argument("--out", default=None)
+    ap.add_argument("--out", required=True, help="folder of the marts, on storage that all executors share")
     ap.add_argument("--as-of", default=DEFAULT_AS_OF)
     ap.add_argument("--checks", action="store_true", help="run the declared checks after the build")
     args = ap.parse_args(argv)

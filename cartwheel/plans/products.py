@@ -70,20 +70,18 @@ def fct_brand_performance(ctx):
 def fct_product_affinity(ctx):
     """Market-basket pairs (a < b) sharing at least ``min_support_count`` orders."""
     min_count = int(ctx.param("min_support_count", 10))
-    items = enriched_items(ctx, "order_id", "product_id", "product_name", "category").distinct()
-    baskets = items.select("order_id", "product_id").distinct()
+    baskets = enriched_items(ctx, "order_id", "product_id").distinct().where(F.col("order_id").isNotNull())
     stats = item_basket_counts(baskets, "order_id", "product_id")
-    total = items.select(F.countDistinct("order_id").alias("t")).scalar()
-    pairs = frequent_pairs(baskets, "order_id", "product_id", min_count, item_counts=stats,
-                           max_basket=int(ctx.param("max_basket_items", 1000)))
-    attrs = items.select("product_id", "product_name", "category").distinct()
-    a = attrs.select(F.col("product_id").alias("item_a"), F.col("product_name").alias("product_name_a"),
-                     F.col("category").alias("category_a"))
-    b = attrs.select(F.col("product_id").alias("item_b"), F.col("product_name").alias("product_name_b"),
-                     F.col("category").alias("category_b"))
-    sa = stats.select(F.col("product_id").alias("item_a"), F.col("basket_count").alias("product_a_order_count"))
-    sb = stats.select(F.col("product_id").alias("item_b"), F.col("basket_count").alias("product_b_order_count"))
-    j = pairs.join(a, "item_a").join(b, "item_b").join(sa, "item_a").join(sb, "item_b")
+    total = baskets.select(F.countDistinct("order_id").alias("t")).scalar()
+    pairs = frequent_pairs(baskets, "order_id", "product_id", min_count, item_counts=stats)
+    # names only for the products of surviving pairs
+    products = ctx.ref("stg_products")
+    j = pairs
+    for side in ("a", "b"):
+        named = products.select(F.col("product_id").alias(f"_p{side}"), F.col("product_name").alias(f"product_name_{side}"),
+                                F.col("category").alias(f"category_{side}"))
+        count = stats.select(F.col("product_id").alias(f"_s{side}"), F.col("basket_count").alias(f"product_{side}_order_count"))
+        j = j.join(count, F.col(f"item_{side}") == F.col(f"_s{side}")).join(named, F.col(f"item_{side}") == F.col(f"_p{side}"), "left")
     co, pa, pb, t = (F.col("co_occurrence_count"), F.col("product_a_order_count"),
                      F.col("product_b_order_count"), F.col("total_order_count"))
     j = j.select(F.col("item_a").alias("product_id_a"), "product_name_a", "category_a",

@@ -3,16 +3,22 @@
 Failure counts follow the usual test semantics: not_null counts NULL rows;
 unique counts values that occur more than once; accepted_values counts
 distinct non-NULL values outside the list; relationships counts child rows
-whose non-NULL key has no parent.  Per model, all not_null and
-accepted_values checks are one aggregate pass; each unique check is a
-map-side-combined group count; relationships is a left-anti join.
+whose non-NULL key has no parent.  Per model the not_null and unique checks are one
+keyed count (map-side combined) summed up; accepted_values is one more
+aggregate, relationships a left-anti join.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.plans.intermediate import INT1, enriched_items
+from cartwheel.plans.staging import events
+from cartwheel.session import checkpoint_dir
+
 # The declared column tests, (model, column, test, argument).
 ORDER_STATUSES = ["Shipped", "Complete", "Returned", "Cancelled", "Processing"]
 CUSTOMER_STATUSES = ["New", "Repeat", "Loyal"]
@@ -72,36 +78,44 @@ CHECKS = [
     ("vw_users", "user_id", "unique", None), ("vw_users", "user_id", "not_null", None),
 ]
 
-# Models of the staging, intermediate and core layers: the foundation every mart reads.
-FOUNDATION_PREFIXES = ("stg_", "int_", "dim_", "fct_orders")
-
-
-def checks_of(kind: str | None = None, foundation_only: bool = False) -> list:
-    """Declared checks of one test kind, optionally only those on foundation models."""
-    return [c for c in CHECKS if (kind is None or c[2] == kind)
-            and (not foundation_only or c[0].startswith(FOUNDATION_PREFIXES))]
-
-
-def _rows(model: str, pairs: list[tuple[str, str, DataFrame]]) -> list[DataFrame]:
-    return [df.select(F.lit(model).alias("model"), F.lit(col).alias("column_name"), F.lit(test).alias("test"),
-                      F.col("failures").cast("long").alias("failures")) for col, test, df in pairs]
 
 
-def not_null_failures(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One pass: NULL count per column, as rows (column_name, failures)."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)])
-    stacked = ", ".join(f"'{c}', c{i}" for i, c in enumerate(columns))
-    return agg.selectExpr(f"stack({len(columns)}, {stacked}) AS (column_name, failures)")
-
-
-def unique_failures(df: DataFrame, column: str) -> DataFrame:
-    dup = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return dup.agg(F.count(F.lit(1)).alias("failures"))
-
-
-def accepted_values_failures(df: DataFrame, column: str, values: list[str]) -> DataFrame:
-    c = F.col(column)
-    return df.agg(F.countDistinct(F.when(c.isNotNull() & ~c.isin(*values), c)).alias("failures"))
+def checks_of(kind: str) -> list:
+    """All declared checks of one test kind."""
+    return [c for c in CHECKS if c[2] == kind]
+
+
+def column_failures(df: DataFrame, not_null=(), unique=(), accepted=()) -> DataFrame:
+    """The column checks of one frame as rows (column_name, test, failures).
+
+    ``accepted`` is [(column, values)].  A unique column makes one keyed count, from which the
+    NULL counts and bad values of the other columns are summed as well, so a model with a
+    key is read once; further unique columns, or a model without one, take a pass each.
+    """
+    checks = [(c, "not_null", F.col(c).isNull(), None) for c in not_null]
+    checks += [(c, "accepted_values", F.col(c).isNotNull() & ~F.col(c).isin(*v), F.col(c)) for c, v in accepted]
+    parts = []
+    for k, key in enumerate(unique or (None,)):
+        here = checks if k == 0 else []
+        flat = [(i, bad) for i, (_, _, bad, value) in enumerate(here) if value is None]
+        if key is not None:
+            keyed = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"),
+                                                             *[F.count_if(bad).alias(f"c{i}") for i, bad in flat])
+            one = keyed.agg(F.count_if((F.col("_n") > 1) & F.col("_key").isNotNull()).alias("u"),
+                            *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i, _ in flat])
+        elif flat:
+            one = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, bad in flat])
+        rows = [F.struct(F.lit(here[i][0]).alias("column_name"), F.lit(here[i][1]).alias("test"),
+                         F.col(f"c{i}").cast("long").alias("failures")) for i, _ in flat]
+        if key is not None:
+            rows.append(F.struct(F.lit(key).alias("column_name"), F.lit("unique").alias("test"), F.col("u").cast("long").alias("failures")))
+        if rows:
+            parts.append(one.select(F.inline(F.array(*rows))))
+        for c, test, bad, value in here:
+            if value is not None:  # distinct bad values, not rows
+                parts.append(df.agg(F.countDistinct(F.when(bad, value)).alias("failures")).select(
+                    F.lit(c).alias("column_name"), F.lit(test).alias("test"), "failures"))
+    return union_all(parts)
 
 
 def relationships_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -110,31 +124,69 @@ def relationships_failures(child: DataFrame, column: str, parent: DataFrame, par
     return orphans.agg(F.count(F.lit(1)).alias("failures"))
 
 
+def _frame(ctx, model: str, columns: list[str]) -> DataFrame:
+    """Only the columns a check reads; models that can leave out joins or numbering are asked to."""
+    if model == "stg_events":
+        return events(ctx, *columns)
+    if model == INT1:
+        return enriched_items(ctx, *columns)
+    return ctx.ref(model).select(*columns)
+
+
 def run_checks(ctx, checks=None) -> DataFrame:
-    """All checks as one DataFrame: (model, column_name, test, failures)."""
+    """All checks as one DataFrame: (model, column_name, test, failures); one pass over most models."""
     checks = CHECKS if checks is None else checks
     by_model: dict[str, list] = {}
     for chk in checks:
         by_model.setdefault(chk[0], []).append(chk)
     parts: list[DataFrame] = []
     for model, chks in by_model.items():
-        df = ctx.ref(model)
-        nn = [c for _, c, t, _ in chks if t == "not_null"]
-        if nn:
-            s = not_null_failures(df, nn)
-            parts.append(s.select(F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
-                                  F.col("failures").cast("long").alias("failures")))
+        of = lambda test: [c for _, c, t, _ in chks if t == test]
+        accepted = [(c, arg) for _, c, t, arg in chks if t == "accepted_values"]
+        columns = list(dict.fromkeys(of("not_null") + of("unique") + [c for c, _ in accepted]))
+        if columns:
+            found = column_failures(_frame(ctx, model, columns), of("not_null"), of("unique"), accepted)
+            parts.append(found.select(F.lit(model).alias("model"), "column_name", "test", "failures"))
         for _, col, test, arg in chks:
-            if test == "unique":
-                parts += _rows(model, [(col, test, unique_failures(df, col))])
-            elif test == "accepted_values":
-                parts += _rows(model, [(col, test, accepted_values_failures(df, col, arg))])
-            elif test == "relationships":
+            if test == "relationships":
                 parent, pcol = arg
-                parts += _rows(model, [(col, test, relationships_failures(df, col, ctx.ref(parent), pcol))])
+                found = relationships_failures(_frame(ctx, model, [col]), col, ctx.ref(parent), pcol)
+                parts.append(found.select(F.lit(model).alias("model"), F.lit(col).alias("column_name"),
+                                          F.lit(test).alias("test"), F.col("failures").cast("long").alias("failures")))
     return union_all(parts)
 
 
+#: Models that most marts read: the report writes them once instead of deriving them for every mart.
+SHARED = ("fct_orders", "int_user_order_summary", "fct_sessions", "fct_customer_cohorts")
+
+
+def report(ctx) -> DataFrame:
+    """Every declared check; shared models are written once to the shared folder and read from there."""
+    for name in SHARED:
+        if name not in ctx.materialized:
+            path = f"{checkpoint_dir(ctx.spark).rstrip('/')}/checks-{uuid.uuid4().hex}/{name}"
+            df = ctx.ref(name)
+            df.write.parquet(path)
+            ctx.replace(name, ctx.spark.read.schema(df.schema).parquet(path))
+    return run_checks(ctx)
+
+
+class KeyCheckError(ValueError):
+    """A declared key of a source does not hold."""
+
+
+def require_keys(ctx) -> None:
+    """The not_null and unique checks of the staging models; raises KeyCheckError if one fails.
+
+    The marts use these keys (joins that keep the grain, plain counts for distinct ones), so
+    the build calls this before it writes anything.
+    """
+    checks = [c for c in CHECKS if c[0].startswith("stg_") and c[2] in ("not_null", "unique")]
+    bad = [f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in run_checks(ctx, checks).collect() if r.failures]
+    if bad:
+        raise KeyCheckError("; ".join(sorted(bad)))
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """Union as a balanced tree: each union is analyzed once over a log-depth plan."""
     while len(parts) > 1:

@@ -37,13 +37,21 @@ def stg_products(ctx):
                     "category", "department", "sku", "retail_price", "cost", "distribution_center_id")
 
 
+EVENT_COLUMNS = ["event_id", "user_id", "session_id", "sequence_number", "event_type", "uri", "browser",
+                 "traffic_source", "city", "state", "postal_code", "ip_address", "created_at", "event_date"]
+
+
+def events(ctx, *columns: str):
+    """Columns of ``stg_events``; a source that derives the sequence number is asked for it only if it is read."""
+    plain = getattr(ctx.sources, "unnumbered_events", None)
+    s = plain() if plain and "sequence_number" not in columns else ctx.source("events")
+    s = s.withColumnRenamed("id", "event_id").withColumn("event_date", F.to_date("created_at"))
+    return s.where(F.col("event_id").isNotNull()).select(*columns)
+
+
 @model("stg_events", "staging")
 def stg_events(ctx):
-    s = ctx.source("events")
-    return s.select(F.col("id").alias("event_id"), "user_id", "session_id", "sequence_number",
-                    "event_type", "uri", "browser", "traffic_source", "city", "state", "postal_code",
-                    "ip_address", "created_at", F.to_date("created_at").alias("event_date")
-                    ).where(F.col("event_id").isNotNull())
+    return events(ctx, *EVENT_COLUMNS)
 
 
 @model("stg_inventory_items", "staging")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import count_if, mean, month_start_ts, safe_divide, ts_diff
 from cartwheel.plans.context import model
+from cartwheel.plans.staging import events
 
 PAGE_VIEW_TYPES = ["product", "home", "department"]
 
@@ -13,7 +14,7 @@ PAGE_VIEW_TYPES = ["product", "home", "department"]
 @model("fct_sessions", "web")
 def fct_sessions(ctx):
     """Session rollup; every aggregate combines map-side, so a huge session is cheap."""
-    e = ctx.ref("stg_events")
+    e = events(ctx, "session_id", "user_id", "created_at", "event_type", "browser", "traffic_source", "city", "state")
     t = F.col("event_type")
     agg = e.groupBy("session_id", "user_id").agg(
         F.min("created_at").alias("session_start_at"), F.max("created_at").alias("session_end_at"),

@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.functions import (
-    count_if, day_diff, mean, month_diff, month_start_ts, safe_divide, ts_diff, us_week,
+    count_if, day_diff, mean, month_diff, month_start_ts, numeric, safe_divide, ts_diff, us_week,
 )
-from cartwheel.operators.calendar import SPINE_END, SPINE_START, month_grid, month_of
+from cartwheel.operators.calendar import SPINE_START, month_grid, month_of, spine_end
 from cartwheel.operators.ranking import ntile
 from cartwheel.plans import adhoc, metrics, quality
 from cartwheel.plans.core import first_order_flag
 from cartwheel.plans.intermediate import enriched_items
+from cartwheel.plans.ordering import sort_columns
 from cartwheel.registry import context, query
 
 # --- calendar dimension over the data (COR4) --------------------------------
@@ -86,6 +87,46 @@ def _metric_filtered(ctx):
         order={"orders.total_revenue": "desc"}, limit=None)
 
 
+@query("metric_users_by_first_order")
+def _metric_users_by_first_order(ctx):
+    """inDateRange on a timestamp: the whole last day belongs to the range."""
+    return metrics.metric_query(ctx, ["users.count", "users.total_orders_placed"], ["users.country"], filters=[
+        {"member": "users.first_order_date", "operator": "inDateRange", "values": ["2019-01-01", "2020-06-30"]}], limit=None)
+
+
+@query("metric_dimensions_only")
+def _metric_dimensions_only(ctx):
+    return metrics.metric_query(ctx, [], ["orders.country", "orders.status"], limit=None)
+
+
+@query("metric_ordered_by_unselected")
+def _metric_ordered_by_unselected(ctx):
+    """The ten countries with the highest average order value, which is not shown."""
+    return metrics.metric_query(ctx, ["orders.count"], ["orders.country"], order={"orders.avg_order_value": "desc"}, limit=10)
+
+
+@query("metric_year_to_date")
+def _metric_year_to_date(ctx):
+    mid_year = context(ctx.spark, ctx.sf_dir, as_of="2025-06-15")
+    return metrics.metric_query(mid_year, ["orders.count", "orders.total_revenue"], ["orders.status"],
+                                time_dimensions=[{"dimension": "orders.order_date", "dateRange": "year to date"}], limit=None)
+
+
+@query("metric_last_month")
+def _metric_last_month(ctx):
+    mid_year = context(ctx.spark, ctx.sf_dir, as_of="2025-06-15")
+    return metrics.metric_query(mid_year, ["revenue_daily.total_revenue", "revenue_daily.total_orders"], time_dimensions=[
+        {"dimension": "revenue_daily.date", "dateRange": "last month", "granularity": "day"}], limit=None)
+
+
+@query("ordered_category_top20")
+def _ordered_category_top20(ctx):
+    """First rows of a mart in its declared order."""
+    c = ctx.ref("fct_category_performance")
+    return c.orderBy(*sort_columns("fct_category_performance"), "category", "department").limit(20).select(
+        "category", "department", "order_month", "total_revenue")
+
+
 # --- ad-hoc analyses (ADH1-ADH11, SL2, SL4) ---------------------------------
 
 
@@ -167,14 +208,14 @@ def _sql_adhoc(ctx):
 
 @query("dq_not_null")
 def _dq_not_null(ctx):
-    """not_null checks of the foundation models (staging, intermediate, core)."""
-    return quality.run_checks(ctx, quality.checks_of("not_null", foundation_only=True))
+    """Every declared not_null check."""
+    return quality.run_checks(ctx, quality.checks_of("not_null"))
 
 
 @query("dq_unique")
 def _dq_unique(ctx):
-    """unique checks of the foundation models."""
-    return quality.run_checks(ctx, quality.checks_of("unique", foundation_only=True))
+    """Every declared unique check."""
+    return quality.run_checks(ctx, quality.checks_of("unique"))
 
 
 @query("dq_accepted_values")
@@ -189,7 +230,7 @@ def _dq_relationships(ctx):
 
 @query("dq_report")
 def _dq_report(ctx):
-    return quality.run_checks(ctx)
+    return quality.report(ctx)
 
 
 # --- primitive-level keys ---------------------------------------------------
@@ -214,8 +255,8 @@ def _join_inner_equi(ctx):
 
 def _user_month_grid(ctx):
     u = ctx.ref("dim_users").where(F.col("user_id").isNotNull())
-    first = F.greatest(F.trunc(F.to_date("created_at"), "month"), month_of(SPINE_START))
-    last = F.least(month_of(ctx.as_of), month_of(SPINE_END))
+    first = F.greatest(F.trunc(F.to_date("created_at"), "month"), month_of(ctx.param("spine_start", SPINE_START)))
+    last = F.least(month_of(ctx.as_of), month_of(spine_end(ctx)))
     return u.select("user_id", F.explode(month_grid(first, last)).alias("activity_month"))
 
 
@@ -304,8 +345,8 @@ def _win_row_number_first(ctx):
 @query("win_ntile_global")
 def _win_ntile_global(ctx):
     s = ctx.ref("int_user_order_summary").select("user_id", "total_revenue", "last_order_at")
-    s = ntile(s, 4, [F.col("total_revenue").asc_nulls_first(), F.col("user_id").asc_nulls_first()], "revenue_quartile")
-    return ntile(s, 7, [F.col("last_order_at").desc_nulls_last(), F.col("user_id").asc_nulls_first()], "recency_septile")
+    s = ntile(s, 4, "total_revenue", "revenue_quartile", key="user_id")
+    return ntile(s, 7, "last_order_at", "recency_septile", key="user_id", descending=True)
 
 
 @query("win_rank_partitioned")
@@ -337,6 +378,15 @@ def _fn_safe_divide(ctx):
                     safe_divide(F.col("returned_units"), F.col("returned_units") - F.col("returned_units")).alias("by_zero"))
 
 
+@query("fn_numeric")
+def _fn_numeric(ctx):
+    """Numeric coercion: what is no number becomes NULL."""
+    p = ctx.ref("stg_products")
+    mixed = F.when(F.col("product_id") % 3 == 0, F.col("sku")).when(
+        F.col("product_id") % 3 == 1, F.substring("sku", 5, 20)).otherwise(F.concat(F.col("retail_price").cast("string"), F.lit("0")))
+    return p.select("product_id", mixed.alias("raw"), numeric(mixed).alias("value"))
+
+
 @query("fn_date_trunc")
 def _fn_date_trunc(ctx):
     o = ctx.ref("fct_orders")

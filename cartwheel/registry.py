@@ -21,28 +21,15 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 
-_CONTEXTS: dict[tuple, ModelContext] = {}
+def context(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, **params) -> ModelContext:
+    """A new model context over the fixture sources of ``sf_dir``.
 
-
-def context(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF, fresh: bool = False,
-            **params) -> ModelContext:
-    """Model context over the fixture sources of ``sf_dir``.
-
-    DataFrames are immutable lazy plans, so contexts with default parameters
-    are kept per (session, sf_dir, as_of): a model shared by several queries
-    is planned once and every query still runs it over the whole tables.
-    ``fresh=True`` (or any parameter) returns a new, unshared context, e.g.
-    for the build job, which re-points models at their written tables.
+    Models are shared inside one context (one query call or one build), never across calls:
+    a later call reads the tables as they are then.
     """
     configure(spark)
     load_models()
-    key = (id(spark), sf_dir.rstrip("/"), str(as_of))
-    if params or fresh:
-        ctx = ModelContext(spark, FixtureSources(spark, sf_dir), as_of=as_of, params=params)
-    else:
-        ctx = _CONTEXTS.get(key)
-        if ctx is None or ctx.spark is not spark:
-            ctx = _CONTEXTS[key] = ModelContext(spark, FixtureSources(spark, sf_dir), as_of=as_of)
+    ctx = ModelContext(spark, FixtureSources(spark, sf_dir), as_of=as_of, params=params)
     ctx.sf_dir = sf_dir
     return ctx
 

@@ -21,6 +21,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
+    # a join on (user, month) may keep a partitioning on user alone (cohort grid)
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -33,10 +35,12 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder set.
+    Only a ``local`` session that names none (tests) gets a scratch folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current and not sc.master.startswith("local"):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
     if not current:
         current = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
         sc.setCheckpointDir(current)

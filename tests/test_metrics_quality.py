@@ -45,17 +45,20 @@ def test_run_sql_only_select(ctx):
 
 def test_checks_find_planted_failures(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "zzz")], "k bigint, s string")
-    assert quality.unique_failures(df, "k").collect()[0][0] == 1
-    assert quality.accepted_values_failures(df, "s", ["a", "b"]).collect()[0][0] == 1
-    nn = {r.column_name: r.failures for r in quality.not_null_failures(df, ["k", "s"]).collect()}
-    assert nn == {"k": 1, "s": 0}
+    found = quality.column_failures(df, ["k", "s"], ["k", "s"], [("s", ["a", "b"])])
+    assert {(r.column_name, r.test): r.failures for r in found.collect()} == {
+        ("k", "not_null"): 1, ("s", "not_null"): 0, ("k", "unique"): 1, ("s", "unique"): 0, ("s", "accepted_values"): 1}
+    found = quality.column_failures(df, ["k", "s"])
+    assert {(r.column_name, r.test): r.failures for r in found.collect()} == {("k", "not_null"): 1, ("s", "not_null"): 0}
+    none = quality.column_failures(df.where("false"), ["k"], ["k"])
+    assert {r.failures for r in none.collect()} == {0}
     parent = spark.createDataFrame([(1,)], "k bigint")
     child = spark.createDataFrame([(1,), (2,), (None,)], "k bigint")
     assert quality.relationships_failures(child, "k", parent, "k").collect()[0][0] == 1
 
 
 def test_build_all_and_invariants(spark, tmp_out):
-    ctx = context(spark, SF_SMALL, as_of="2025-12-31", fresh=True)
+    ctx = context(spark, SF_SMALL, as_of="2025-12-31")
     timings = build_all(ctx, tmp_out)
     assert set(timings) == set(BUILD_ORDER)
     assert all(os.path.isdir(f"{tmp_out}/{m}") for m in BUILD_ORDER)
@@ -106,7 +109,7 @@ def test_catalogue_lists_marts(spark):
 
 def test_build_and_check_writes_report(spark, tmp_out):
     from cartwheel.plans.pipeline import build_and_check
-    ctx = context(spark, SF_SMALL, fresh=True)
+    ctx = context(spark, SF_SMALL)
     _, report = build_and_check(ctx, tmp_out)
     rows = report.collect()
     assert len(rows) == len(quality.CHECKS)

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.operators.pairs import frequent_pairs
-from cartwheel.operators.ranking import ntile, row_number
+from cartwheel.operators.ranking import ntile, ntiles, row_number
 
 
 def _frame(spark, n=997, seed=7, null_every=0):
@@ -24,7 +24,7 @@ def _frame(spark, n=997, seed=7, null_every=0):
 def test_global_ntile_matches_window_ntile(spark):
     df = _frame(spark, null_every=13)
     for k in (4, 5, 7):
-        ours = ntile(df, k, [F.col("v").asc_nulls_first(), F.col("id").asc()], "b")
+        ours = ntile(df, k, "v", "b", key="id")
         ref = df.select("id", F.ntile(k).over(Window.orderBy(F.col("v").asc_nulls_first(), "id")).alias("r"))
         bad = ours.join(ref, "id").where(F.col("b") != F.col("r")).count()
         assert bad == 0 and ours.count() == df.count()
@@ -32,14 +32,14 @@ def test_global_ntile_matches_window_ntile(spark):
 
 def test_global_ntile_descending_nulls_last(spark):
     df = _frame(spark, null_every=11)
-    ours = ntile(df, 5, [F.col("v").desc_nulls_last(), F.col("id").asc()], "b")
+    ours = ntile(df, 5, "v", "b", key="id", descending=True)
     ref = df.select("id", F.ntile(5).over(Window.orderBy(F.col("v").desc_nulls_last(), "id")).alias("r"))
     assert ours.join(ref, "id").where(F.col("b") != F.col("r")).count() == 0
 
 
 def test_ntile_with_fewer_rows_than_buckets(spark):
     df = spark.createDataFrame([(1, 5), (2, 3)], "id bigint, v bigint")
-    got = sorted((r.id, r.b) for r in ntile(df, 5, ["v", "id"], "b").collect())
+    got = sorted((r.id, r.b) for r in ntile(df, 5, "v", "b", key="id").collect())
     assert got == [(1, 2), (2, 1)]
 
 
@@ -80,26 +80,32 @@ def _brute_pairs(baskets, min_count):
     return {k: v for k, v in brute.items() if v >= min_count}
 
 
-def test_frequent_pairs_with_hot_baskets_matches_brute_force(spark):
+def test_several_ntiles_at_once_match_windows(spark):
+    df = _frame(spark, null_every=9).withColumn("w", F.col("id") % 17)
+    ours = ntiles(df, "id", [("v", 5, True, "a"), ("w", 4, False, "b")])
+    ref = df.select("id", F.ntile(5).over(Window.orderBy(F.col("v").desc_nulls_last(), "id")).alias("x"),
+                    F.ntile(4).over(Window.orderBy(F.col("w").asc_nulls_first(), "id")).alias("y"))
+    assert ours.join(ref, "id").where((F.col("a") != F.col("x")) | (F.col("b") != F.col("y"))).count() == 0
+    assert ours.count() == df.count() and set(ours.columns) == {*df.columns, "a", "b"}
+
+
+def test_frequent_pairs_with_huge_baskets_match_brute_force(spark):
+    """Baskets far larger than a block, and a NULL basket that is no basket."""
     rnd = random.Random(11)
-    baskets = {o: sorted(set(rnd.randint(0, 30) for _ in range(rnd.choice([2, 3, 4])))) for o in range(400)}
-    # two huge baskets holding most items: pairs inside them must not be enumerated,
-    # yet their contribution must be counted exactly
-    baskets[10_000] = list(range(0, 30))
-    baskets[10_001] = list(range(5, 30, 2))
-    rows = [(o, p) for o, ps in baskets.items() for p in ps]
+    baskets = {o: sorted(set(rnd.randint(0, 30) for _ in range(rnd.choice([2, 3, 4])))) for o in range(200)}
+    for o in range(12):
+        baskets[10_000 + o] = list(range(o, 30))
+    rows = [(o, p) for o, ps in baskets.items() for p in ps] + [(None, p) for p in range(30)]
     df = spark.createDataFrame(rows, "order_id bigint, product_id bigint")
-    for min_count in (3, 5):
+    for min_count in (1, 3, 14):
         got = {(r.item_a, r.item_b): r.co_count
-               for r in frequent_pairs(df, "order_id", "product_id", min_count, max_basket=8).collect()}
+               for r in frequent_pairs(df, "order_id", "product_id", min_count, block=4).collect()}
         assert got == _brute_pairs(baskets, min_count)
 
 
-def test_frequent_pairs_many_hot_baskets_fall_back(spark):
-    rnd = random.Random(5)
-    baskets = {o: sorted(set(rnd.randint(0, 12) for _ in range(rnd.choice([3, 9, 10])))) for o in range(60)}
-    rows = [(o, p) for o, ps in baskets.items() for p in ps]
-    df = spark.createDataFrame(rows, "order_id bigint, product_id bigint")
-    got = {(r.item_a, r.item_b): r.co_count
-           for r in frequent_pairs(df, "order_id", "product_id", 2, max_basket=6).collect()}
-    assert got == _brute_pairs(baskets, 2)
+def test_no_join_key_of_pairs_holds_more_than_a_block(spark):
+    from cartwheel.operators.pairs import block_rows
+    df = spark.createDataFrame([(1, p) for p in range(1000)], "order_id bigint, product_id bigint")
+    left, right = block_rows(df, "order_id", "product_id", 50)
+    for side in (left, right):
+        assert side.groupBy("_basket", "_i", "_j").count().agg(F.max("count")).first()[0] < 4 * 50

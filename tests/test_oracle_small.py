@@ -9,6 +9,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from cartwheel.oracle import ORACLES
+from cartwheel.registry import all_queries
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -33,7 +35,7 @@ def con():
     return c
 
 
-KEYS = sorted(E.oracle_sql())
+KEYS = sorted(set(ORACLES) & set(all_queries()))
 SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
                  "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
