@@ -48,9 +48,9 @@ FULL_ROUNDS = 2
 #: Pseudo-count of every class in every state, and of every transition.
 PRIOR = 0.01
 #: Partial counts held by a task before they are handed over.
-HELD_WORDS = 300_000
+HELD_WORDS = 200_000
 #: Tokens in a batch of the recursions.
-BATCH_TOKENS = 300_000
+BATCH_TOKENS = 200_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -73,12 +73,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
         held: dict[bytes, int] = {}
         get = held.get
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for w in text.encode().lower().split() if text else ():
-                    held[w] = get(w, 0) + 1
-                if len(held) > HELD_WORDS:
-                    yield out(held)
-                    held.clear()
+            for first in range(0, batch.num_rows, 256):
+                for text in batch.column(0).slice(first, 256).to_pylist():
+                    for w in text.encode().lower().split() if text else ():
+                        held[w] = get(w, 0) + 1
+                    if len(held) > HELD_WORDS:
+                        yield out(held)
+                        held.clear()
         yield out(held)
 
     def out(held):
@@ -299,7 +300,7 @@ def score(docs: DataFrame) -> DataFrame:
     start, move, emit = train(tokens.where("not held_out"), class_n)
 
     def likelihood(batches):
-        for batch, rows, symbols, lengths in _batches(batches, 5 * BATCH_TOKENS):
+        for batch, rows, symbols, lengths in _batches(batches, 2 * BATCH_TOKENS):
             m = TimeMajor(symbols, lengths)
             log = np.empty(len(lengths))
             log[m.order] = forward(m, start, move, emit) / np.log(10)
