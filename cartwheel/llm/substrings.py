@@ -59,8 +59,9 @@ def signatures(texts: list[list[bytes]], window: int) -> tuple[np.ndarray, np.nd
         return np.zeros(0, np.uint64), counts
     digest = xxhash.xxh3_64_intdigest
     h = np.fromiter((digest(w) for t in texts for w in t), np.uint64, total)
-    up = np.cumprod(np.concatenate(([1], np.full(total - 1, BASE, np.uint64))), dtype=np.uint64)
-    down = np.cumprod(np.concatenate(([1], np.full(total - 1, UNBASE, np.uint64))), dtype=np.uint64)
+    up, down = np.full(total, BASE, np.uint64), np.full(total, UNBASE, np.uint64)
+    up[0] = down[0] = 1
+    up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * down, dtype=np.uint64)))
     g = (sums[gram:] - sums[:-gram]) * up[:total - gram + 1]
     g = (g ^ (g >> np.uint64(29))) * np.uint64(MIX)
