@@ -20,17 +20,19 @@ empty table; ids that the vocabulary lacks raise an error.
 from __future__ import annotations
 
 import base64
+import re
+import unicodedata
 from itertools import chain
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from cartwheel.llm.common import worker_cache
+from cartwheel.llm.common import Kept, worker_cache
 
-#: Kept matches and states of one worker; beyond it they are made anew.
-KEPT_MATCHES = 400_000
-KEPT_STATES = 200_000
+#: Matches (of one generation) and states that a worker keeps; beyond it they are made anew.
+KEPT_MATCHES = 250_000
+KEPT_STATES = 300_000
 #: Documents that a task encodes before it hands over a batch.
 BATCH = 256
 
@@ -154,23 +156,46 @@ class Transducer:
         return (*out, *end)
 
 
+#: Finds a character that ``latin_pattern`` does not cover.
+BEYOND_LATIN = re.compile("[^\\x00-\\u024f]").search
+
+
+def latin_pattern(pattern: str) -> str:
+    """The pattern for the standard library's faster engine, right for texts below U+0250: the
+    classes of letters, numbers and white space are spelt out."""
+    def spelt(kinds) -> str:
+        found = [c for c in range(0x250) if kinds(chr(c))]
+        return "".join(f"\\u{c:04x}" for c in found)
+
+    classes = {
+        r"\p{L}": spelt(lambda c: unicodedata.category(c)[0] == "L"), r"\p{N}": spelt(lambda c: unicodedata.category(c)[0] == "N"),
+        r"\s": spelt(lambda c: c in "\t\n\x0b\x0c\r \x85\xa0")}
+    out, inside, k = "", False, 0
+    while k < len(pattern):
+        name = next((n for n in (*classes, r"\S") if pattern.startswith(n, k)), None)
+        if name == r"\S":
+            out += f"[^{classes[chr(92) + 's']}]"
+        elif name:
+            out += classes[name] if inside else f"[{classes[name]}]"
+        else:
+            inside = pattern[k] == "[" or (inside and pattern[k] != "]")
+            out += pattern[k]
+        k += len(name or " ")
+    return out
+
+
 class Encoder:
     """Whole texts: each match of the pattern goes through the transducer."""
 
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(read_ranks(path))
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, tuple] = {}
+        self.plain = re.compile(latin_pattern(pattern)).findall
+        self.known = Kept(KEPT_MATCHES, lambda match: self.transducer.encode(match.encode()))
 
     def encode(self, text: str) -> list[int]:
-        known, matches = self.known, self.find(text)
-        new = [m for m in set(matches) if m not in known]
-        if len(known) + len(new) > KEPT_MATCHES:
-            known.clear()
-            new = set(matches)
-        for m in new:
-            known[m] = self.transducer.encode(m.encode())
-        return list(chain.from_iterable(map(known.__getitem__, matches)))
+        matches = self.find(text) if BEYOND_LATIN(text) else self.plain(text)
+        return list(chain.from_iterable(map(self.known.__getitem__, matches)))
 
 
 class Utf8Stream:
@@ -217,28 +242,51 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
-def decode(encoded: DataFrame, path: str, chunk: int = 4096) -> DataFrame:
-    """The given doc_id and ids with text, decoded in chunks of tokens."""
-    encoded = encoded.select("doc_id", "ids")
+def _bytes_of(path: str) -> list:
+    ranks = read_ranks(path)
+    out = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
 
-    def table() -> list:
-        ranks = read_ranks(path)
-        out = [None] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            out[rank] = token
-        return out
+
+def decoded(tokens: list, ids: list[int], chunk: int = 4096) -> str:
+    """The text of ids, pushed through the stream a chunk of tokens at a time."""
+    stream, out = Utf8Stream(), []
+    for at in range(0, len(ids), chunk):
+        out.append(stream.push(b"".join(map(tokens.__getitem__, ids[at:at + chunk]))))
+    return "".join(out) + stream.close()
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """The given doc_id and ids with their text."""
+    encoded = encoded.select("doc_id", "ids")
 
     def run(batches):
-        tokens = worker_cache(f"bpe bytes {path}", table)
+        tokens = worker_cache(f"bpe bytes {path}", lambda: _bytes_of(path))
         for batch in batches:
-            column, texts = batch.column(1), []
+            column = batch.column(1)
             ends, values = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
-            for first, stop in zip(ends[:-1], ends[1:]):
-                stream, out = Utf8Stream(), []
-                for at in range(first, stop, chunk):
-                    out.append(stream.push(b"".join(map(tokens.__getitem__, values[at:min(at + chunk, stop)].tolist()))))
-                texts.append("".join(out) + stream.close())
+            texts = [decoded(tokens, values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.record_batch([batch.column(0), column, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode(encode(docs))`` in one Python stage: doc_id, ids and the decoded text."""
+    docs = docs.select("doc_id", "text")
+
+    def run(batches):
+        encoder = worker_cache(f"bpe {path} {pattern}", lambda: Encoder(path, pattern))
+        tokens = worker_cache(f"bpe bytes {path}", lambda: _bytes_of(path))
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                ids = [encoder.encode(t) if t else [] for t in part.column(1).to_pylist()]
+                yield pa.record_batch([part.column(0), pa.array(ids, pa.list_(pa.int32())),
+                                       pa.array([decoded(tokens, x) for x in ids], pa.string())], ["doc_id", "ids", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")

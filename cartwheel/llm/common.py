@@ -25,6 +25,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -48,6 +52,25 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+class Kept(dict):
+    """Values of ``make(key)``, kept for the keys met lately: what a full generation held is
+    looked up in the previous one before it is made anew, so at most twice ``limit`` are held."""
+
+    def __init__(self, limit: int, make: Callable):
+        super().__init__()
+        self.limit, self.make, self.before = limit, make, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def worker_cache(name: str, make: Callable):
     """What ``make()`` returns, kept for the life of the Python worker."""
     kept = sys.__dict__.setdefault("_cartwheel_llm_cache", {})

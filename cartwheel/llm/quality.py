@@ -1,7 +1,7 @@
 """Quality rules: a threshold table compiled into one Spark projection.
 
-``measure`` adds the counts a rule can name, ``compile_rules`` turns the table
-into one boolean column.  Everything is a built-in expression over the row's own
+``_counts`` are what a rule can name, ``compile_rules`` turns the table into one
+boolean column.  Everything is a built-in expression over the row's own
 text: no shuffle, no user function.
 
 Defined cases: a null or blank text has no words and is rejected by the base
@@ -12,6 +12,7 @@ denominator is zero is taken as zero.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +43,7 @@ class Threshold:
     high: float | None = None
 
 
-#: The table. Counts are those of ``measure``.
+#: The table. Counts are those of ``_counts``.
 THRESHOLDS = (
     Threshold("mean_word_length", "word_chars", "n_words", low=2.0, high=12.0),
     Threshold("symbols_per_word", "n_symbols", "n_words", high=0.1),
@@ -82,37 +83,42 @@ def _repeat_words(words: Column) -> Column:
     return let(windows(words), repeated)
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the counts of every text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(F.col("doc_id"), text.alias("text"), F.array_remove(F.split(text, SPACES), "").alias("words"))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+def _counts(text: Column, words: Column) -> dict[str, Column]:
+    """The counts of a text that is not null and of its words."""
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     stops = sorted(set(STOP_WORDS))
-    w = F.col("words")
-    return base.select(
-        "doc_id",
-        F.size(w).cast("long").alias("n_words"),
-        (F.length("text") - F.regexp_count("text", F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
-        F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        _repeat_words(w).cast("long").alias("n_repeat_words"),
-        F.size(lines).cast("long").alias("n_lines"),
-        F.regexp_count("text", F.lit("!")).cast("long").alias("n_exclamations"),
-        F.size(F.filter(w, lambda x: x.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
-        F.size(F.filter(w, lambda x: F.lower(x).isin(stops))).cast("long").alias("n_stop_words"),
-    )
-
-
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-
-
-def compile_rules(table=THRESHOLDS) -> Column:
+    counts = {
+        "n_words": F.size(words),
+        "word_chars": F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]")),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)),
+        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
+        "n_repeat_words": _repeat_words(words),
+        "n_lines": F.size(lines),
+        "n_exclamations": F.regexp_count(text, F.lit("!")),
+        "n_letter_words": F.size(F.filter(words, lambda x: x.rlike(r"\p{L}"))),
+        "n_stop_words": F.size(F.filter(words, lambda x: F.lower(x).isin(stops))),
+    }
+    return {name: c.cast("long") for name, c in counts.items()}
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` with the counts in one struct, _quality."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    split = docs.withColumn("_text", text).withColumn("_words", F.array_remove(F.split(text, SPACES), ""))
+    counts = _counts(F.col("_text"), F.col("_words"))
+    return split.withColumn("_quality", F.struct(*[c.alias(n) for n, c in counts.items()])).drop("_text", "_words")
+
+
+def base_failed(count: Callable[[str], Column] = F.col) -> Column:
+    return (count("n_words") < MIN_WORDS) | (100 * count("n_repeat_words") > 50 * count("n_words"))
+
+
+def compile_rules(table=THRESHOLDS, count: Callable[[str], Column] = F.col) -> Column:
     """One boolean: the row is inside every threshold of the table."""
     verdict = F.lit(True)
     for t in table:
-        bottom = F.col(t.denominator)
-        ratio = F.when(bottom == 0, F.lit(0.0)).otherwise(F.col(t.numerator).cast("double") / bottom)
+        bottom = count(t.denominator)
+        ratio = F.when(bottom == 0, F.lit(0.0)).otherwise(count(t.numerator).cast("double") / bottom)
         if t.low is not None:
             verdict = verdict & (ratio >= F.lit(t.low))
         if t.high is not None:
@@ -121,6 +127,21 @@ def compile_rules(table=THRESHOLDS) -> Column:
 
 
 def judge(docs: DataFrame, table=THRESHOLDS) -> DataFrame:
-    """The counts of every document with ``base_failed`` and ``kept``."""
-    return measure(docs).withColumn("base_failed", base_failed()).withColumn(
-        "kept", ~F.col("base_failed") & compile_rules(table))
+    """doc_id, the counts of every document, ``base_failed`` and ``kept``."""
+    return _measured(docs.select("doc_id", "text")).select("doc_id", "_quality.*").withColumn(
+        "base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & compile_rules(table))
+
+
+def keep(docs: DataFrame, table=THRESHOLDS) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep.
+
+    The verdict is one nested expression: a filter on columns would be pushed below them
+    and would compute every count once for each rule.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+
+    def verdict(words: Column) -> Column:
+        counts = F.struct(*[c.alias(n) for n, c in _counts(text, words).items()])
+        return let(counts, lambda q: ~base_failed(lambda n: q[n]) & compile_rules(table, lambda n: q[n]))
+
+    return docs.where(let(F.array_remove(F.split(text, SPACES), ""), verdict))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, hmm, packed, quality, secrets, shards, simhash, substrings
-from cartwheel.llm.common import documents
+from cartwheel.llm import bpe, chat, decontaminate, hmm, packed, quality, secrets, shards, simhash, substrings
+from cartwheel.llm.common import benchmark, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,12 +44,17 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
+    coded = bpe.round_trip(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).select(
@@ -73,6 +78,23 @@ def op9_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.checksums(packed.read(packed.write(documents(spark, sf_dir), path, end=2)))
 
 
+@query
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as transcripts and parsed again.
+
+    A turn's first line carries a speaker marker in the style of its conversation, except for
+    every fourth turn (by a hash), whose speaker only the model can tell.
+    """
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(3))
+    marker = F.when(style == 0, F.concat(F.initcap("role"), F.lit(": "))).when(
+        style == 1, F.concat(F.lit("### "), F.initcap("role"), F.lit(": "))).otherwise(F.concat(F.lit("<|"), F.col("role"), F.lit("|> ")))
+    bare = F.col("role").isNull() | (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0)
+    text = F.when(bare, F.coalesce("text", F.lit(""))).otherwise(F.concat(marker, F.coalesce("text", F.lit(""))))
+    turns = chat.format_chats(rows.select("conv_id", "turn", "role", text.alias("text")))
+    return turns.select("conv_id", "turn", "part", "role", "n_lines", F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
 # --- SQL --------------------------------------------------------------------
 
 def _either_case(pattern: str) -> str:
