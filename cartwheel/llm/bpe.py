@@ -22,8 +22,8 @@ from __future__ import annotations
 import base64
 import re
 import unicodedata
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -42,6 +42,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def _small(numbers: tuple):
+    """The numbers in bytes where they fit, which are indexed alike and take a fraction of a tuple."""
+    return bytes(numbers) if max(numbers) < 256 else numbers
+
+
 class Transducer:
     """Piecewise encoder; ``encode`` gives the ids of one match of the pattern."""
 
@@ -55,7 +60,7 @@ class Transducer:
     def _clear(self) -> None:
         self.index: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.moves: dict[int, tuple[int, tuple]] = {}
+        self.moves: dict[int, int | tuple[int, tuple]] = {}  # the next state, with the ids if any are emitted
         self.ends: dict[int, tuple] = {}
         self._state(None, b"", (0,), (0,))
 
@@ -65,7 +70,7 @@ class Transducer:
         known = self.index.get(key)
         if known is None:
             known = self.index[key] = len(self.states)
-            self.states.append((prev, pending, last, live))
+            self.states.append((key, _small(last), _small(live)))
         return known
 
     def merged(self, piece: bytes) -> list[bytes]:
@@ -93,11 +98,13 @@ class Transducer:
         key = (left, token)
         known = self.fits.get(key)
         if known is None:
+            if len(self.fits) >= KEPT_STATES:
+                self.fits.clear()
             known = self.fits[key] = self.merged(left + token) == [left, token]
         return known
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple]:
-        prev, pending, last, live = self.states[state]
+        (prev, pending), last, live = self.states[state]
         text = pending + bytes((byte,))
         n, ranks, prefixes = len(text), self.ranks, self.prefixes
         for j in live:
@@ -128,7 +135,7 @@ class Transducer:
         return self._state(prev, text[cut:], (0, *last[cut + 1:]), tuple(j - cut for j in alive)), tuple(reversed(ids))
 
     def _end(self, state: int) -> tuple:
-        _, pending, last, _ = self.states[state]
+        (_, pending), last, _ = self.states[state]
         k, ids = len(pending), []
         while k:
             ids.append(self.ranks[pending[k - last[k]:k]])
@@ -146,9 +153,12 @@ class Transducer:
             at = state << 8 | byte
             move = moves.get(at)
             if move is None:
-                move = moves[at] = self._move(state, byte)
-            state, ids = move
-            if ids:
+                move = self._move(state, byte)
+                move = moves[at] = move if move[1] else move[0]
+            if type(move) is int:
+                state = move
+            else:
+                state, ids = move
                 out += ids
         end = self.ends.get(state)
         if end is None:
@@ -191,11 +201,19 @@ class Encoder:
         self.transducer = Transducer(read_ranks(path))
         self.find = regex.compile(pattern).findall
         self.plain = re.compile(latin_pattern(pattern)).findall
-        self.known = Kept(KEPT_MATCHES, lambda match: self.transducer.encode(match.encode()))
+        self.known = Kept(KEPT_MATCHES, lambda match: np.array(self.transducer.encode(match.encode()), np.int32).tobytes())
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str | None) -> np.ndarray:
+        """The ids of a whole text, as 32-bit integers."""
+        if not text:
+            return np.zeros(0, np.int32)
         matches = self.find(text) if BEYOND_LATIN(text) else self.plain(text)
-        return list(chain.from_iterable(map(self.known.__getitem__, matches)))
+        return np.frombuffer(b"".join(map(self.known.__getitem__, matches)), np.int32)
+
+
+def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
 
 
 class Utf8Stream:
@@ -236,8 +254,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)
-                ids = [encoder.encode(t) if t else [] for t in part.column(1).to_pylist()]
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+                ids = [encoder.encode(t) for t in part.column(1).to_pylist()]
+                yield pa.record_batch([part.column(0), id_lists(ids)], ["doc_id", "ids"])
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
@@ -284,9 +302,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)
-                ids = [encoder.encode(t) if t else [] for t in part.column(1).to_pylist()]
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.list_(pa.int32())),
-                                       pa.array([decoded(tokens, x) for x in ids], pa.string())], ["doc_id", "ids", "text"])
+                ids = [encoder.encode(t) for t in part.column(1).to_pylist()]
+                yield pa.record_batch([part.column(0), id_lists(ids), pa.array([decoded(tokens, x.tolist()) for x in ids], pa.string())],
+                                      ["doc_id", "ids", "text"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
