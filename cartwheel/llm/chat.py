@@ -41,8 +41,8 @@ MARKER = re.compile(
 ROLE_OF = {name: k for k, role in enumerate(ROLES) for name in NAMES[role]}
 #: Observation = marker * FEATURES + feature; marker 0 is none, 1 + k speaks for role k.
 FEATURES = 2 * 2 * 6
-#: Pseudo-counts: a marker speaks for its role; a role lasts within a row and changes between rows.
-MARKED, UNMARKED, STAYS = 50.0, 1.0, 200.0
+#: Pseudo-counts: a marker speaks for its role; within a row a role changes at a marker only.
+MARKED, UNMARKED, STAYS, NEVER = 50.0, 1.0, 5.0, 1e-12
 
 
 def marker_of(line: str) -> tuple[int, int]:
@@ -63,7 +63,8 @@ def observe(text: str | None) -> list[int]:
 
 
 class Model:
-    """Log probabilities: start[role], move[0 inside a row / 1 to a new row][from, to], emit[observation, role]."""
+    """Log probabilities: start[role], move[step][from, to], emit[observation, role]; a step is to a line
+    inside a row (0), to a new row (1) or to a marked line inside a row (2)."""
 
     def __init__(self, emitted: np.ndarray, moved: np.ndarray, started: np.ndarray):
         n = len(ROLES)
@@ -72,9 +73,8 @@ class Model:
         marker[0] += MARKED
         feature = emitted.reshape(n + 1, FEATURES, n).sum(axis=0) + 1.0
         self.emit = (np.log(marker / marker.sum(axis=0))[:, None, :] + np.log(feature / feature.sum(axis=0))[None, :, :]).reshape(-1, n)
-        inside = np.ones((n, n)) + STAYS * np.eye(n)
-        between = moved + 1.0
-        self.move = np.log(np.stack([inside / inside.sum(axis=1, keepdims=True), between / between.sum(axis=1, keepdims=True)]))
+        steps = np.stack([np.full((n, n), NEVER) + np.eye(n), moved + 1.0, np.ones((n, n)) + STAYS * np.eye(n)])
+        self.move = np.log(steps / steps.sum(axis=2, keepdims=True))
         self.start = np.log((started + 1.0) / (started + 1.0).sum())
 
     def transfer(self, symbols: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -135,16 +135,17 @@ def train(observed: DataFrame) -> Model:
 
 
 def _lines(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows in order, all their observations, where a row begins, and the rows' line counts."""
+    """Rows in order, all their observations, the step to each line (see Model), and the rows' line counts."""
     table = table.sort_by([("turn", "ascending"), ("text", "ascending")]) if table.num_rows > 1 else table
     if table.num_rows > 1 and table.column("turn").null_count:
         null = table.column("turn").is_null()
         table = pa.concat_tables([table.filter(null), table.filter(table.column("turn").is_valid())])
     seen = table.column("seen").to_pylist()
     sizes = np.array([len(s) for s in seen], np.int64)
-    begins = np.zeros(int(sizes.sum()), np.int64)
+    symbols = np.array([x for s in seen for x in s], np.int64)
+    begins = np.where(symbols >= FEATURES, 2, 0)
     begins[np.cumsum(sizes) - sizes] = 1
-    return table, np.array([x for s in seen for x in s], np.int64), begins, sizes
+    return table, symbols, begins, sizes
 
 
 def render(role: str, text: str) -> str:

@@ -40,7 +40,7 @@ def test_viterbi_equals_enumeration():
     r = np.random.default_rng(2)
     n = len(C.ROLES)
     m = C.Model(r.integers(0, 9, ((n + 1) * C.FEATURES, n)).astype(float), r.integers(0, 9, (n, n)).astype(float), np.ones(n))
-    symbols, begins = r.integers(0, (n + 1) * C.FEATURES, 6), np.array([1, 0, 1, 0, 0, 1])
+    symbols, begins = r.integers(0, (n + 1) * C.FEATURES, 6), np.array([1, 2, 1, 0, 2, 1])
     before = m.start - m.move[1].max(axis=1)
 
     def value(first, path):

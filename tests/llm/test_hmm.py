@@ -100,13 +100,6 @@ def test_classes_agree_between_python_and_spark(spark):
     assert [r.k for r in table.select(H.bucket_column(table["word"]).alias("k")).collect()] == [H.bucket(w) for w in words]
 
 
-def test_word_probabilities_of_a_class_sum_to_one(docs):
-    """Known words of a shared class and its one unknown word."""
-    c = {"xing": 3, "ying": 2}
-    n, v = 5, 2
-    assert math.isclose(sum((k + 1) / (n + v + 1) for k in c.values()) + 1 / (n + v + 1), 1)
-
-
 def test_empty_and_all_held_out(docs):
     assert H.score(docs([])).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
