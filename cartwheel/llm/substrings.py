@@ -12,8 +12,9 @@ neighbouring windows mostly share one, so a document has few of them.
    bytes and bounded by ``MAX_LOG2_WIDTH`` (``ROWS * 2**MAX_LOG2_WIDTH / 8`` bytes);
    beyond that bound the filter lets more windows through and still loses none.
 3. Documents with a window estimated repeated are suspects and are stored.  Only
-   their estimated windows are grouped, exactly, by a 128-bit hash of the words
-   themselves, with the least doc_id as the only state of a group.
+   their estimated windows are grouped, by 96 bits of XXH3-128 over the words
+   themselves (two different windows among 10^13 share them with a chance under
+   1 in 1000), with the least doc_id as the only state of a group.
 4. The other documents are finished in place: their text never crosses the network.
 
 Defined cases: a null text has no words; shorter texts than a window lose nothing;
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import cut
 
 WINDOW = 50
-GRAM = 12
+GRAM = 25
 ROWS = 2
 MAX_LOG2_WIDTH = 31
 #: Cells of a partition sketch held before they are handed over.
@@ -195,13 +196,13 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     digests += [xxhash.xxh3_128_digest(joined[a:b]) for a, b in zip(begins, ends[found + window - 1].tolist())]
                     rows.append(np.full(len(found), row))
                 if digests:
-                    keys = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                    keys = np.frombuffer(b"".join(digests), np.dtype([("k1", "<i8"), ("k2", "<i4"), ("rest", "<i4")]))
                     row, start = np.concatenate(rows), np.concatenate(starts).astype(np.int32)
                     for a in range(0, len(row), BATCH_WINDOWS):
                         b = a + BATCH_WINDOWS
                         at_rows = pa.array(row[a:b])
                         yield pa.record_batch([part.column("row").take(at_rows), part.column("doc_id").take(at_rows), pa.array(start[a:b]),
-                                               pa.array(keys[a:b, 0]), pa.array(keys[a:b, 1])],
+                                               pa.array(keys["k1"][a:b]), pa.array(keys["k2"][a:b])],
                                               ["row", "doc_id", "start", "k1", "k2"])
 
     def removed(batches):
@@ -222,9 +223,9 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = docs.mapInArrow(suspects, f"doc_id {kind}, text string").select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     found = cut(found, "suspects")
-    every = found.mapInArrow(windows, f"row long, doc_id {kind}, start int, k1 long, k2 long")
-    least = every.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(
-        "least < most").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "least")
+    every = found.mapInArrow(windows, f"row long, doc_id {kind}, start int, k1 long, k2 int")
+    least = every.groupBy("k1", "k2").agg(F.min("doc_id").alias("least")).select(
+        F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "least")
     later = every.join(least, (every["k1"] == least["_k1"]) & (every["k2"] == least["_k2"])).where("doc_id > least")
     starts = later.groupBy(F.col("row").alias("_row")).agg(F.collect_list("start").alias("starts"))
     touched = found.join(starts, found["row"] == starts["_row"], "left").select("doc_id", "text", "starts")
