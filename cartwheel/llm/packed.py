@@ -9,23 +9,23 @@ A file (``.bpk``, little-endian) holds
 Every id takes the least bits the vocabulary needs; a block starts on a byte, so
 ``PackedFile.ids(a, b)`` reads and unpacks only the blocks it needs, with numpy.
 
-``write`` encodes every row, deals the rows out by ranges of doc_id and lets each
-task write files of bounded size to the shared folder.  Names are unique to an
+``write`` deals the rows out by ranges of doc_id and lets each task encode its texts
+and write files of bounded size to the shared folder.  Names are unique to an
 attempt, and only files listed in the manifest (a committed table) count, so a lost
 or repeated task leaves nothing that is read.
 
 Defined cases: a null or empty text gives just the end id; rows without a doc_id come
-first; rows that repeat a doc_id are ordered by their ids, so the files are the same
+first; rows that repeat a doc_id are ordered by their texts, so the files are the same
 whatever the input's order; an empty table writes no file and gives an empty table.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import cut, scratch, worker_cache
+from cartwheel.llm.common import Kept, cut, scratch, worker_cache
 
 BLOCK_IDS = 4096
 #: A file is closed after the document that brings it to this many ids.
 FILE_IDS = 8_000_000
-KEPT_WORDS = 600_000
+#: Words and pieces (of one generation) that a worker keeps.
+KEPT_WORDS = 400_000
+KEPT_PIECES = 200_000
 HEAD = "<4sIIIQQ"
 
 
@@ -118,11 +120,24 @@ def opened(path: str, data: bytes | None = None):
     return lambda offset, size: source.read_at(size, offset)
 
 
+#: A Latin word with at most one mark after it: two pieces of the tokenizer's own split (U+0130 is out: its
+#: lower case has a combining mark).
+SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)")
+
+
+def byte_letters() -> list[str]:
+    """The printable character that stands for each byte: itself where printable, else the next free one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    free = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(free)) for b in range(256)]
+
+
 class WordEncoder:
-    """Ids of whole texts with the tokenizers library.
+    """Ids of whole texts with the tokenizers library, as little-endian unsigned 32-bit integers.
 
-    Its pieces never cross white space, so a text's ids are those of its words, which
-    the library encodes when they are new to this worker.
+    Its pieces never cross white space, so a text's ids are those of its words; words that this
+    worker has met are looked up.  The lower-case letters of a simple word are one piece, which
+    goes straight to the library's model; any other word goes through the whole library.
     """
 
     def __init__(self, path: str):
@@ -131,48 +146,45 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, tuple] = {}
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        known = self.known
-        words = [t.encode().split() if t else [] for t in texts]
-        new = list({w for text in words for w in text if w not in known})
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = list({w for text in words for w in text})
-        for a in range(0, len(new), 4096):
-            part = new[a:a + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            known.update((w, tuple(e.ids)) for w, e in zip(part, found))
-        return [list(chain.from_iterable(map(known.__getitem__, text))) for text in words]
-
-
-def encode(docs: DataFrame, path: str, end: int) -> tuple[DataFrame, int]:
-    """doc_id, n (ids with the end id) and the ids packed by themselves; and the bits of an id."""
-    from tokenizers import Tokenizer
-
-    bits = width_of(Tokenizer.from_file(path).get_vocab_size())
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.words = Kept(KEPT_WORDS, self._word)
+        self.pieces = Kept(KEPT_PIECES, self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, data: bytes) -> bytes:
+        word = data.decode()
+        m = SIMPLE.fullmatch(word)
+        if m:
+            return self.pieces[m[1].lower()] + (self.pieces[m[2]] if m[2] else b"")
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        return b"".join(map(self.words.__getitem__, text.encode().split()))
 
-    def run(batches):
-        encoder = worker_cache(f"words {path}", lambda: WordEncoder(path))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [np.array([*x, end], np.uint32) for x in encoder.encode(part.column(1).to_pylist())]
-                yield pa.record_batch([part.column(0).cast(pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
-                                       pa.array([pack(x, bits) for x in ids], pa.binary())], ["doc_id", "n", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, ids binary"), bits
+def write(docs: DataFrame, path: str, end: int, folder: str | None = None) -> DataFrame:
+    """Encode every row and write the files; returns the manifest (path, first, n_ids, n_docs), first being the ids before the file.
 
+    The rows are dealt out by ranges of (doc_id, text checksum), so ids that repeat, or rows
+    without one, are split too.
+    """
+    from tokenizers import Tokenizer
 
-def write(docs: DataFrame, path: str, end: int, folder: str | None = None) -> DataFrame:
-    """Encode and write; returns the manifest (path, first, n_ids, n_docs), first being the ids before the file."""
     folder = folder or scratch(docs.sparkSession, "packed")
-    coded, bits = encode(docs, path, end)
-    coded = cut(coded.withColumn("tie", F.crc32("ids")), "ids")
+    bits = width_of(Tokenizer.from_file(path).get_vocab_size())
 
     def files(batches):
+        encoder = worker_cache(f"words {path}", lambda: WordEncoder(path))
         task, doc_ids, held, size, number = TaskContext.get().partitionId(), [], [], 0, 0
+        last = struct.pack("<I", end)
 
         def close():
             name = f"{folder}-{task:06d}-{number:06d}-{uuid.uuid4().hex}.bpk"
@@ -181,25 +193,28 @@ def write(docs: DataFrame, path: str, end: int, folder: str | None = None) -> Da
                                     pa.array([len(held)], pa.int64())], ["task", "number", "path", "n_ids", "n_docs"])
 
         for batch in batches:
-            for doc, n, data in zip(batch.column("doc_id").to_pylist(), batch.column("n").to_pylist(), batch.column("ids")):
-                doc_ids.append(doc)
-                held.append(unpack(data.as_buffer(), bits, n))
-                size += n
-                if size >= FILE_IDS:
-                    yield close()
-                    doc_ids, held, size, number = [], [], 0, number + 1
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                    doc_ids.append(doc)
+                    held.append(np.frombuffer(encoder.encode(text) + last, "<u4"))
+                    size += len(held[-1])
+                    if size >= FILE_IDS:
+                        yield close()
+                        doc_ids, held, size, number = [], [], 0, number + 1
         if held:
             yield close()
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("ids")]
-    listed = cut(coded.repartitionByRange(*order[:2]).sortWithinPartitions(*order).mapInArrow(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.crc32(F.coalesce("text", F.lit(""))).alias("tie"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("text")]
+    listed = cut(rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(
         files, "task int, number int, path string, n_ids long, n_docs long"), "manifest")
     before = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     return listed.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"), "n_ids", "n_docs")
 
 
-def read(manifest: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids (array of int) of every document, from the files."""
+def _read(manifest: DataFrame, column: str, kind: str, of) -> DataFrame:
+    """doc_id, start, n_tokens and ``of(ids, offsets)`` of runs of documents, one task a file."""
     def run(batches):
         for batch in batches:
             for path, first in zip(batch.column("path").to_pylist(), batch.column("first").to_pylist()):
@@ -208,24 +223,27 @@ def read(manifest: DataFrame) -> DataFrame:
                 starts = ends - file.lengths
                 for a in range(0, file.n_docs, 256):
                     b = min(a + 256, file.n_docs)
-                    ids = file.ids(int(starts[a]), int(ends[b - 1])).astype(np.int32)
+                    ids = file.ids(int(starts[a]), int(ends[b - 1]))
                     offsets = np.concatenate((starts[a:b], ends[b - 1:b])) - starts[a]
                     yield pa.record_batch([
                         pa.array(file.doc_ids[a:b], mask=~file.known[a:b]), pa.array(first + starts[a:b]), pa.array(file.lengths[a:b]),
-                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], ["doc_id", "start", "n_tokens", "ids"])
+                        of(ids, offsets)], ["doc_id", "start", "n_tokens", column])
 
-    spread = manifest.select("path", "first").repartition(F.col("path"))
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids array<int>")
+    # a given number of partitions is not coalesced, however few bytes the manifest has
+    spread = manifest.select("path", "first").repartition(max(1, manifest.count()))
+    return spread.mapInArrow(run, f"doc_id long, start long, n_tokens long, {column} {kind}")
 
 
-def checksums(documents: DataFrame) -> DataFrame:
-    """The documents of ``read`` with the crc32 of their ids as little-endian unsigned 32-bit integers."""
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("ids")
-            at, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(at[:-1], at[1:])]
-            yield pa.record_batch([batch.column(c) for c in ("doc_id", "start", "n_tokens")] + [pa.array(crc, pa.int64())],
-                                  ["doc_id", "start", "n_tokens", "ids_crc32"])
+def read(manifest: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens and ids (array of int) of every document, from the files."""
+    return _read(manifest, "ids", "array<int>", lambda ids, offsets: pa.ListArray.from_arrays(
+        pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))))
+
+
+def checksums(manifest: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens and the crc32 of the ids as little-endian unsigned 32-bit integers, from the files."""
+    def crc(ids, offsets):
+        data = memoryview(ids.astype("<u4").tobytes())
+        return pa.array([zlib.crc32(data[4 * a:4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.int64())
 
-    return documents.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _read(manifest, "ids_crc32", "long", crc)

@@ -75,7 +75,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packed.checksums(packed.read(packed.write(documents(spark, sf_dir), path, end=2)))
+    return packed.checksums(packed.write(documents(spark, sf_dir), path, end=2))
 
 
 @query
