@@ -3,7 +3,7 @@
 Documents with equal texts are linked through their group.  Documents start in a shard by
 their id; then, round by round, Spark counts the bytes of every group by shard, sends
 each document towards the shard that holds most of its group among those with room, and
-admits movers from one shard to another up to the opposite flow and the room left.
+admits movers into a shard up to the room left and, from another shard, up to the opposite flow.
 Admission needs no global sort: movers are counted by priority band (a small table),
 and the bands that fit move.  A group larger than a shard fills one and spills into
 the next.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import cut
 
 SHARDS = 16
-ROUNDS = 6
+ROUNDS = 8
 #: Bands of a hash: admission and numbering work band by band.
 BANDS = 1024
 LAW = "bytes"
@@ -47,28 +47,34 @@ def _propagate(linked: DataFrame, share: int, shards: int) -> DataFrame:
     room = linked.sparkSession.range(shards).select(F.col("id").cast("int").alias("_at")).join(
         load, F.col("_at") == F.col("shard"), "left").select("_at", (F.lit(share) - F.coalesce("load", F.lit(0))).alias("room"))
     room = F.broadcast(room)  # one row a shard
-    tally = linked.groupBy("group", "shard").agg(F.sum("size").alias("held")).join(room, F.col("shard") == F.col("_at"))
-    held = F.struct("held", (-F.col("shard")).alias("minus"))
-    best = tally.groupBy("group").agg(F.max(held).alias("top"), F.max(F.when(F.col("room") > 0, held)).alias("open"))
-    # the shard that holds most of the group; what it has no room for goes to the next that has
-    best = best.select(F.col("group").alias("_group"), (-F.col("top.minus")).alias("top"), (-F.col("open.minus")).alias("open"))
-    asked = linked.join(best, F.col("group") == F.col("_group")).select(
-        "row", "group", "size", "shard", F.when(F.col("shard") == F.col("top"), F.col("shard")).otherwise(
-            F.coalesce("open", "top")).alias("target"), band("group", "row").alias("band"))
+    tally = linked.groupBy("group", "shard").agg(F.sum("size").alias("held"))
+    # what a group holds where; ties go to a shard by a hash, so that flows in both directions balance
+    weight = F.struct("held", F.xxhash64("group", "shard").alias("tie"), "shard")
+    tally = cut(tally.select("group", "shard", weight.alias("weight")), "tally")
+    best = tally.join(room, F.col("shard") == F.col("_at")).groupBy(F.col("group").alias("_group")).agg(
+        F.max(F.when(F.col("room") > share // 8, F.col("weight"))).alias("open"), F.max("weight").alias("top"))
+    # rows go where more of their group is: to a shard with room, else to the one with most (by exchange)
+    goal = F.when(F.col("open") > F.col("weight"), F.col("open")).when(F.col("top") > F.col("weight"), F.col("top"))
+    wanted = tally.join(best, F.col("group") == F.col("_group")).select(
+        "_group", F.col("shard").alias("_shard"), goal["shard"].alias("target")).where("target is not null")
+    asked = linked.join(wanted, (F.col("group") == F.col("_group")) & (F.col("shard") == F.col("_shard")), "left").select(
+        "row", "group", "size", "shard", F.coalesce("target", "shard").alias("target"), band("group", "row").alias("band"))
     bands = asked.where("shard <> target").groupBy("shard", "target", "band").agg(F.sum("size").alias("asked"))
     flow = bands.groupBy("shard", "target").agg(F.sum("asked").alias("flow"))  # at most shards x shards rows
     back = flow.select(F.col("target").alias("_from"), F.col("shard").alias("_to"), F.col("flow").alias("back"))
-    into = flow.groupBy("target").agg(F.sum("flow").alias("into")).withColumnRenamed("target", "_into")
-    quota = flow.join(F.broadcast(back), (F.col("shard") == F.col("_from")) & (F.col("target") == F.col("_to")), "left").join(
-        F.broadcast(into), F.col("target") == F.col("_into")).join(room, F.col("target") == F.col("_at")).select(
-        F.col("shard").alias("_s"), F.col("target").alias("_t"),
-        (F.least("flow", F.coalesce("back", F.lit(0))) + F.greatest("room", F.lit(0)) * F.col("flow") / F.col("into")).alias("quota"))
-    admitted = _running(bands, "asked", "before", ["shard", "target"]).join(
-        F.broadcast(quota), (F.col("shard") == F.col("_s")) & (F.col("target") == F.col("_t"))).where(
+    swap = flow.join(F.broadcast(back), (F.col("shard") == F.col("_from")) & (F.col("target") == F.col("_to"))).select(
+        F.col("shard").alias("_s"), F.col("target").alias("_t"), F.least("flow", "back").alias("quota"))
+    swapped = _running(bands, "asked", "before", ["shard", "target"]).join(
+        F.broadcast(swap), (F.col("shard") == F.col("_s")) & (F.col("target") == F.col("_t"))).where(
         "before + asked <= quota").select("_s", "_t", F.col("band").alias("_band"))  # at most shards x shards x BANDS rows
-    out = asked.join(F.broadcast(admitted), (F.col("shard") == F.col("_s")) & (F.col("target") == F.col("_t"))
-                     & (F.col("band") == F.col("_band")), "left")
-    return out.select("row", "group", "size", F.coalesce("_t", "shard").alias("shard"))
+    entering = bands.groupBy("target", "band").agg(F.sum("asked").alias("asked"))
+    entered = _running(entering, "asked", "before", ["target"]).join(room, F.col("target") == F.col("_at")).where(
+        "before + asked <= room").select(F.col("target").alias("_rt"), F.col("band").alias("_rb"))  # at most shards x BANDS rows
+    out = asked.join(F.broadcast(swapped), (F.col("shard") == F.col("_s")) & (F.col("target") == F.col("_t"))
+                     & (F.col("band") == F.col("_band")), "left").join(
+        F.broadcast(entered), (F.col("target") == F.col("_rt")) & (F.col("band") == F.col("_rb")), "left")
+    moves = F.col("_s").isNotNull() | F.col("_rt").isNotNull()
+    return out.select("row", "group", "size", F.when(moves, F.col("target")).otherwise(F.col("shard")).alias("shard"))
 
 
 def _fill(single: DataFrame, linked: DataFrame, shards: int, total: int) -> DataFrame:
@@ -112,7 +118,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         F.sha2(text, 256).alias("group"), F.monotonically_increasing_id().alias("row")), "rows")
     total = int(rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()["s"])
-    groups = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("group").alias("_group"))
+    # written, so that the joins below deal out both sides themselves and can split a large group
+    groups = cut(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("group").alias("_group")), "groups")
     narrow = rows.select("row", "group", "size")
     first = F.pmod(F.xxhash64("row", F.lit("shard")), F.lit(shards)).cast("int").alias("shard")
     linked = cut(narrow.join(groups, F.col("group") == F.col("_group")).select("row", "group", "size", first), "linked")
