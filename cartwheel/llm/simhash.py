@@ -182,9 +182,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     every = cut(fingerprints(docs, shingle), "fingerprints")
     distinct = cut(every.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(links(distinct, distance, block))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = cut(distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+    # written, so that the join deals out both sides itself and can split a large component
+    least = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
     named = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     return every.join(named, every["fp"] == named["_fp"]).drop("_fp")
 
