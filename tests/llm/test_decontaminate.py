@@ -71,6 +71,27 @@ def test_recall_and_precision_against_brute_force(planted):
     assert len(got) >= 0.95 * len(truth) and len(truth) > 100
 
 
+@pytest.mark.parametrize("n", (72, 100, 200, 400))
+@pytest.mark.parametrize("where", ("everywhere", "at the start"))
+def test_recall_of_long_items(n, where):
+    """Copies edited up to the limit, the edits over the whole item or all in its first third."""
+    r = random.Random(n)
+    words = [f"v{k}" for k in range(2000)]
+    items = [(k, " ".join(r.choice(words) for _ in range(n))) for k in range(60)]
+    texts = []
+    for _, item in items:
+        item = item.split()
+        part = n if where == "everywhere" else n // 3
+        copy = list(item[:part])
+        for _ in range(D.allowed(n)):
+            at, how = r.randrange(len(copy)), r.random()
+            copy[at:at + 1] = [r.choice(words)] if how < 0.5 else [] if how < 0.75 else [r.choice(words), copy[at]]
+        around = [[r.choice(words) for _ in range(50)] for _ in range(2)]
+        texts.append(" ".join(around[0] + copy + item[part:] + around[1]))
+    got = {(d, i) for d, i, _, _ in D.Block(items).matches(texts)}
+    assert len(got & {(k, k) for k in range(60)}) >= 58
+
+
 def test_query_tables(spark, docs, planted, odd_rows, monkeypatch):
     monkeypatch.setattr(D, "BLOCK_ITEMS", 7)  # many blocks
     items = spark.createDataFrame(ITEMS + [(100, None), (101, ""), (102, "w1 w2"), (None, ITEMS[0][1])], "item_id long, text string")
