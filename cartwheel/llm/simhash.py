@@ -59,15 +59,17 @@ def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and the signed 64-bit fingerprint of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, others: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the signed 64-bit fingerprint and the columns ``others`` of every row."""
     def run(batches):
         for batch in batches:
             out = [fingerprint(t.encode().lower().split() if t else [], shingle) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64)), *batch.columns[2:]],
+                                  ["doc_id", "fp", *others])
 
-    docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    docs = docs.select("doc_id", "text", *others)
+    kinds = [f"{name} {docs.schema[name].dataType.simpleString()}" for name in others]
+    return docs.mapInArrow(run, ", ".join([f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long", *kinds]))
 
 
 def golay_tables(threshold: int):
@@ -177,13 +179,18 @@ def links(distinct: DataFrame, distance: int = DISTANCE, block: int = BLOCK) ->
     return dealt.groupBy("anchor", "i", "j").applyInArrow(compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the least doc_id reachable over links."""
-    every = cut(fingerprints(docs, shingle), "fingerprints")
+def _rooted(every: DataFrame, distance: int, block: int) -> DataFrame:
+    """(fp, first_id, root) of every distinct fingerprint; root is the least fingerprint of its component."""
     distinct = cut(every.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(links(distinct, distance, block))
-    rooted = cut(distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+    return cut(distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
+    """(doc_id, fp, component_id) of every row; component_id is the least doc_id reachable over links."""
+    every = cut(fingerprints(docs, shingle), "fingerprints")
+    rooted = _rooted(every, distance, block)
     # written, so that the join deals out both sides itself and can split a large component
     least = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
     named = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
@@ -191,11 +198,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
-    """``docs`` without the documents that have a smaller doc_id in their component.
+    """One row of every component of ``docs``: the one with the smallest doc_id.
 
-    Rows that repeat a kept doc_id are one document and come out once; a row without a
-    doc_id stays only if no document with one is in its component.
+    A row without a doc_id stays only if no document with one is in its component.  Rows are
+    told apart by a digest of all their columns, so rows that share a doc_id, or lack one, are
+    kept or dropped by their own component; of those in one component the least digest stays.
     """
-    found = near_duplicates(docs, shingle, distance, block)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates(["doc_id"])
+    keyed = docs.withColumn("_row", F.unhex(F.sha2(F.to_json(F.struct(*docs.columns)), 256)))
+    every = cut(fingerprints(keyed, shingle, ("_row",)), "fingerprints")
+    rooted = _rooted(every, distance, block).select(F.col("fp").alias("_fp"), "root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row"))
+    kept = cut(every.join(rooted, every["fp"] == rooted["_fp"]).groupBy("root").agg(first.alias("first")).select(
+        F.col("first._row").alias("_row")), "kept")
+    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")

@@ -96,6 +96,16 @@ def test_one_per_group(docs, odd_rows):
     assert len(ids) == len(set(ids)) and 1 in ids and 2 not in ids and 4 in ids and 5 not in ids and 6 in ids and 7 not in ids
 
 
+def test_one_per_group_with_null_and_repeated_ids(docs):
+    """Every component keeps exactly one row, whatever ids its rows carry."""
+    r = random.Random(5)
+    texts = [" ".join(f"u{r.randrange(9000)}" for _ in range(60)) for _ in range(8)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[2]), (3, texts[3]), (3, texts[4]),
+            (3, texts[5]), (2, texts[5]), (2, texts[6]), (2, texts[6]), (None, texts[7]), (9, texts[7]), (8, texts[7])]
+    kept = sorted(((x.doc_id, x.text) for x in S.one_per_group(docs(rows)).collect()), key=lambda x: texts.index(x[1]))
+    assert kept == list(zip([None, None, 7, 3, 3, 2, 2, 8], texts))
+
+
 def test_empty(docs):
     assert S.near_duplicates(docs([])).count() == 0 and S.one_per_group(docs([])).count() == 0
 
