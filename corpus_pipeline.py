@@ -40,9 +40,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the ids of every text that is left."""
-    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """doc_id, n_tokens, the ids of every text that is left and the SHA-256 of the text decoded from them."""
+    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 STAGES = [

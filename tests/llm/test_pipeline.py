@@ -1,3 +1,5 @@
+import hashlib
+
 import public_tokenizers as P
 import tiktoken
 
@@ -56,6 +58,13 @@ def test_stages_equal_brute_force(spark):
     assert {r.doc_id: (r.n_tokens, list(r.ids)) for r in last} == {i: (len(x), x) for i, t in rows.items() for x in [library.encode_ordinary(t)]}
 
 
+def test_last_stage_decodes(spark, docs, odd_rows):
+    """The ids of every row give its text back."""
+    out = corpus_pipeline.byte_bpe(spark, docs(odd_rows), SF).collect()
+    digest = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    assert sorted(r.decoded_sha256 for r in out) == sorted(digest(t) for _, t in odd_rows)
+
+
 def test_run_equals_the_stages(spark):
     run = {r.doc_id: list(r.ids) for r in corpus_pipeline.run(spark, SF).collect()}
     docs = documents(spark, SF)
