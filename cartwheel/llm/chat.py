@@ -6,8 +6,9 @@ asks, length).  The hidden state is the role.  Transition and emission counts co
 all rows whose role is labelled, summed by Spark into small tables, on top of fixed
 pseudo-counts; without labels the pseudo-counts alone decide.
 
-Viterbi runs over whole conversations without holding one in a task: rows are grouped by
-(conv_id, block of turns); a block is reduced to a roles x roles matrix of best scores;
+Viterbi runs over whole conversations without holding one in a task: the rows of a
+conversation are numbered in order and grouped by (conv_id, block of ``BLOCK_TURNS`` rows),
+whatever their turn numbers; a block is reduced to a roles x roles matrix of best scores;
 the matrices of a conversation give the roles at the block borders; every block then
 decodes its own lines.
 
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import cut
+from cartwheel.operators.ranking import row_number
 
 ROLES = ("user", "assistant", "system")
 BLOCK_TURNS = 256
@@ -134,12 +136,18 @@ def train(observed: DataFrame) -> Model:
     return Model(emitted, moved, started)
 
 
+def _blocks(observed: DataFrame, block_turns: int) -> DataFrame:
+    """Rows with their place in the conversation and its block; a block has at most ``block_turns`` rows.
+
+    Rows of a conversation with equal turn and text are alike, so their order does not matter.
+    """
+    ranked = row_number(observed.select("conv_id", "turn", "text", "seen"), ["turn", "text"], ["conv_id"], rn_col="place")
+    return ranked.withColumn("block", F.floor((F.col("place") - 1) / block_turns))
+
+
 def _lines(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
     """Rows in order, all their observations, the step to each line (see Model), and the rows' line counts."""
-    table = table.sort_by([("turn", "ascending"), ("text", "ascending")]) if table.num_rows > 1 else table
-    if table.num_rows > 1 and table.column("turn").null_count:
-        null = table.column("turn").is_null()
-        table = pa.concat_tables([table.filter(null), table.filter(table.column("turn").is_valid())])
+    table = table.sort_by("place")
     seen = table.column("seen").to_pylist()
     sizes = np.array([len(s) for s in seen], np.int64)
     symbols = np.array([x for s in seen for x in s], np.int64)
@@ -170,7 +178,7 @@ def format_chats(transcripts: DataFrame, block_turns: int = BLOCK_TURNS) -> Data
     observed = cut(_observed(rows), "observed")
     model = train(observed)
     kind = rows.schema["conv_id"].dataType.simpleString()
-    blocks = observed.select("conv_id", "turn", "text", "seen", F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-1)).alias("block"))
+    blocks = _blocks(observed, block_turns)
     n = len(ROLES)
 
     def matrix(table: pa.Table) -> pa.Table:
@@ -208,7 +216,7 @@ def format_chats(transcripts: DataFrame, block_turns: int = BLOCK_TURNS) -> Data
             "n_lines": pa.array([x[4] for x in out], pa.int64()), "text": pa.array([x[3] for x in out], pa.string()),
             "rendered": pa.array([render(x[2], x[3]) for x in out], pa.string())})
 
-    best = blocks.select("conv_id", "turn", "text", "seen", "block").groupBy("conv_id", "block").applyInArrow(
+    best = blocks.select("conv_id", "place", "seen", "block").groupBy("conv_id", "block").applyInArrow(
         matrix, f"conv_id {kind}, block long, best array<double>")
     bounds = best.groupBy("conv_id").applyInArrow(borders, f"conv_id {kind}, block long, before array<double>, last int")
     return blocks.groupBy("conv_id", "block").cogroup(bounds.groupBy("conv_id", "block")).applyInArrow(

@@ -35,6 +35,18 @@ def test_blocks_decode_as_a_whole(spark):
     assert small == sorted(map(key, C.format_chats(table, block_turns=1000).collect()))
 
 
+def test_blocks_are_bounded_whatever_the_keys(spark):
+    """Rows without a conv_id, repeated turns and null turns: no group has more rows than a block."""
+    rows = [(None, k % 3, None, f"User: {k}") for k in range(90)] + [(1, 0, None, f"Bot: {k}") for k in range(70)]
+    rows += [(2, None, None, f"{k}") for k in range(50)] + [(3, 5, None, "same")] * 40
+    table = spark.createDataFrame(rows, SCHEMA)
+    sizes = [r["count"] for r in C._blocks(C._observed(table), 16).groupBy("conv_id", "block").count().collect()]
+    assert max(sizes) == 16 and sum(sizes) == len(rows)
+    key = lambda r: (str(r.conv_id), str(r.turn), r.part, r.role, r.text)
+    small = sorted(map(key, C.format_chats(table, block_turns=16).collect()))
+    assert small == sorted(map(key, C.format_chats(table, block_turns=1000).collect())) and len(small) == len(rows)
+
+
 def test_viterbi_equals_enumeration():
     import itertools
     r = np.random.default_rng(2)
