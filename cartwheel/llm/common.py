@@ -42,6 +42,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once a row, however often body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -266,6 +266,18 @@ class Block:
         return [(doc, self.ids[item], len(self.words[item]), edits) for (doc, item), edits in sorted(best.items())]
 
 
+def _blocks(benchmark: DataFrame):
+    """The items with a text, BLOCK_ITEMS at a time."""
+    held: list[tuple] = []
+    for r in benchmark.select("item_id", "text").where(F.col("text").isNotNull()).toLocalIterator():
+        held.append((r["item_id"], r["text"]))
+        if len(held) == BLOCK_ITEMS:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, item_words and n_edits for every document row and item within the distance."""
     docs = docs.select("doc_id", "text")
@@ -290,15 +302,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         return docs.mapInArrow(run, schema)
 
     item_type = pa.string() if kinds[1] == "string" else pa.int64() if kinds[1] == "bigint" else pa.int32()
-    held: list[tuple] = []
-    for r in benchmark.select("item_id", "text").where(F.col("text").isNotNull()).toLocalIterator():
-        held.append((r["item_id"], r["text"]))
-        if len(held) == BLOCK_ITEMS:
-            out, held = out.union(against(held)), []
-    return out.union(against(held)) if held else out
+    for items in _blocks(benchmark):
+        out = out.union(against(items))
+    return out
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the contaminated documents (all rows that share their doc_id)."""
-    found = contaminated(docs, benchmark, similarity).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_hit"]), "left_anti")
+    """``docs`` without the rows whose text is contaminated.
+
+    Every row is judged by its own text where it lies: no join by doc_id, so rows that share one,
+    or lack one, neither drop nor keep each other, and no column name can clash.
+    """
+    def against(items: list[tuple]):
+        name = uuid.uuid4().hex
+
+        def run(batches):
+            block = worker_cache(f"benchmark {name}", lambda: Block(items, similarity))
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    part = batch.slice(at, 256)
+                    hit = np.zeros(part.num_rows, bool)
+                    hit[[f[0] for f in block.matches(part.column(text).to_pylist())]] = True
+                    yield part.filter(pa.array(~hit))
+
+        return run
+
+    text = next(k for k, c in enumerate(docs.columns) if c == "text")
+    for items in _blocks(benchmark):
+        docs = docs.mapInArrow(against(items), docs.schema)
+    return docs

@@ -137,7 +137,8 @@ class WordEncoder:
 
     Its pieces never cross white space, so a text's ids are those of its words; words that this
     worker has met are looked up.  The lower-case letters of a simple word are one piece, which
-    goes straight to the library's model; any other word goes through the whole library.
+    goes straight to the library's model; any other word goes through the whole library, which
+    gives the special tokens' ids where a text holds their strings.
     """
 
     def __init__(self, path: str):
@@ -145,7 +146,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.words = Kept(KEPT_WORDS, self._word)

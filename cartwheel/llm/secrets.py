@@ -26,7 +26,7 @@ from re import _parser as regex_tree
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import cut, let
+from cartwheel.llm.common import cut, let, unused
 
 TRIGRAM = 3
 #: Alternatives of literal text that are followed one by one before the query gives up precision.
@@ -241,11 +241,13 @@ def find(docs: DataFrame, table: tuple[Rule, ...] = RULES) -> DataFrame:
     return without.union(hit.select("doc_id", _all_spans(table, indexed, F.col("_rules")).alias("_spans")))
 
 
-def annotate(docs: DataFrame, table: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All columns of ``docs`` with _spans, in one join."""
+def annotate(docs: DataFrame, table: tuple[Rule, ...] = RULES, into: str = "_spans") -> DataFrame:
+    """All columns of ``docs`` with the column ``into`` (a name that ``docs`` does not have) of spans, in one join."""
     met, indexed = _candidates_of(docs, table)
-    both = docs.join(met, docs["doc_id"].eqNullSafe(met["_candidate"]), "left").drop("_candidate")
-    return both.withColumn("_spans", _all_spans(table, indexed, F.col("_rules"))).drop("_rules")
+    candidate, rules = unused(docs, "_candidate"), unused(docs, "_rules")
+    met = met.select(F.col("_candidate").alias(candidate), F.col("_rules").alias(rules))
+    both = docs.join(met, docs["doc_id"].eqNullSafe(met[candidate]), "left")
+    return both.select(*docs.columns, _all_spans(table, indexed, F.col(rules)).alias(into))
 
 
 def joined(spans: Column) -> Column:

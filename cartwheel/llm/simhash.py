@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import cut, worker_cache
+from cartwheel.llm.common import cut, unused, worker_cache
 from cartwheel.llm.components import components
 
 SHINGLE = 4
@@ -204,10 +204,11 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
     told apart by a digest of all their columns, so rows that share a doc_id, or lack one, are
     kept or dropped by their own component; of those in one component the least digest stays.
     """
-    keyed = docs.withColumn("_row", F.unhex(F.sha2(F.to_json(F.struct(*docs.columns)), 256)))
-    every = cut(fingerprints(keyed, shingle, ("_row",)), "fingerprints")
+    row = unused(docs, "_row")
+    keyed = docs.withColumn(row, F.unhex(F.sha2(F.to_json(F.struct(*docs.columns)), 256)))
+    every = cut(fingerprints(keyed, shingle, (row,)), "fingerprints")
     rooted = _rooted(every, distance, block).select(F.col("fp").alias("_fp"), "root")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", row))
     kept = cut(every.join(rooted, every["fp"] == rooted["_fp"]).groupBy("root").agg(first.alias("first")).select(
-        F.col("first._row").alias("_row")), "kept")
-    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+        F.col("first")[row].alias(row)), "kept")
+    return keyed.join(kept, row, "left_semi").dropDuplicates([row]).drop(row)

@@ -13,7 +13,6 @@ from cartwheel.llm import packed as K
 
 PATH = P.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
-LIBRARY.encode_special_tokens = True
 ENCODER = K.WordEncoder(PATH)
 
 
@@ -31,6 +30,16 @@ def test_any_text(text):
     assert own(text) == library(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "word", "É", "'s", "\n", "9"]), max_size=8))
+def test_special_tokens_in_texts(parts):
+    assert own("".join(parts)) == library("".join(parts))
+
+
+def test_special_token_ids():
+    assert own("hello <|endoftext|> world") == library("hello <|endoftext|> world") == [3306, 49407, 1002]
+
+
 def test_every_latin_letter():
     for c in map(chr, range(33, 0x250)):
         if unicodedata.category(c)[0] != "C":

@@ -2,6 +2,7 @@ import hashlib
 
 import public_tokenizers as P
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -65,6 +66,28 @@ def test_last_stage_decodes(spark, docs, odd_rows):
     assert sorted(r.decoded_sha256 for r in out) == sorted(digest(t) for _, t in odd_rows)
 
 
+def test_clean_rows_stay_whatever_their_ids(spark, docs):
+    """Rows that share a doc_id with a contaminated row, or lack one, are judged by their own texts."""
+    item = max((r.text for r in benchmark(spark, SF).collect()), key=len)
+    clean = "plain words about gardens and rivers that no benchmark holds"
+    table = docs([(None, item), (None, clean), (None, clean), (7, f"before {item} after"), (7, clean), (8, None), (8, "")])
+    left = corpus_pipeline.benchmark_decontamination(spark, table, SF).collect()
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted([(r.doc_id, r.text) for r in left], key=key) == sorted(
+        [(None, clean), (None, clean), (7, clean), (8, None), (8, "")], key=key)
+
+
+def test_names_of_input_columns_never_clash(spark, docs, odd_rows):
+    names = ["_spans", "_rules", "_candidate", "_row", "_hit", "_fp", "fp", "root", "ids"]
+    table = docs(odd_rows).withColumns({n: F.lit(n) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, SF)
+        assert out.columns == table.columns
+        for r in out.select(*names).distinct().collect():
+            assert list(r) == names
+    assert corpus_pipeline.byte_bpe(spark, table, SF).count() == len(odd_rows)
+
+
 def test_run_equals_the_stages(spark):
     run = {r.doc_id: list(r.ids) for r in corpus_pipeline.run(spark, SF).collect()}
     docs = documents(spark, SF)
