@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import bpe, decontaminate, quality, secrets, simhash
-from cartwheel.llm.common import benchmark, cut, documents
+from cartwheel.llm.common import benchmark, cut, documents, unused
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +32,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by its kind in brackets; ``n_chars`` follows the text."""
-    found = secrets.annotate(docs)
-    clean = found.withColumn("text", secrets.redact(F.col("text"), F.col("_spans"))).drop("_spans")
+    spans = unused(docs, "_spans")
+    found = secrets.annotate(docs, into=spans)
+    clean = found.withColumn("text", secrets.redact(F.col("text"), F.col(spans))).drop(spans)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean.select(*docs.columns)

@@ -25,7 +25,7 @@ def _rows(df):
 
 def _copy_tables(folder):
     for name in os.listdir(SF_SMALL):
-        shutil.copy(f"{SF_SMALL}/{name}", folder)
+        shutil.copyfile(f"{SF_SMALL}/{name}", f"{folder}/{name}")
 
 
 def test_a_later_call_sees_new_data(spark, tmp_out):
