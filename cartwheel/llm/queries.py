@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, chat, decontaminate, hmm, packed, quality, secrets, shards, simhash, substrings
+from cartwheel.llm import bpe, chat, decontaminate, hmm, merkle, packed, quality, secrets, shards, simhash, substrings
 from cartwheel.llm.common import benchmark, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "turn", "part", "role", "n_lines", F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = F.when(merkle.in_tampered_sample(F.col("doc_id")), merkle.lowered(F.col("text"))).otherwise(F.col("text"))
+    return merkle.verify(documents(spark, sf_dir), seen).select(
+        "doc_id", "leaf", "subroot", "root", merkle.siblings(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 # --- SQL --------------------------------------------------------------------
 
 def _either_case(pattern: str) -> str:
@@ -178,3 +185,44 @@ k AS (SELECT rid, string_agg(w[p], ' ' ORDER BY p) AS kept, count(*) AS n
       FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN g USING (rid, p) GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (rid)"""
+
+
+def _merkle_sql(levels: int = 14, last: int = 6) -> str:
+    """Levels of 8 written out: 8 ** 14 leaves a tree, 8 ** 6 trees."""
+    def tree(name: str, leaves: str, depth: int) -> str:
+        out = [f"{name}0 AS ({leaves})"]
+        for k in range(depth):
+            out += [f"""{name}p{k} AS (SELECT tree, i, n, CASE WHEN n > 1 THEN coalesce(string_agg(d, '') OVER (
+        PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l, CASE WHEN n > 1 THEN coalesce(
+        string_agg(d, '') OVER (PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r FROM {name}{k})""",
+                    f"""{name}{k + 1} AS (SELECT tree, i // 8 AS i, (any_value(n) + 7) // 8 AS n, CASE WHEN any_value(n) = 1 THEN any_value(d)
+        ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d FROM {name}{k} GROUP BY tree, i // 8)"""]
+        return ",\n".join(out)
+
+    def climb(name: str, depth: int, rank: str, key: str) -> tuple[str, str]:
+        joins = " ".join(f"JOIN {name}p{k} x{name}{k} ON x{name}{k}.tree = {key} AND x{name}{k}.i = {rank} // {8 ** k}" for k in range(depth))
+        return joins, ", ".join(f"{{{{'l': x{name}{k}.l, 'r': x{name}{k}.r}}}}" for k in range(depth)).replace("{{", "{").replace("}}", "}")
+
+    part = lambda c: f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    fields = [part(c) for c in merkle.FIELDS]
+    low = f"translate(text, '{merkle.CAPITALS}', '{merkle.SMALL}')"
+    crc = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+    joins_t, steps_t = climb("t", levels, "s.i", "s.tree")
+    joins_u, steps_u = climb("u", last, "s.tree", "0")
+    return f"""
+WITH d AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, sha256({' || '.join(fields)}) AS leaf,
+        CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN sha256({' || '.join(fields[:-1])} || {part(low)}) ELSE sha256({' || '.join(fields)}) END AS seen
+    FROM documents),
+s AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM d),
+{tree('t', 'SELECT tree, i, n, leaf AS d FROM s', levels)},
+{tree('u', f'SELECT 0 AS tree, tree AS i, count(*) OVER () AS n, d FROM t{levels}', last)},
+p AS (SELECT s.doc_id, s.leaf, s.seen, top.d AS subroot, (SELECT d FROM u{last}) AS root,
+        list_filter([{steps_t}, {steps_u}], lambda y: y.l IS NOT NULL) AS path
+    FROM s JOIN t{levels} top ON top.tree = s.tree {joins_t} {joins_u}),
+f AS (SELECT *, list_reduce(list_concat([{{'l': seen, 'r': ''}}], path), lambda a, b: {{'l': sha256(b.l || a.l || b.r), 'r': ''}}).l AS folded_root FROM p)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda y: y.l || y.r), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM f"""
+
+
+ORACLES["op11_merkle_manifest"] = _merkle_sql()
