@@ -140,14 +140,19 @@ def _attach(nodes: DataFrame, parents: DataFrame, span: int) -> DataFrame:
     return met.withColumn("path", F.concat(F.array(step), "_path"))
 
 
-def _descend(leaves: DataFrame, levels: list[DataFrame], starts: DataFrame, fanout: int) -> DataFrame:
-    """Leaves with path and subroot; ``starts`` has the path and subroot of each tree's top."""
-    starts = starts.select(F.col("tree").alias("_start"), F.col("path"), F.col("subroot"))
+def _descend(leaves: DataFrame, levels: list[DataFrame], starts: DataFrame | None, fanout: int) -> DataFrame:
+    """Leaves with path and subroot; ``starts`` has the path and subroot of each tree's top (None: nothing is above it)."""
+    if starts is not None:
+        starts = starts.select(F.col("tree").alias("_start"), F.col("path"), F.col("subroot"))
     above = None
     for k in range(len(levels), -1, -1):
         all_nodes = levels[k - 1] if k else leaves
         kept = [*all_nodes.columns, "path", "subroot"]
-        nodes = all_nodes.where(_top()).join(starts, F.col("tree") == F.col("_start")).select(*kept)
+        nodes = all_nodes.where(_top())
+        if starts is None:
+            nodes = nodes.withColumns({"path": F.array().cast(PATH), "subroot": F.col("digest")})
+        else:
+            nodes = nodes.join(starts, F.col("tree") == F.col("_start")).select(*kept)
         if above is not None:
             nodes = nodes.union(_attach(all_nodes.where(~_top()), above, fanout ** (k + 1)).select(*kept))
         above = cut(nodes, "merkle-paths") if k else nodes
@@ -160,9 +165,7 @@ def prove(manifest: Manifest, fanout: int = FANOUT) -> DataFrame:
     path: for every level from the leaf to the root, the joined digests of the siblings to the
     left and to the right.
     """
-    spark = manifest.leaves.sparkSession
-    start = spark.range(1).select(F.lit("").alias("tree"), F.array().cast(PATH).alias("path"), F.lit("").alias("subroot"))
-    tops = _descend(manifest.tops, manifest.above, start, fanout)
+    tops = _descend(manifest.tops, manifest.above, None, fanout)
     starts = cut(tops.select(F.col("named").alias("tree"), "path", F.col("digest").alias("subroot")), "merkle-starts")
     return _descend(manifest.leaves, manifest.levels, starts, fanout)
 

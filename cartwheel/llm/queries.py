@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, chat, decontaminate, hmm, merkle, packed, quality, secrets, shards, simhash, substrings
+from cartwheel.llm import align, bpe, chat, decontaminate, hmm, merkle, packed, quality, secrets, shards, simhash, substrings
 from cartwheel.llm.common import benchmark, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle.siblings(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path_a, path_b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align(documents(spark, sf_dir), path_a, path_b)
+
+
 # --- SQL --------------------------------------------------------------------
 
 def _either_case(pattern: str) -> str:
