@@ -33,20 +33,21 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from dataclasses import dataclass, field
+import struct
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import Kept, cut, worker_cache
+from cartwheel.llm.common import cut, worker_cache
 
 #: Characters of a range; a task holds one range's tokens, and FAN composed fragments.
 CHUNK = 32_768
 FAN = 8
 #: Stretches (of one generation) that a worker keeps, and the longest of them in characters.
-KEPT = 100_000
+KEPT = 200_000
 KEPT_CHARS = 64
 #: Pairs whose counts go to every task.
 FREQUENT = 262_144
@@ -57,66 +58,81 @@ SPACE_MARK = "▁"
 
 # --- groups and fragments -----------------------------------------------------
 
-@dataclass
-class Group:
-    """Closed groups: their text form, counts, and linked id pairs (A id << 32 | B id) one by one."""
-    text: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: np.ndarray
+NONE = np.zeros(0, np.int32)
+Open = tuple[np.ndarray, np.ndarray]
 
 
-def group_of(a: list[int], b: list[int]) -> Group:
-    ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-    return Group(f"{','.join(map(str, a))}|{','.join(map(str, b))}", len(a), len(b), 1, ((ids_a[:, None] << 32) | ids_b).ravel())
+class Groups(NamedTuple):
+    """Closed groups in order: the ids of A and B, and how many of each a group has."""
+    a: np.ndarray = NONE
+    b: np.ndarray = NONE
+    a_sizes: np.ndarray = NONE
+    b_sizes: np.ndarray = NONE
 
+    def __add__(self, other: Groups) -> Groups:
+        return Groups(*map(np.concatenate, zip(self, other)))
 
-def joined(groups: list[Group]) -> Group:
-    return Group(";".join([g.text for g in groups]), sum([g.n_a for g in groups]), sum([g.n_b for g in groups]),
-                 sum([g.n_groups for g in groups]), np.concatenate([g.pairs for g in groups]) if groups else np.zeros(0, np.int64))
+    def pairs(self) -> np.ndarray:
+        """Linked id pairs (A id << 32 | B id), one by one."""
+        group = np.repeat(np.arange(len(self.a_sizes)), self.a_sizes)  # of each A token
+        partners = self.b_sizes[group]
+        first = (np.cumsum(self.b_sizes) - self.b_sizes)[group]  # its first partner in b
+        within = np.arange(partners.sum()) - np.repeat(np.cumsum(partners) - partners, partners)
+        return (np.repeat(self.a.astype(np.int64), partners) << 32) | self.b[np.repeat(first, partners) + within]
 
+    def text(self, shown: Shown) -> str:
+        """a1,a2|b1;a3|b2,b3"""
+        sizes = self.a_sizes + self.b_sizes
+        start = np.cumsum(sizes) - sizes
+        out = np.empty(len(self.a) + len(self.b), object)
+        for ids, counts, begin, last in ((self.a, self.a_sizes, start, shown.bar), (self.b, self.b_sizes, start + self.a_sizes, shown.semicolon)):
+            ends = np.cumsum(counts)
+            place = np.arange(len(ids)) + np.repeat(begin - (ends - counts), counts)
+            out[place] = shown.comma[ids]
+            out[place[ends - 1]] = last[ids[ends - 1]]
+        return "".join(out.tolist())[:-1]
 
-@dataclass
-class Fragment:
+
+class Shown:
+    """Decimal ids with each of the marks that may follow them."""
+
+    def __init__(self, n: int):
+        self.comma, self.bar, self.semicolon = (np.array([f"{k}{mark}" for k in range(n)], object) for mark in ",|;")
+
+
+class Fragment(NamedTuple):
     """Tokens ending in a byte range. ``split``: it holds a common end; without one all tokens are in prefix."""
     split: bool = False
-    prefix: tuple[list[int], list[int]] = field(default_factory=lambda: ([], []))
-    closed: list[Group] = field(default_factory=list)
-    suffix: tuple[list[int], list[int]] = field(default_factory=lambda: ([], []))
+    prefix: Open = (NONE, NONE)
+    closed: Groups = Groups()
+    suffix: Open = (NONE, NONE)
 
     def __add__(self, other: Fragment) -> Fragment:
         if not self.split:
             return Fragment(other.split, _meet(self.prefix, other.prefix), other.closed, other.suffix)
-        if not other.split:
-            return Fragment(True, self.prefix, self.closed, _meet(self.suffix, other.prefix))
         inner = _meet(self.suffix, other.prefix)
-        return Fragment(True, self.prefix, self.closed + ([group_of(*inner)] if inner[0] or inner[1] else []) + other.closed, other.suffix)
+        if not other.split:
+            return Fragment(True, self.prefix, self.closed, inner)
+        met = Groups(*inner, *[np.array([len(x)], np.int32) for x in inner]) if len(inner[0]) else Groups()
+        return Fragment(True, self.prefix, self.closed + met + other.closed, other.suffix)
 
 
-def _meet(x, y):
-    return x[0] + y[0], x[1] + y[1]
+def _meet(x: Open, y: Open) -> Open:
+    return np.concatenate((x[0], y[0])), np.concatenate((x[1], y[1]))
 
 
 #: A common end and nothing else: the start of a text.
 START = Fragment(split=True)
 
 
-def fragment_of(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> Fragment:
+def fragment_of(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> Fragment:
     """The fragment of tokens with their end offsets."""
-    common = sorted(set(a_ends) & set(b_ends))
-    if not common:
-        return Fragment(False, (list(a), list(b)))
-    parts, i, j = [], 0, 0
-    for end in common:
-        k, m = i, j
-        while k < len(a) and a_ends[k] <= end:
-            k += 1
-        while m < len(b) and b_ends[m] <= end:
-            m += 1
-        parts.append((list(a[i:k]), list(b[j:m])))
-        i, j = k, m
-    return Fragment(True, parts[0], [group_of(*p) for p in parts[1:]], (list(a[i:]), list(b[j:])))
+    common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    if not len(common):
+        return Fragment(False, (a, b))
+    i, j = np.searchsorted(a_ends, common, "right"), np.searchsorted(b_ends, common, "right")
+    closed = Groups(a[i[0]:i[-1]], b[j[0]:j[-1]], np.diff(i).astype(np.int32), np.diff(j).astype(np.int32))
+    return Fragment(True, (a[:i[0]], b[:j[0]]), closed, (a[i[-1]:], b[j[-1]:]))
 
 
 # --- tokenizers ---------------------------------------------------------------
@@ -146,40 +162,51 @@ class Pair:
         self.bytes_b = []
         for k in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(k)
-            self.bytes_b.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(k) else piece.replace(SPACE_MARK, " ").encode())
-        self.met = Kept(KEPT, None)
-
-    def tokens(self, stretches: list[str]) -> list[tuple | None]:
-        """(A ids, their ends, B ids, their ends) of each stretch, which begins with a space; None if its bytes do not come back."""
-        of_a = [e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)]
-        of_b = self.b.encode([s[1:] for s in stretches], num_threads=1)
+            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(k) else piece.replace(SPACE_MARK, " ").encode())
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in entries], np.int64) for entries in (self.bytes_a, self.bytes_b))
+        self.shown = Shown(max(len(self.bytes_a), len(self.bytes_b)))
+        self.met: dict[str, tuple] = {}
+        self.before: dict[str, tuple] = {}
+
+    def _tokenized(self, some: list[str]):
+        """(A ids, B ids) of stretches, which begin with a space, as bytes; None if a stretch's own bytes do not come back."""
+        of_a = [e.ids for e in self.a.encode_batch(some, add_special_tokens=False)]
+        of_b = self.b.encode([s[1:] for s in some], num_threads=1)
+        back_a, back_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        for s, a, b in zip(some, of_a, of_b):
+            data = s.encode()
+            same = SPACE_MARK not in s and b"".join(map(back_a, a)) == data and b"".join(map(back_b, b)) == data
+            yield s, (struct.pack(f"{len(a)}i", *a), struct.pack(f"{len(b)}i", *b)) if same else None
+
+    def tokens(self, lists: list[list[str]]) -> list[Open | None]:
+        """The ids of texts given as lists of stretches; None where the bytes do not come back."""
+        met, before = self.met, self.before
+        new, rare = [], {}
+        for s in set().union(*lists):
+            if s not in met:
+                if s in before:
+                    met[s] = before[s]
+                else:
+                    new.append(s)
+        for at in range(0, len(new), 2048):
+            for s, ids in self._tokenized(new[at:at + 2048]):
+                (met if len(s) <= KEPT_CHARS else rare)[s] = ids
         out = []
-        for s, a, b in zip(stretches, of_a, of_b):
-            a_bytes, b_bytes, data = [self.bytes_a[k] for k in a], [self.bytes_b[k] for k in b], s.encode()
-            same = SPACE_MARK not in s and b"".join(a_bytes) == data and b"".join(b_bytes) == data
-            out.append((a, np.cumsum([len(x) for x in a_bytes]).tolist(), b, np.cumsum([len(x) for x in b_bytes]).tolist()) if same else None)
+        for one in lists:
+            ids = [met[s] if s in met else rare[s] for s in one]
+            out.append(None if None in ids else tuple(np.frombuffer(b"".join([x[k] for x in ids]), np.int32) for k in (0, 1)))
+        if len(met) > KEPT:
+            self.met, self.before = {}, met
         return out
 
-    def groups(self, lists: list[list[str]]) -> list[list[Group | None]]:
-        """The groups of whole stretches (joined into one entry each), None where the bytes do not come back."""
-        known: dict[str, Group | None] = {}
-        new = []
-        for s in set().union(*lists):
-            if s in self.met or s in self.met.before:
-                known[s] = self.met[s] if s in self.met else self.met.before[s]
-            else:
-                new.append(s)
-        for at in range(0, len(new), 2048):
-            part = new[at:at + 2048]
-            for s, t in zip(part, self.tokens(part)):
-                known[s] = None if t is None else joined((START + fragment_of(*t)).closed)
-        if len(self.met) + len(known) > KEPT:
-            self.met.before = dict(self.met)
-            self.met.clear()
-        for s, g in known.items():
-            if len(s) <= KEPT_CHARS and len(self.met) < KEPT:
-                self.met[s] = g
-        return [[known[s] for s in one] for one in lists]
+    def fragment(self, ids: Open, lo: int = 0, hi: int | None = None) -> Fragment:
+        """The fragment of those of the tokens that end in (lo, hi]."""
+        a, b = ids
+        a_ends, b_ends = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        if hi is not None:
+            in_a, in_b = (a_ends > lo) & (a_ends <= hi), (b_ends > lo) & (b_ends <= hi)
+            a, a_ends, b, b_ends = a[in_a], a_ends[in_a], b[in_b], b_ends[in_b]
+        return fragment_of(a, a_ends, b, b_ends)
 
 
 def stretches(text: str) -> list[str]:
@@ -210,33 +237,15 @@ def ranges(text: str, chunk: int):
 
 def range_fragment(pair: Pair, context: str, first: int, last: int) -> Fragment | None:
     """The fragment of the tokens that end in the range; None if the bytes of a stretch do not come back."""
-    lo, hi = len(context[:first].encode()), len(context[:last].encode())
-    parts = stretches(context[1:])
-    sizes = np.cumsum([0, *[len(s.encode()) for s in parts]]).tolist()
-    inside = [lo <= a and b <= hi for a, b in zip(sizes, sizes[1:])]
-    groups = pair.groups([[s for s, x in zip(parts, inside) if x]])[0]
-    if any(g is None for g in groups):
-        return None
-    # a safe cut is a common end, so whole stretches are closed on either side
-    out, middle = Fragment(), Fragment(bool(groups), closed=[joined(groups)] if groups else [])
-    for s, x, at in zip(parts, inside, sizes):
-        if x:
-            out, middle = out + middle, Fragment()
-            continue
-        t = pair.tokens([s])[0]
-        if t is None:
-            return None
-        a = [(k, e + at) for k, e in zip(t[0], t[1]) if lo < e + at <= hi]
-        b = [(k, e + at) for k, e in zip(t[2], t[3]) if lo < e + at <= hi]
-        out = out + fragment_of([k for k, _ in a], [e for _, e in a], [k for k, _ in b], [e for _, e in b])
-    return out
+    ids = pair.tokens([stretches(context[1:])])[0]
+    return None if ids is None else pair.fragment(ids, len(context[:first].encode()), len(context[:last].encode()))
 
 
 # --- Spark ---------------------------------------------------------------------
 
 COUNTS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
-FRAGMENT = ("row long, n long, same boolean, split boolean, prefix_a array<int>, prefix_b array<int>, closed string, "
-            "suffix_a array<int>, suffix_b array<int>")
+PARTS = ["prefix_a", "prefix_b", "a", "b", "a_sizes", "b_sizes", "suffix_a", "suffix_b"]
+FRAGMENT = "row long, n long, same boolean, split boolean, " + ", ".join(f"{c} array<int>" for c in PARTS)
 
 
 def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
@@ -244,13 +253,13 @@ def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else [], kind))
 
 
-def _finished(found: list[Group | None]) -> list[pa.Array]:
+def _finished(found: list[Groups | None], shown: Shown) -> list[pa.Array]:
     """The columns of COUNTS; None: no tokens."""
-    found = [g if g is not None and g.n_groups else None for g in found]
-    pairs, times = zip(*[np.unique(g.pairs, return_counts=True) if g else (np.zeros(0, np.int64), np.zeros(0, np.int64)) for g in found])
-    count = lambda name: pa.array([getattr(g, name) if g else 0 for g in found], pa.int64())
-    return [count("n_a"), count("n_b"), count("n_groups"), pa.array([int(t.sum()) for t in times], pa.int64()),
-            pa.array([hashlib.sha256(g.text.encode()).hexdigest() if g else "" for g in found], pa.string()),
+    found = [Groups() if g is None else g for g in found]
+    pairs, times = zip(*[np.unique(g.pairs(), return_counts=True) for g in found])
+    count = lambda name: pa.array([len(getattr(g, name)) for g in found], pa.int64())
+    digests = [hashlib.sha256(g.text(shown).encode()).hexdigest() if len(g.a) else "" for g in found]
+    return [count("a"), count("b"), count("a_sizes"), pa.array([int(t.sum()) for t in times], pa.int64()), pa.array(digests, pa.string()),
             _lists(list(pairs), pa.int64()), _lists([t.astype(np.int32) for t in times], pa.int32())]
 
 
@@ -271,34 +280,30 @@ def _short(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                groups = pair.groups([stretches(t) for t in part.column("text").to_pylist()])
-                found = [None if any(g is None for g in one) else joined(one) for one in groups]
-                yield pa.record_batch([part.column("doc_id"), *_finished(found)], ["doc_id", *_names(COUNTS)])
+                ids = pair.tokens([stretches(t) for t in part.column("text").to_pylist()])
+                found = [None if x is None else (START + pair.fragment(x)).closed for x in ids]
+                yield pa.record_batch([part.column("doc_id"), *_finished(found, pair.shown)], ["doc_id", *_names(COUNTS)])
 
     return docs.mapInArrow(run, f"doc_id {kind}, {COUNTS}")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     """Fragments (row, n, fragment or None) as a batch of FRAGMENT."""
-    ints, out = pa.list_(pa.int32()), []
-    for row, n, f in rows:
-        g = f or Fragment()
-        out.append((row, n, f is not None, g.split, *g.prefix, ";".join([c.text for c in g.closed]), *g.suffix))
-    types = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), ints, ints, pa.string(), ints, ints]
-    return pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*out), types)], _names(FRAGMENT))
-
-
-def _fragment(r: dict) -> Fragment | None:
-    if not r["same"]:
-        return None
-    closed = [Group(r["closed"], 0, 0, 0, np.zeros(0, np.int64))] if r["closed"] else []
-    return Fragment(r["split"], (r["prefix_a"], r["prefix_b"]), closed, (r["suffix_a"], r["suffix_b"]))
-
-
-def _parsed(text: str) -> Group:
-    """The group form read back."""
-    ids = lambda x: list(map(int, x.split(","))) if x else []
-    return joined([group_of(*map(ids, g.split("|"))) for g in text.split(";")] if text else [])
+    held = [f or Fragment() for _, _, f in rows]
+    flat = [[*f.prefix, *f.closed, *f.suffix] for f in held]
+    return pa.record_batch([pa.array([r for r, _, _ in rows], pa.int64()), pa.array([n for _, n, _ in rows], pa.int64()),
+                            pa.array([f is not None for _, _, f in rows], pa.bool_()), pa.array([f.split for f in held], pa.bool_()),
+                            *[_lists([x[k].astype(np.int32) for x in flat], pa.int32()) for k in range(len(PARTS))]], _names(FRAGMENT))
+
+
+def _fragments(batch) -> list[tuple]:
+    """(row, n, fragment or None) of every row of a batch or table of FRAGMENT."""
+    columns = [[x.values.to_numpy() for x in batch.column(c)] for c in PARTS]
+    out = []
+    for k, (row, n, same, split) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("row", "n", "same", "split")])):
+        x = [c[k] for c in columns]
+        out.append((row, n, Fragment(split, (x[0], x[1]), Groups(*x[2:6]), (x[6], x[7])) if same else None))
+    return out
 
 
 def _long(docs: DataFrame, path_a: str, path_b: str, chunk: int, fan: int) -> DataFrame:
@@ -330,18 +335,18 @@ def _long(docs: DataFrame, path_a: str, path_b: str, chunk: int, fan: int) -> Da
                               for r in batch.slice(at, 16).to_pylist()])
 
     def compose(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["n"])
-        out, parts = Fragment(), [_fragment(r) for r in rows]
-        for p in parts:
-            out = None if out is None or p is None else out + p
-        return pa.Table.from_batches([_batch([(rows[0]["row"], rows[0]["n"] // fan, out)])])
+        rows = sorted(_fragments(table), key=lambda r: r[1])
+        out = Fragment()
+        for _, _, f in rows:
+            out = None if out is None or f is None else out + f
+        return pa.Table.from_batches([_batch([(rows[0][0], rows[0][1] // fan, out)])])
 
     def finish(batches):
+        shown = _pair(path_a, path_b).shown
         for batch in batches:
-            for r in batch.to_pylist():
-                f = _fragment(r)
-                whole = None if f is None else _parsed(";".join([g.text for g in (START + f).closed if g.text]))
-                yield pa.record_batch([pa.array([r["row"]], pa.int64()), *_finished([whole])], ["row", *_names(COUNTS)])
+            for row, _, f in _fragments(batch):
+                yield pa.record_batch([pa.array([row], pa.int64()), *_finished([None if f is None else (START + f).closed], shown)],
+                                      ["row", *_names(COUNTS)])
 
     cuts = held.select("row", "text").mapInArrow(pieces, "row long, n long, context string, first long, last long")
     out, most = cuts.repartition("row", "n").mapInArrow(fragments, FRAGMENT), -(-(longest + 1) // chunk)
