@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import align, bpe, chat, decontaminate, hmm, merkle, packed, quality, secrets, shards, simhash, substrings
+from cartwheel.llm import align, bpe, chat, crf, decontaminate, hmm, merkle, packed, quality, secrets, shards, simhash, substrings
 from cartwheel.llm.common import benchmark, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(documents(spark, sf_dir), path_a, path_b)
 
 
+@query
+def op13_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.identify(documents(spark, sf_dir))
+
+
 # --- SQL --------------------------------------------------------------------
 
 def _either_case(pattern: str) -> str:
