@@ -37,6 +37,8 @@ class ModelContext:
         self.params = dict(params or {})
         self._resolved: dict[str, DataFrame] = {}
         self.materialized: set[str] = set()
+        #: Failures of checks that a build has counted already, by (model, column, test).
+        self.observed: dict[tuple[str, str, str], int] = {}
 
     def source(self, name: str) -> DataFrame:
         return self.sources(name)

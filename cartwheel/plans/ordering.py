@@ -30,7 +30,11 @@ def sort_columns(name: str) -> list:
     return [F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_first() for c in RESULT_ORDER[name]]
 
 
+def in_declared_order(df: DataFrame, name: str) -> DataFrame:
+    """``df``, the rows of a model, in the order the model declares (as it is, if it declares none)."""
+    return df.orderBy(*sort_columns(name)) if name in RESULT_ORDER else df
+
+
 def read_ordered(ctx, name: str) -> DataFrame:
     """The model in its declared order (as it is, if it declares none)."""
-    df = ctx.ref(name)
-    return df.orderBy(*sort_columns(name)) if name in RESULT_ORDER else df
+    return in_declared_order(ctx.ref(name), name)

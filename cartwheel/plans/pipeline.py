@@ -6,31 +6,48 @@ intermediate models and marts are written as Parquet.  After each write,
 the stored result instead of recomputing its lineage, and a lost executor
 only re-runs the model being written.
 
-usage: python -m cartwheel.plans.pipeline --sf-dir DIR --out DIR [--as-of YYYY-MM-DD] [--checks]
+Models that do not need each other are written at the same time, by a bounded number of
+threads; a failed model stops only those that need it.  The null and bad-value counts of
+the declared checks are observed by the write itself, in its last stage.
+
+``build_all`` writes to a plain folder; ``publish`` writes a new version and makes it the one
+that readers see only if every check passes.
+
+usage: python -m cartwheel.plans.pipeline --sf-dir DIR --out DIR [--as-of YYYY-MM-DD] [--checks | --publish] [--threads N]
 """
 
 from __future__ import annotations
 
 import argparse
-import time
 
 from cartwheel import DEFAULT_AS_OF
 from cartwheel.plans import load_models
+from cartwheel.plans import publish as versions
 from cartwheel.plans.context import LAYERS, ModelContext
-from cartwheel.plans.quality import require_keys, run_checks
+from cartwheel.plans.quality import CHECKS, Observed, check_rows, report_frame, require_keys
+from cartwheel.plans.scheduler import THREADS, levels, require_done, run_graph
 from cartwheel.session import checkpoint_dir, configure
 
-# Topological order of the materialized models (each after everything it refs).
-BUILD_ORDER = [
-    "int_order_items_enriched", "int_user_order_summary", "fct_orders",
-    "dim_users", "dim_products", "dim_date", "dim_distribution_centers",
-    "fct_customer_orders", "fct_rfm_scores", "fct_customer_cohorts", "fct_customer_retention",
-    "fct_product_performance", "fct_category_performance", "fct_brand_performance", "fct_product_affinity",
-    "fct_daily_revenue", "fct_monthly_revenue", "fct_cohort_revenue", "fct_geography_revenue", "daily_revenue",
-    "fct_order_status", "fct_fulfillment", "fct_fulfillment_summary", "fct_returns",
-    "fct_distribution_center_performance",
-    "fct_sessions", "fct_web_funnel", "fct_traffic_source_performance", "fct_browser_performance",
-]
+ITEMS, ORDERS = "int_order_items_enriched", "fct_orders"
+
+# The written models and the written models that each reads (through views as well); a test holds
+# this against the ref() calls.  Models that others wait for come first.
+NEEDS = {
+    ITEMS: (), "fct_sessions": (), "dim_users": (), "dim_products": (), "dim_date": (), "dim_distribution_centers": (),
+    ORDERS: (ITEMS,), "int_user_order_summary": (ITEMS,),
+    "fct_customer_cohorts": ("dim_users", ORDERS), "fct_rfm_scores": ("int_user_order_summary",),
+    "fct_customer_orders": ("int_user_order_summary", "dim_users"),
+    "fct_product_affinity": (ITEMS,), "fct_product_performance": (ITEMS,), "fct_category_performance": (ITEMS,),
+    "fct_brand_performance": (ITEMS,), "fct_returns": (ITEMS,),
+    "fct_distribution_center_performance": (ITEMS, "dim_distribution_centers"),
+    "fct_daily_revenue": (ORDERS,), "fct_geography_revenue": (ORDERS,), "daily_revenue": (ORDERS,),
+    "fct_order_status": (ORDERS,), "fct_fulfillment": (ORDERS,),
+    "fct_web_funnel": ("fct_sessions",), "fct_traffic_source_performance": ("fct_sessions", ORDERS),
+    "fct_browser_performance": ("fct_sessions", ORDERS),
+    "fct_monthly_revenue": ("fct_daily_revenue",), "fct_fulfillment_summary": ("fct_fulfillment",),
+    "fct_customer_retention": ("fct_customer_cohorts",), "fct_cohort_revenue": ("fct_customer_cohorts",),
+}
+BUILD_ORDER = levels(NEEDS)
 VIEW_LAYERS = {"staging", "semantic"}
 
 # Time-keyed tables are sorted within each output partition before the write,
@@ -46,45 +63,67 @@ CLUSTER_BY = {
 
 
 def build_all(ctx: ModelContext, out_dir: str, models: list[str] | None = None, log=None,
-              check_keys: bool = True) -> dict[str, float]:
+              check_keys: bool = True, threads: int = THREADS) -> dict[str, float]:
     """Write each model of ``BUILD_ORDER`` (or ``models``) to ``out_dir/<name>``; returns seconds per model.
 
     The declared keys of the sources are checked first: nothing is written if one does not hold.
+    Models run at the same time as far as ``NEEDS`` allows; if some fail, all that do not need them are
+    still written, then ``TasksFailed`` tells which.  What the writes observed is in ``ctx.observed``.
     """
     load_models()
     spark = ctx.spark
     configure(spark)
     checkpoint_dir(spark)
     root = out_dir.rstrip("/")
-    timings: dict[str, float] = {}
     if check_keys:
-        require_keys(ctx)
-    for name in models or BUILD_ORDER:
-        if LAYERS.get(name) in VIEW_LAYERS:
-            continue
-        t0 = time.time()
+        ctx.observed.update(require_keys(ctx, threads))
+
+    def write(name: str):
         path = f"{root}/{name}"
-        df = ctx.ref(name)
+        seen = Observed(name)
+        df = seen.attach(ctx.ref(name))
         if name in CLUSTER_BY:
             df = df.sortWithinPartitions(CLUSTER_BY[name])
         df.write.mode("overwrite").parquet(path)
         ctx.replace(name, spark.read.parquet(path))
-        timings[name] = round(time.time() - t0, 3)
-        if log:
-            log(f"{name}: {timings[name]}s -> {path}")
-    return timings
+        ctx.observed.update(seen.failures())
+
+    names = [m for m in models or BUILD_ORDER if LAYERS.get(m) not in VIEW_LAYERS]
+    outcomes = require_done(run_graph(spark, {m: (lambda m=m: write(m)) for m in names}, NEEDS, threads, log))
+    return {m: outcomes[m].seconds for m in names}
 
 
-def build_and_check(ctx: ModelContext, out_dir: str, log=None):
-    """Build every mart, then run the declared checks over the written tables.
+def build_and_check(ctx: ModelContext, out_dir: str, log=None, models: list[str] | None = None, threads: int = THREADS):
+    """Build every mart (or ``models``) with the declared checks.
 
-    The report (model, column_name, test, failures) is written next to the
+    What the writes did not observe (unique columns, relationships, views) is read from the written
+    tables.  The report (model, column_name, test, failures) is written next to the
     marts as ``_dq_report``; returns (timings, report DataFrame).
     """
-    timings = build_all(ctx, out_dir, log=log)
-    root = out_dir.rstrip("/")
-    run_checks(ctx).write.mode("overwrite").parquet(f"{root}/_dq_report")
-    return timings, ctx.spark.read.parquet(f"{root}/_dq_report")
+    timings = build_all(ctx, out_dir, models, log, threads=threads)
+    path = f"{out_dir.rstrip('/')}/_dq_report"
+    checks = CHECKS if models is None else [c for c in CHECKS if c[0] in models]
+    report_frame(ctx.spark, check_rows(ctx, checks, ctx.observed, threads)).write.mode("overwrite").parquet(path)
+    return timings, ctx.spark.read.parquet(path)
+
+
+def publish(ctx: ModelContext, out_dir: str, log=None, models: list[str] | None = None, threads: int = THREADS) -> dict:
+    """Build a new version and publish it if every declared check passes; returns the publication.
+
+    ``ChecksFailed`` or ``TasksFailed`` leave the publication before as it is.  With ``models``, the others
+    are read from, and stay at, the version that is published now.
+    """
+    load_models()
+    folder = versions.new_version(out_dir)
+    if models is not None:
+        before = versions.Published(ctx.spark, out_dir)
+        for name in set(before.manifest["models"]) - set(models):
+            ctx.replace(name, before.read(name, ordered=False))
+    _, report = build_and_check(ctx, folder, log, models, threads)
+    bad = [tuple(r) for r in report.where("failures > 0").orderBy("model", "column_name", "test").collect()]  # one row a check at most
+    if bad:
+        raise versions.ChecksFailed(bad, folder)
+    return versions.commit(ctx.spark, out_dir, folder, models or BUILD_ORDER)
 
 
 def main(argv=None):
@@ -96,17 +135,21 @@ def main(argv=None):
     ap.add_argument("--sources", help="folder of the seven source tables as parquet")
     ap.add_argument("--out", required=True, help="folder of the marts, on storage that all executors share")
     ap.add_argument("--as-of", default=DEFAULT_AS_OF)
-    ap.add_argument("--checks", action="store_true", help="run the declared checks after the build")
+    ap.add_argument("--checks", action="store_true", help="report the declared checks with the build")
+    ap.add_argument("--publish", action="store_true", help="write a new version and publish it if all checks pass")
+    ap.add_argument("--threads", type=int, default=THREADS, help="models written at the same time")
     args = ap.parse_args(argv)
     spark = local_session()
     src = ParquetSources(spark, args.sources) if args.sources else FixtureSources(spark, args.sf_dir)
     ctx = ModelContext(spark, src, as_of=args.as_of)
-    if args.checks:
-        _, report = build_and_check(ctx, args.out, log=print)
+    if args.publish:
+        print(publish(ctx, args.out, log=print, threads=args.threads))
+    elif args.checks:
+        _, report = build_and_check(ctx, args.out, log=print, threads=args.threads)
         for row in report.where("failures > 0").collect():  # at most one row per declared check
             print(f"FAIL {row.model}.{row.column_name} {row.test}: {row.failures}")
     else:
-        build_all(ctx, args.out, log=print)
+        build_all(ctx, args.out, log=print, threads=args.threads)
 
 
 if __name__ == "__main__":

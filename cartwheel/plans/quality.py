@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.plans.intermediate import INT1, enriched_items
+from cartwheel.plans.scheduler import THREADS, require_done, run_graph
 from cartwheel.plans.staging import events
 from cartwheel.session import checkpoint_dir
 
@@ -156,35 +157,118 @@ def run_checks(ctx, checks=None) -> DataFrame:
     return union_all(parts)
 
 
-#: Models that most marts read: the report writes them once instead of deriving them for every mart.
-SHARED = ("fct_orders", "int_user_order_summary", "fct_sessions", "fct_customer_cohorts")
+# --- checks while writing, and concurrently -----------------------------------
 
+class Observed:
+    """Counts the NULLs of the not_null columns and the rows with bad values of one model, while it is written.
 
-def report(ctx) -> DataFrame:
-    """Every declared check; shared models are written once to the shared folder and read from there."""
-    for name in SHARED:
-        if name not in ctx.materialized:
-            path = f"{checkpoint_dir(ctx.spark).rstrip('/')}/checks-{uuid.uuid4().hex}/{name}"
-            df = ctx.ref(name)
-            df.write.parquet(path)
-            ctx.replace(name, ctx.spark.read.schema(df.schema).parquet(path))
-    return run_checks(ctx)
+    The metrics sit in the last stage of the write, below nothing that shuffles, so a repeated task is
+    counted once.  A bad-value check counts distinct values: where rows are bad it is left to a later read.
+    """
+
+    def __init__(self, model: str):
+        self.checks = [c for c in CHECKS if c[0] == model and c[2] in ("not_null", "accepted_values")]
+        self.observation = Observation(f"{model}-{uuid.uuid4().hex}") if self.checks else None
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        if not self.checks:
+            return df
+        bad = {"not_null": lambda c, _: F.col(c).isNull(),
+               "accepted_values": lambda c, values: F.col(c).isNotNull() & ~F.col(c).isin(*values)}
+        return df.observe(self.observation, *[F.count_if(bad[test](c, arg)).alias(f"c{i}")
+                                              for i, (_, c, test, arg) in enumerate(self.checks)])
+
+    def failures(self) -> dict[tuple[str, str, str], int]:
+        """By (model, column, test), once the write has ended."""
+        if not self.checks:
+            return {}
+        counted = [int(self.observation.get[f"c{i}"]) for i in range(len(self.checks))]
+        return {(m, c, t): n for (m, c, t, _), n in zip(self.checks, counted) if t == "not_null" or n == 0}
+
+
+def check_rows(ctx, checks=None, known: dict | None = None, threads: int = THREADS, before=None) -> list[tuple]:
+    """(model, column_name, test, failures) of every check, in their order.
+
+    ``known`` has failures that were counted already, or will be by the tasks ``before``, which write
+    shared models.  The other checks of a model are one job that waits for the shared models it
+    reads, and for no others; jobs run at the same time.
+    """
+    checks, known, before = CHECKS if checks is None else checks, {} if known is None else known, before or {}
+    by_model: dict[str, list] = {}
+    for check in checks:
+        by_model.setdefault(check[0], []).append(check)
+
+    def job(model: str):
+        left = [c for c in by_model[model] if c[:3] not in known]
+        return [tuple(r) for r in run_checks(ctx, left).collect()] if left else []  # a row a check
+
+    tasks = before | {f"check {m}": (lambda m=m: job(m)) for m in by_model}
+    needs = SHARED | {f"check {m}": READS.get(m, ()) for m in by_model}
+    done = require_done(run_graph(ctx.spark, tasks, needs, threads))
+    found = known | {row[:3]: row[3] for m in by_model for row in done[f"check {m}"].value}
+    return [(*c[:3], found[c[:3]]) for c in checks]
+
+
+def report_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """The report of a bounded list: one row for each declared check."""
+    return spark.createDataFrame(rows, "model string, column_name string, test string, failures long")
+
+
+#: Models that most others read, with what each reads itself: the report writes them once, at the
+#: same time as far as that allows, and observes their checks in the write.
+SHARED = {"fct_orders": (), "int_user_order_summary": (), "fct_sessions": (), "dim_users": (),
+          "fct_customer_cohorts": ("fct_orders", "dim_users")}
+#: The shared models that a model's checks read; the others wait for none.
+READS = {"fct_orders": ("fct_orders",), "fct_sessions": ("fct_sessions",), "dim_users": ("dim_users",),
+         "int_user_order_summary": ("int_user_order_summary",), "fct_customer_cohorts": ("fct_customer_cohorts",),
+         "fct_customer_orders": ("int_user_order_summary", "dim_users"), "fct_rfm_scores": ("int_user_order_summary",),
+         "fct_customer_retention": ("fct_customer_cohorts",), "fct_cohort_revenue": ("fct_customer_cohorts",),
+         "fct_daily_revenue": ("fct_orders",), "fct_monthly_revenue": ("fct_orders",), "fct_geography_revenue": ("fct_orders",),
+         "daily_revenue": ("fct_orders",), "fct_order_status": ("fct_orders",), "fct_fulfillment": ("fct_orders",),
+         "fct_fulfillment_summary": ("fct_orders",), "fct_web_funnel": ("fct_sessions",),
+         "fct_traffic_source_performance": ("fct_sessions", "fct_orders"), "fct_browser_performance": ("fct_sessions", "fct_orders"),
+         "vw_orders": ("fct_orders",), "vw_daily_revenue": ("fct_orders",), "vw_users": ("dim_users", "int_user_order_summary")}
+
+
+def report(ctx, checks=None, threads: int = 2 * THREADS) -> DataFrame:
+    """Declared checks (all by default) over models that are not built: shared ones are written once to the shared folder.
+
+    The jobs run when this is called, many at a time, each a plan of one model; their counts (a row
+    a check) make the frame.
+    """
+    checks = CHECKS if checks is None else checks
+    wanted = set().union(*[READS.get(c[0], ()) for c in checks])
+    for name, reads in SHARED.items():
+        wanted |= set(reads) if name in wanted else set()
+    folder = f"{checkpoint_dir(ctx.spark).rstrip('/')}/checks-{uuid.uuid4().hex}"
+    known: dict = {}
+
+    def write(name: str):
+        path = f"{folder}/{name}"
+        seen, df = Observed(name), ctx.ref(name)
+        seen.attach(df).write.parquet(path)
+        ctx.replace(name, ctx.spark.read.schema(df.schema).parquet(path))
+        known.update(seen.failures())
+
+    before = {name: (lambda name=name: write(name)) for name in SHARED if name in wanted and name not in ctx.materialized}
+    return report_frame(ctx.spark, check_rows(ctx, checks, known, threads, before))
 
 
 class KeyCheckError(ValueError):
     """A declared key of a source does not hold."""
 
 
-def require_keys(ctx) -> None:
+def require_keys(ctx, threads: int = THREADS) -> dict[tuple[str, str, str], int]:
     """The not_null and unique checks of the staging models; raises KeyCheckError if one fails.
 
     The marts use these keys (joins that keep the grain, plain counts for distinct ones), so
-    the build calls this before it writes anything.
+    the build calls this before it writes anything; it returns the counts for the report.
     """
     checks = [c for c in CHECKS if c[0].startswith("stg_") and c[2] in ("not_null", "unique")]
-    bad = [f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in run_checks(ctx, checks).collect() if r.failures]
-    if bad:
+    rows = check_rows(ctx, checks, threads=threads)
+    if bad := [f"{m}.{c} {t}: {n}" for m, c, t, n in rows if n]:
         raise KeyCheckError("; ".join(sorted(bad)))
+    return {row[:3]: row[3] for row in rows}
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

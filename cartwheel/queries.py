@@ -209,13 +209,13 @@ def _sql_adhoc(ctx):
 @query("dq_not_null")
 def _dq_not_null(ctx):
     """Every declared not_null check."""
-    return quality.run_checks(ctx, quality.checks_of("not_null"))
+    return quality.report(ctx, quality.checks_of("not_null"))
 
 
 @query("dq_unique")
 def _dq_unique(ctx):
     """Every declared unique check."""
-    return quality.run_checks(ctx, quality.checks_of("unique"))
+    return quality.report(ctx, quality.checks_of("unique"))
 
 
 @query("dq_accepted_values")

@@ -59,6 +59,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", os.environ.get("CARTWHEEL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32m")
