@@ -9,14 +9,16 @@ dashboard ask for, as DataFrame plans.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cartwheel.functions import numeric, safe_divide
 from cartwheel.plans.context import LAYERS, MODELS
 from cartwheel.plans.intermediate import enriched_items
 from cartwheel.plans.metrics import revenue_by_date
+from cartwheel.session import checkpoint_dir
 
 ROW_CAP = 100
 
@@ -43,43 +45,80 @@ QUERY_NODES = {
 }
 
 
+#: Functions that call host code, or whatever name they are given; table functions that only make rows.
+HOST_FUNCTIONS = {"java_method", "reflect", "try_reflect"}
+TABLE_FUNCTIONS = {"explode", "explode_outer", "inline", "inline_outer", "posexplode", "posexplode_outer", "range", "stack"}
+
+
 def _items(seq) -> list:
     return [seq.apply(i) for i in range(seq.size())]
 
 
+def _check_functions(node) -> None:
+    """ValueError if an expression of a parsed plan node calls host code."""
+    todo = _items(node.expressions())
+    while todo:
+        e = todo.pop()
+        if e.getClass().getSimpleName() == "UnresolvedFunction":
+            name = _items(e.nameParts())[-1].lower()
+            if name in HOST_FUNCTIONS:
+                raise ValueError(f"the function {name} is not accepted")
+        todo += _items(e.children())
+
+
 def tables_read(ctx, statement: str) -> set[str]:
-    """Names of the relations a statement reads; ValueError if its parsed plan is anything but a query."""
+    """Names of the models a statement reads.
+
+    ValueError if its parsed plan is anything but a query, if it names a relation that is neither a
+    model nor one of its own WITH names (a path, another catalogue's table), or calls host code.
+    """
     plan = ctx.spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
-    found, todo = set(), [plan]
+    found, own, todo = set(), set(), [plan]
     while todo:
         node = todo.pop()
         kind = node.getClass().getSimpleName()
         if kind not in QUERY_NODES:
             raise ValueError(f"only queries are accepted, not {kind}")
+        _check_functions(node)
         if kind == "UnresolvedRelation":
             found.add(".".join(_items(node.multipartIdentifier())))
+        if kind == "UnresolvedTableValuedFunction" and (name := _items(node.name())[-1].lower()) not in TABLE_FUNCTIONS:
+            raise ValueError(f"the table function {name} is not accepted")
         todo += _items(node.children()) + _items(node.subqueries())
         if kind == "UnresolvedWith":
+            own |= {t._1().lower() for t in _items(node.cteRelations())}
             todo += _items(node.innerChildren())
-    return found
+    models = {t.lower() for t in found} - own
+    if foreign := sorted(t for t in models if t not in MODELS or LAYERS[t] == "staging"):
+        raise ValueError(f"only marts can be read, not {', '.join(foreign)}")
+    return models
 
 
 def run_sql(ctx, statement: str) -> DataFrame:
     """Run one query over the models it names (registered lazily as temp views)."""
     text = statement.strip().rstrip(";")
     for name in tables_read(ctx, text):
-        if name in MODELS and LAYERS[name] != "staging":
-            ctx.ref(name).createOrReplaceTempView(name)
+        ctx.ref(name).createOrReplaceTempView(name)
     return ctx.spark.sql(text)
 
 
 def capped(df: DataFrame, cap: int = ROW_CAP) -> tuple[list[dict], int]:
-    """First ``cap`` rows as dicts and the full row count (the API edge).
+    """First ``cap`` rows as dicts and the full row count (the API edge), from one run of the query.
 
-    A result shorter than the cap has been counted by reading it; only a longer one is counted again.
+    The result is written once to the shared folder and counted by that write; its rows keep their
+    order through an increasing number, of which the first ``cap`` are read back.  Of columns with one name
+    the last is returned.
     """
-    rows = [r.asDict() for r in df.limit(cap + 1).collect()]
-    return rows[:cap], len(rows) if len(rows) <= cap else df.count()
+    spark, names = df.sparkSession, df.columns
+    path = f"{checkpoint_dir(spark).rstrip('/')}/answer-{uuid.uuid4().hex}"
+    counted = Observation(f"answer-{uuid.uuid4().hex}")
+    stored = df.toDF(*[f"c{i}" for i in range(len(names))])
+    stored = stored.select(*[F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "void" else F.col(f.name)
+                             for f in stored.schema.fields])
+    numbered = stored.select(F.monotonically_increasing_id().alias("at"), "*")
+    numbered.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    first = spark.read.schema(numbered.schema).parquet(path).orderBy("at").limit(cap).drop("at")
+    return [dict(zip(names, r)) for r in first.collect()], int(counted.get["n"])
 
 
 def topk_products_by_return_rate(ctx, min_units: int = 10, k: int = 10) -> DataFrame:
