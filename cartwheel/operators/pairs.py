@@ -8,7 +8,13 @@ Every basket is cut into blocks of about ``block`` items by a hash, and the
 blocks of a basket meet two by two: the join key is (basket, i, j), so no key
 holds more than a block on either side whatever the size of a basket, and a
 basket of one block (the usual case) is just (basket, 0, 0).  Each unordered
-pair of items meets in exactly one (i, j); pair counts combine map-side.
+pair of items meets in exactly one (i, j).
+
+A pair row is shuffled only if its pair can be frequent: a first pass counts the rows of
+``BUCKETS`` hash buckets (each task brings at most one partial count a bucket, however many pairs
+it makes), and a bucket under ``min_count`` holds no frequent pair.  The buckets that reach it, at
+most BUCKETS numbers, go to every task, which keeps the pairs of these; the second pass
+counts them exactly, so a bucket that several rare pairs fill lets them through but into no result.
 """
 
 from __future__ import annotations
@@ -17,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 512
+#: Hash buckets of the first pass: a bound on its counts and on what is broadcast (a number each).
+BUCKETS = 1 << 20
 
 
 def item_basket_counts(baskets: DataFrame, basket_col: str, item_col: str) -> DataFrame:
@@ -39,7 +47,7 @@ def block_rows(items: DataFrame, basket_col: str, item_col: str, block: int) ->
 
 
 def frequent_pairs(baskets: DataFrame, basket_col: str, item_col: str, min_count: int,
-                   item_counts: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+                   item_counts: DataFrame | None = None, block: int = BLOCK, buckets: int = BUCKETS) -> DataFrame:
     """(item_a, item_b, co_count) with item_a < item_b and co_count >= min_count.
 
     ``baskets`` must be distinct on (basket, item).
@@ -50,7 +58,21 @@ def frequent_pairs(baskets: DataFrame, basket_col: str, item_col: str, min_count
         counts = item_counts if item_counts is not None else item_basket_counts(items, basket_col, item_col)
         keep = counts.where(F.col("basket_count") >= min_count).select(F.col(item_col).alias("_keep"))
         items = items.join(keep, F.col(item_col) == F.col("_keep"), "left_semi")
+    pairs = possible_pairs(basket_pairs(items, basket_col, item_col, block), min_count, buckets)
+    return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("co_count")).where(F.col("co_count") >= min_count)
+
+
+def basket_pairs(items: DataFrame, basket_col: str, item_col: str, block: int = BLOCK) -> DataFrame:
+    """(item_a, item_b) with item_a < item_b, a row for each basket that holds both."""
     left, right = block_rows(items, basket_col, item_col, block)
-    pairs = left.join(right, ["_basket", "_i", "_j"]).where("_i < _j OR _l < _r")
-    return pairs.groupBy(F.least("_l", "_r").alias("item_a"), F.greatest("_l", "_r").alias("item_b")).agg(
-        F.count(F.lit(1)).alias("co_count")).where(F.col("co_count") >= min_count)
+    met = left.join(right, ["_basket", "_i", "_j"]).where("_i < _j OR _l < _r")
+    return met.select(F.least("_l", "_r").alias("item_a"), F.greatest("_l", "_r").alias("item_b"))
+
+
+def possible_pairs(pairs: DataFrame, min_count: int, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of ``pairs`` whose hash bucket holds at least ``min_count`` rows: all of every frequent pair."""
+    if min_count <= 1:
+        return pairs
+    bucketed = pairs.withColumn("_bucket", F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets)))
+    full = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_count).select("_bucket")
+    return bucketed.join(F.broadcast(full), "_bucket", "left_semi").select("item_a", "item_b")

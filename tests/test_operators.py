@@ -109,3 +109,33 @@ def test_no_join_key_of_pairs_holds_more_than_a_block(spark):
     left, right = block_rows(df, "order_id", "product_id", 50)
     for side in (left, right):
         assert side.groupBy("_basket", "_i", "_j").count().agg(F.max("count")).first()[0] < 4 * 50
+
+
+def test_pair_prefilter_keeps_every_frequent_pair(spark):
+    """Also with few buckets, where rare pairs share one; with many, no rare pair's rows get through."""
+    import random
+    from itertools import combinations
+
+    from cartwheel.operators.pairs import basket_pairs, possible_pairs
+
+    rnd = random.Random(3)
+    rows = sorted({(b, min(rnd.randrange(60), rnd.randrange(60))) for b in range(300) for _ in range(8)})
+    df = spark.createDataFrame(rows, "order_id long, product_id long")
+    held = {}
+    for b, i in rows:
+        held.setdefault(b, []).append(i)
+    count = {}
+    for items in held.values():
+        for p in combinations(sorted(items), 2):
+            count[p] = count.get(p, 0) + 1
+    pairs = basket_pairs(df, "order_id", "product_id")
+    assert pairs.count() == sum(count.values())
+    for min_count in (2, 25):
+        want = {p: n for p, n in count.items() if n >= min_count}
+        for buckets in (1, 7, 1 << 20):
+            left = possible_pairs(pairs, min_count, buckets).groupBy("item_a", "item_b").count().collect()
+            left = {(r.item_a, r.item_b): r["count"] for r in left}
+            assert {p: n for p, n in left.items() if n >= min_count} == want
+            assert buckets < 100 or left == want
+            got = frequent_pairs(df, "order_id", "product_id", min_count, buckets=buckets).collect()
+            assert {(r.item_a, r.item_b): r.co_count for r in got} == want
