@@ -92,6 +92,13 @@ def test_ranges_compose_in_any_bracketing(text, chunk, random):
     assert not len(parts[0].suffix[0]) and not len(parts[0].suffix[1])
 
 
+def test_every_latin_letter():
+    for c in map(chr, range(33, 0x250)):
+        for text in (c, f"the {c}", f"a{c} b", f"x {c}{c}. {c}'s"):
+            ids = PAIR.tokens([A.stretches(text)])[0]
+            assert ("" if ids is None else (A.START + PAIR.fragment(ids)).closed.text(PAIR.shown)) == form(slow_groups(text)), text
+
+
 def test_open_fragments_are_needed():
     """Ranges of one character do leave tokens open on both sides."""
     parts = [A.range_fragment(PAIR, *r) for r in A.ranges("unbelievable tokenization", 1)]
