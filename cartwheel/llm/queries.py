@@ -82,17 +82,16 @@ def op9_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations written as transcripts and parsed again.
 
-    A turn's first line carries a speaker marker in the style of its conversation, except for
-    every fourth turn (by a hash), whose speaker only the model can tell.
+    A transcript row is a page of at most 64 turns of a conversation.  A turn's first line carries a speaker marker in
+    the style of its conversation, except for every fourth turn (by a hash), whose border and speaker only the model can
+    tell; one style of three sets a blank line between turns.  The model learns from the roles of the conversations that are not held out
+    (crc32(conv_id as text) mod 4 is not 2); all are parsed.
     """
     rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
-    style = F.pmod(F.xxhash64("conv_id"), F.lit(3))
-    marker = F.when(style == 0, F.concat(F.initcap("role"), F.lit(": "))).when(
-        style == 1, F.concat(F.lit("### "), F.initcap("role"), F.lit(": "))).otherwise(F.concat(F.lit("<|"), F.col("role"), F.lit("|> ")))
-    bare = F.col("role").isNull() | (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0)
-    text = F.when(bare, F.coalesce("text", F.lit(""))).otherwise(F.concat(marker, F.coalesce("text", F.lit(""))))
-    turns = chat.format_chats(rows.select("conv_id", "turn", "role", text.alias("text")))
-    return turns.select("conv_id", "turn", "part", "role", "n_lines", F.sha2("rendered", 256).alias("rendered_sha256"))
+    shown = chat.written(rows)
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
+    turns = chat.format_chats(chat.pages(shown), shown.where(~held_out))
+    return turns.select("conv_id", "turn", "part", held_out.alias("held_out"), "role", "n_lines", F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
 @query
