@@ -299,11 +299,9 @@ def format_chats(transcripts: DataFrame, labelled: DataFrame | None = None, bloc
         _, symbols, steps, _ = _lines(table)
         return pa.table({"conv_id": conv, "block": block, "best": pa.array([model.transfer(symbols, steps).ravel().tolist()])})
 
-    def turns(table: pa.Table, bounds: pa.Table) -> pa.Table:
-        table, symbols, steps, sizes = _lines(table)
-        states = model.decode(symbols, steps, *_bounds(bounds)).tolist()
+    def told(table: pa.Table, sizes: list[int], states: list[int]) -> pa.Table:
         out, at = [], 0
-        for row, (text, size) in enumerate(zip(table.column("text").to_pylist(), sizes.tolist())):
+        for row, (text, size) in enumerate(zip(table.column("text").to_pylist(), sizes)):
             out += [(row, k, *part) for k, part in enumerate(parts_of(text, states[at:at + size]))]
             at += size
         index = pa.array([x[0] for x in out], pa.int64())
@@ -313,11 +311,27 @@ def format_chats(transcripts: DataFrame, labelled: DataFrame | None = None, bloc
             "n_lines": pa.array([x[4] for x in out], pa.int64()), "text": pa.array([x[3] for x in out], pa.string()),
             "rendered": pa.array([render(x[2], x[3]) for x in out], pa.string())})
 
-    # a conversation of one block needs no borders
+    def turns(table: pa.Table, bounds: pa.Table) -> pa.Table:
+        table, symbols, steps, sizes = _lines(table)
+        return told(table, sizes.tolist(), model.decode(symbols, steps, *_bounds(bounds)).tolist())
+
+    def alone(batches):
+        for batch in batches:
+            table, states = pa.Table.from_batches([batch]), []
+            seen = table.column("seen").to_pylist()
+            for s in seen:
+                steps = np.full(len(s), INSIDE)
+                steps[0] = CONVERSATION
+                states += model.decode(np.array(s), steps).tolist()
+            yield from told(table, [len(s) for s in seen], states).to_batches()
+
+    # a conversation of one row is decoded where it lies, one of one block needs no borders
+    out = f"conv_id {kind}, turn long, part int, role string, n_lines long, text string, rendered string"
+    single = blocks.where("n_rows = 1").select("conv_id", "turn", "text", "seen").mapInArrow(alone, out)
+    blocks = blocks.where("n_rows > 1")
     best = blocks.where(F.col("n_rows") > block_turns).select("conv_id", "place", "seen", "block").groupBy("conv_id", "block").applyInArrow(
         matrix, f"conv_id {kind}, block long, best array<double>")
-    return blocks.groupBy("conv_id", "block").cogroup(_borders(best, kind).groupBy("conv_id", "block")).applyInArrow(
-        turns, f"conv_id {kind}, turn long, part int, role string, n_lines long, text string, rendered string")
+    return single.union(blocks.groupBy("conv_id", "block").cogroup(_borders(best, kind).groupBy("conv_id", "block")).applyInArrow(turns, out))
 
 
 def written(turns: DataFrame) -> DataFrame:
