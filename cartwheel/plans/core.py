@@ -24,6 +24,10 @@ def first_order_flag(orders, user_col="user_id", ts_col="created_at", id_col="or
     return j.withColumn("is_first_order", F.col("_first_id").isNotNull()).drop("_first_id")
 
 
+ORDER_COLUMNS = ["order_id", "user_id", "user_country", "user_city", "order_status", "order_date", "order_created_at", "shipped_at",
+                 "delivered_at", "returned_at", "item_count", "total_revenue", "total_profit", "line_item_count", "is_first_order"]
+
+
 @model("fct_orders", "core")
 def fct_orders(ctx):
     orders = ctx.ref("stg_orders")

@@ -13,17 +13,21 @@ the declared checks are observed by the write itself, in its last stage.
 ``build_all`` writes to a plain folder; ``publish`` writes a new version and makes it the one
 that readers see only if every check passes.
 
-usage: python -m cartwheel.plans.pipeline --sf-dir DIR --out DIR [--as-of YYYY-MM-DD] [--checks | --publish] [--threads N]
+usage: python -m cartwheel.plans.pipeline --sf-dir DIR --out DIR [--as-of YYYY-MM-DD] [--checks | --publish | --partitioned | --days DAY...] [--threads N]
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from cartwheel import DEFAULT_AS_OF
 from cartwheel.plans import load_models
 from cartwheel.plans import publish as versions
 from cartwheel.plans.context import LAYERS, ModelContext
+from cartwheel.plans.core import ORDER_COLUMNS
+from cartwheel.plans.intermediate import INT1_COLUMNS
 from cartwheel.plans.quality import CHECKS, Observed, check_rows, report_frame, require_keys
 from cartwheel.plans.scheduler import THREADS, levels, require_done, run_graph
 from cartwheel.session import checkpoint_dir, configure
@@ -61,14 +65,46 @@ CLUSTER_BY = {
     "fct_customer_cohorts": "activity_month",
 }
 
+# The facts that a partitioned build stores by day, so that readers of a period open only its files and
+# ``incremental.refresh`` replaces only the days that changed.
+PARTITION_BY = {ITEMS: "order_date", ORDERS: "order_date"}
+
+
+def write_mart(df: DataFrame, root: str, name: str, partitioned: bool = False, seen: Observed | None = None, changes: bool = False) -> None:
+    """Write a mart; by its day, if ``partitioned`` and it has one: then a day's rows meet in files of a bounded size (a hot
+    day is split), and ``changes`` replaces only the partitions that ``df`` has rows of."""
+    day = PARTITION_BY.get(name) if partitioned else None
+    if day:
+        df = df.hint("rebalance", day)
+    if seen is not None:
+        df = seen.attach(df)
+    order = [c for c in (day, CLUSTER_BY.get(name)) if c]
+    if order:
+        df = df.sortWithinPartitions(*order)
+    out = df.write.mode("overwrite")
+    if day:
+        out = out.partitionBy(day)
+    if changes:
+        out = out.option("partitionOverwriteMode", "dynamic")
+    out.parquet(f"{root}/{name}")
+
+
+def read_mart(spark, root: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A written mart, its columns in the order of the model (a partition column is stored last)."""
+    df = spark.read.parquet(f"{root}/{name}")
+    if columns is None and name in PARTITION_BY:
+        columns = {ITEMS: INT1_COLUMNS, ORDERS: ORDER_COLUMNS}[name]
+    return df.select(*columns) if columns else df
+
 
 def build_all(ctx: ModelContext, out_dir: str, models: list[str] | None = None, log=None,
-              check_keys: bool = True, threads: int = THREADS) -> dict[str, float]:
+              check_keys: bool = True, threads: int = THREADS, partitioned: bool = False) -> dict[str, float]:
     """Write each model of ``BUILD_ORDER`` (or ``models``) to ``out_dir/<name>``; returns seconds per model.
 
     The declared keys of the sources are checked first: nothing is written if one does not hold.
     Models run at the same time as far as ``NEEDS`` allows; if some fail, all that do not need them are
     still written, then ``TasksFailed`` tells which.  What the writes observed is in ``ctx.observed``.
+    ``partitioned`` stores the facts of ``PARTITION_BY`` by day, for ``incremental.refresh``.
     """
     load_models()
     spark = ctx.spark
@@ -79,13 +115,9 @@ def build_all(ctx: ModelContext, out_dir: str, models: list[str] | None = None,
         ctx.observed.update(require_keys(ctx, threads))
 
     def write(name: str):
-        path = f"{root}/{name}"
         seen = Observed(name)
-        df = seen.attach(ctx.ref(name))
-        if name in CLUSTER_BY:
-            df = df.sortWithinPartitions(CLUSTER_BY[name])
-        df.write.mode("overwrite").parquet(path)
-        ctx.replace(name, spark.read.parquet(path))
+        write_mart(ctx.ref(name), root, name, partitioned, seen)
+        ctx.replace(name, read_mart(spark, root, name))
         ctx.observed.update(seen.failures())
 
     names = [m for m in models or BUILD_ORDER if LAYERS.get(m) not in VIEW_LAYERS]
@@ -137,19 +169,24 @@ def main(argv=None):
     ap.add_argument("--as-of", default=DEFAULT_AS_OF)
     ap.add_argument("--checks", action="store_true", help="report the declared checks with the build")
     ap.add_argument("--publish", action="store_true", help="write a new version and publish it if all checks pass")
+    ap.add_argument("--partitioned", action="store_true", help="store the order and item facts by day")
+    ap.add_argument("--days", nargs="+", metavar="YYYY-MM-DD", help="refresh a partitioned build after these days of orders changed")
     ap.add_argument("--threads", type=int, default=THREADS, help="models written at the same time")
     args = ap.parse_args(argv)
     spark = local_session()
     src = ParquetSources(spark, args.sources) if args.sources else FixtureSources(spark, args.sf_dir)
     ctx = ModelContext(spark, src, as_of=args.as_of)
-    if args.publish:
+    if args.days:
+        from cartwheel.plans.incremental import refresh
+        print(refresh(ctx, args.out, args.days, log=print, threads=args.threads))
+    elif args.publish:
         print(publish(ctx, args.out, log=print, threads=args.threads))
     elif args.checks:
         _, report = build_and_check(ctx, args.out, log=print, threads=args.threads)
         for row in report.where("failures > 0").collect():  # at most one row per declared check
             print(f"FAIL {row.model}.{row.column_name} {row.test}: {row.failures}")
     else:
-        build_all(ctx, args.out, log=print, threads=args.threads)
+        build_all(ctx, args.out, log=print, threads=args.threads, partitioned=args.partitioned)
 
 
 if __name__ == "__main__":
