@@ -244,7 +244,7 @@ def cube_meta(spark) -> DataFrame:
     return spark.createDataFrame(rows, "cube string, member string, kind string, type string, sql string, title string")
 
 
-# Named metric calls of the reference's API.
+# The named metric calls of the reference's API and its intents.
 def revenue_by_date(ctx, days: int = 30, limit: int | None = None) -> DataFrame:
     """Daily revenue and orders of the whole period; a listing may ask for a limit."""
     return metric_query(ctx, ["revenue_daily.total_revenue", "revenue_daily.total_orders"], [],
