@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import day_diff, quarter_end, safe_divide, us_week
 from cartwheel.operators.calendar import SPINE_START, day_spine, spine_end
-from cartwheel.operators.ranking import ntile
+from cartwheel.operators.quantiles import ntile
 from cartwheel.plans.context import model
 from cartwheel.plans.intermediate import enriched_items
 

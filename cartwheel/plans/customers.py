@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import day_diff, month_diff, safe_divide
 from cartwheel.operators.calendar import SPINE_START, month_grid, month_of, spine_end
-from cartwheel.operators.ranking import ntiles
+from cartwheel.operators.quantiles import ntiles
 from cartwheel.plans.context import model
 
 

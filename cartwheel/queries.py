@@ -11,7 +11,7 @@ from cartwheel.functions import (
     count_if, day_diff, mean, month_diff, month_start_ts, numeric, safe_divide, ts_diff, us_week,
 )
 from cartwheel.operators.calendar import SPINE_START, month_grid, month_of, spine_end
-from cartwheel.operators.ranking import ntile
+from cartwheel.operators.quantiles import ntile
 from cartwheel.plans import adhoc, metrics, quality
 from cartwheel.plans.core import first_order_flag
 from cartwheel.plans.intermediate import enriched_items
