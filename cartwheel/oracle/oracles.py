@@ -85,6 +85,9 @@ _model("fct_customer_cohorts", _cast(
     "user_id, signup_cohort, activity_month, months_since_signup, orders_in_month, items_in_month, "
     "revenue_in_month, is_active, cumulative_orders, cumulative_revenue",
     dbl={"revenue_in_month", "cumulative_revenue"}))
+_model("fct_customer_active_months", _cast(
+    "user_id, signup_cohort, activity_month, valid_to, months_since_signup, orders_in_month, items_in_month, "
+    "revenue_in_month, cumulative_orders, cumulative_revenue", dbl={"revenue_in_month", "cumulative_revenue"}))
 _model("fct_customer_retention", _cast(
     "signup_cohort, months_since_signup, cohort_size, active_customers, retention_rate, total_revenue, "
     "avg_revenue_per_active_customer, cumulative_revenue_per_customer", dbl={"total_revenue"}))

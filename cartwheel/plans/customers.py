@@ -72,6 +72,23 @@ def fct_rfm_scores(ctx):
         rfm_segment(r, f, m).alias("rfm_segment"))
 
 
+def _cohort_members(ctx):
+    """Users with their cohort and the first and last month of their grid; without a signup there is none."""
+    u = ctx.ref("dim_users").where(F.col("user_id").isNotNull() & F.col("created_at").isNotNull())
+    signup_month = F.trunc(F.to_date("created_at"), "month")
+    first = F.greatest(signup_month, month_of(ctx.param("spine_start", SPINE_START)))
+    last = F.least(month_of(ctx.as_of), month_of(spine_end(ctx)))
+    return u.select("user_id", "signup_cohort", signup_month.alias("_signup_month"), first.alias("_first"), last.alias("_last"))
+
+
+def _orders_by_month(ctx):
+    return ctx.ref("fct_orders").groupBy(
+        F.col("user_id").alias("_o_user"),
+        F.trunc(F.to_date("order_created_at"), "month").alias("_o_month")).agg(
+        F.count(F.lit(1)).alias("_orders"), F.sum("item_count").alias("_items"),
+        F.coalesce(F.sum("total_revenue"), F.lit(0)).alias("_revenue"))
+
+
 @model("fct_customer_cohorts", "customers")
 def fct_customer_cohorts(ctx):
     """User x month activity grid from the signup month to the as-of month.
@@ -88,19 +105,10 @@ def fct_customer_cohorts(ctx):
     window is also partitioned by signup_cohort (one per user), so a filter on
     the cohort reaches the users below the grid.
     """
-    u = ctx.ref("dim_users").where(F.col("user_id").isNotNull())
-    signup_month = F.trunc(F.to_date("created_at"), "month")
-    first = F.greatest(signup_month, month_of(ctx.param("spine_start", SPINE_START)))
-    last = F.least(month_of(ctx.as_of), month_of(spine_end(ctx)))
-    users = u.select("user_id", "signup_cohort", signup_month.alias("_signup_month"),
-                     first.alias("_first"), last.alias("_last")).repartition("user_id")
+    users = _cohort_members(ctx).repartition("user_id")
     grid = users.select("user_id", "signup_cohort", "_signup_month",
                         F.explode(month_grid(F.col("_first"), F.col("_last"))).alias("activity_month"))
-    orders = ctx.ref("fct_orders").groupBy(
-        F.col("user_id").alias("_o_user"),
-        F.trunc(F.to_date("order_created_at"), "month").alias("_o_month")).agg(
-        F.count(F.lit(1)).alias("_orders"), F.sum("item_count").alias("_items"),
-        F.coalesce(F.sum("total_revenue"), F.lit(0)).alias("_revenue")).repartition("_o_user")
+    orders = _orders_by_month(ctx).repartition("_o_user")
     j = grid.join(orders, (grid["user_id"] == orders["_o_user"]) & (grid["activity_month"] == orders["_o_month"]), "left")
     n_orders = F.coalesce(F.col("_orders"), F.lit(0))
     joined = j.select(
@@ -113,29 +121,55 @@ def fct_customer_cohorts(ctx):
                          F.sum("revenue_in_month").over(w).alias("cumulative_revenue"))
 
 
-def grid_user_counts():
-    """Distinct users per group of the cohort grid, as plain (map-side) counts.
+@model("fct_customer_active_months", "customers")
+def fct_customer_active_months(ctx):
+    """The cohort grid in sparse form: one row per user and month with orders.
 
-    The grid holds one row per (user, month) and months_since_signup is fixed
-    by the month for a given user, so within any group keyed by cohort and
-    month (or months since signup) a user occurs at most once (user_id is a
-    declared unique key of dim_users).  ``count(distinct user_id)`` therefore
-    equals ``count(user_id)``, which combines map-side instead of shuffling
-    every (group, user) pair of the grid.
+    A row's cumulative values hold from ``activity_month`` to ``valid_to``, the month before the user's
+    next active one (the end of the grid for the last); months before a user's first row are zero.
+    Orders outside the user's grid are left out, as the grid leaves them out.
     """
-    return (F.count("user_id"), F.count_if(F.col("is_active") & F.col("user_id").isNotNull()))
+    users, orders = _cohort_members(ctx), _orders_by_month(ctx)
+    active = users.join(orders, (F.col("user_id") == F.col("_o_user")) & F.col("_o_month").between(F.col("_first"), F.col("_last")))
+    by_month = Window.partitionBy("user_id", "signup_cohort").orderBy("_o_month")
+    up_to = by_month.rowsBetween(Window.unboundedPreceding, 0)
+    following = F.lead("_o_month").over(by_month)
+    return active.select(
+        "user_id", "signup_cohort", F.col("_o_month").alias("activity_month"),
+        F.coalesce(F.add_months(following, -1), F.col("_last")).alias("valid_to"),
+        month_diff("_o_month", "_signup_month").alias("months_since_signup"), F.col("_orders").alias("orders_in_month"),
+        F.coalesce(F.col("_items"), F.lit(0)).alias("items_in_month"), F.col("_revenue").alias("revenue_in_month"),
+        F.sum("_orders").over(up_to).alias("cumulative_orders"), F.sum("_revenue").over(up_to).alias("cumulative_revenue"))
+
+
+def cohort_months(ctx):
+    """Cohort x month totals of the grid, from the sparse rows alone.
+
+    The members of a cohort share their months, so its size is the same in each, and what its members
+    have spent up to a month is the running sum of what the cohort spent.  The rows that are laid
+    out are one per cohort and month (bounded by the calendar), not one per user and month.
+    """
+    sizes = _cohort_members(ctx).groupBy("signup_cohort", "_signup_month", "_first", "_last").agg(F.count("user_id").alias("users"))
+    grid = sizes.select("signup_cohort", "_signup_month", "users", F.explode(month_grid(F.col("_first"), F.col("_last"))).alias("activity_month"))
+    active = ctx.ref("fct_customer_active_months").groupBy(
+        F.col("signup_cohort").alias("_cohort"), F.col("activity_month").alias("_month")).agg(
+        F.count(F.lit(1)).alias("_active"), F.sum("orders_in_month").alias("_orders"), F.sum("revenue_in_month").alias("_revenue"))
+    j = grid.join(active, (F.col("signup_cohort") == F.col("_cohort")) & (F.col("activity_month") == F.col("_month")), "left")
+    revenue = F.coalesce(F.col("_revenue"), F.lit(0))
+    so_far = Window.partitionBy("signup_cohort").orderBy("activity_month").rowsBetween(Window.unboundedPreceding, 0)
+    return j.select(
+        "signup_cohort", "activity_month", month_diff("activity_month", "_signup_month").alias("months_since_signup"),
+        "users", F.coalesce(F.col("_active"), F.lit(0)).alias("active"), F.coalesce(F.col("_orders"), F.lit(0)).alias("orders"),
+        revenue.alias("revenue"), F.sum(revenue).over(so_far).alias("cumulative_revenue"))
 
 
 @model("fct_customer_retention", "customers")
 def fct_customer_retention(ctx):
-    c = ctx.ref("fct_customer_cohorts")
-    users, active = grid_user_counts()
-    agg = c.groupBy("signup_cohort", "months_since_signup").agg(
-        users.alias("cohort_size"), active.alias("active_customers"),
-        F.sum("revenue_in_month").alias("total_revenue"),
-        F.sum("cumulative_revenue").alias("_cum_revenue"))
-    return agg.select(
+    c = cohort_months(ctx).select(
+        "signup_cohort", "months_since_signup", F.col("users").alias("cohort_size"), F.col("active").alias("active_customers"),
+        F.col("revenue").alias("total_revenue"), "cumulative_revenue")
+    return c.select(
         "signup_cohort", "months_since_signup", "cohort_size", "active_customers",
         safe_divide("active_customers", "cohort_size").alias("retention_rate"), "total_revenue",
         safe_divide("total_revenue", "active_customers").alias("avg_revenue_per_active_customer"),
-        safe_divide("_cum_revenue", "cohort_size").alias("cumulative_revenue_per_customer"))
+        safe_divide("cumulative_revenue", "cohort_size").alias("cumulative_revenue_per_customer"))

@@ -39,7 +39,7 @@ ITEMS, ORDERS = "int_order_items_enriched", "fct_orders"
 NEEDS = {
     ITEMS: (), "fct_sessions": (), "dim_users": (), "dim_products": (), "dim_date": (), "dim_distribution_centers": (),
     ORDERS: (ITEMS,), "int_user_order_summary": (ITEMS,),
-    "fct_customer_cohorts": ("dim_users", ORDERS), "fct_rfm_scores": ("int_user_order_summary",),
+    "fct_customer_cohorts": ("dim_users", ORDERS), "fct_customer_active_months": ("dim_users", ORDERS), "fct_rfm_scores": ("int_user_order_summary",),
     "fct_customer_orders": ("int_user_order_summary", "dim_users"),
     "fct_product_affinity": (ITEMS,), "fct_product_performance": (ITEMS,), "fct_category_performance": (ITEMS,),
     "fct_brand_performance": (ITEMS,), "fct_returns": (ITEMS,),
@@ -49,7 +49,8 @@ NEEDS = {
     "fct_web_funnel": ("fct_sessions",), "fct_traffic_source_performance": ("fct_sessions", ORDERS),
     "fct_browser_performance": ("fct_sessions", ORDERS),
     "fct_monthly_revenue": ("fct_daily_revenue",), "fct_fulfillment_summary": ("fct_fulfillment",),
-    "fct_customer_retention": ("fct_customer_cohorts",), "fct_cohort_revenue": ("fct_customer_cohorts",),
+    "fct_customer_retention": ("dim_users", "fct_customer_active_months"),
+    "fct_cohort_revenue": ("dim_users", "fct_customer_active_months"),
 }
 BUILD_ORDER = levels(NEEDS)
 VIEW_LAYERS = {"staging", "semantic"}
@@ -63,6 +64,7 @@ CLUSTER_BY = {
     "fct_fulfillment": "created_at",
     "fct_sessions": "session_start_at",
     "fct_customer_cohorts": "activity_month",
+    "fct_customer_active_months": "activity_month",
 }
 
 # The facts that a partitioned build stores by day, so that readers of a period open only its files and

@@ -222,7 +222,7 @@ SHARED = {"fct_orders": (), "int_user_order_summary": (), "fct_sessions": (), "d
 READS = {"fct_orders": ("fct_orders",), "fct_sessions": ("fct_sessions",), "dim_users": ("dim_users",),
          "int_user_order_summary": ("int_user_order_summary",), "fct_customer_cohorts": ("fct_customer_cohorts",),
          "fct_customer_orders": ("int_user_order_summary", "dim_users"), "fct_rfm_scores": ("int_user_order_summary",),
-         "fct_customer_retention": ("fct_customer_cohorts",), "fct_cohort_revenue": ("fct_customer_cohorts",),
+         "fct_customer_retention": ("fct_orders", "dim_users"), "fct_cohort_revenue": ("fct_orders", "dim_users"),
          "fct_daily_revenue": ("fct_orders",), "fct_monthly_revenue": ("fct_orders",), "fct_geography_revenue": ("fct_orders",),
          "daily_revenue": ("fct_orders",), "fct_order_status": ("fct_orders",), "fct_fulfillment": ("fct_orders",),
          "fct_fulfillment_summary": ("fct_orders",), "fct_web_funnel": ("fct_sessions",),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import count_if, mean, month_start_date, month_start_ts, safe_divide
 from cartwheel.plans.context import model
+from cartwheel.plans.customers import cohort_months
 
 
 @model("fct_daily_revenue", "revenue")
@@ -78,13 +79,11 @@ def daily_revenue(ctx):
 
 @model("fct_cohort_revenue", "revenue")
 def fct_cohort_revenue(ctx):
-    from cartwheel.plans.customers import grid_user_counts
-    c = ctx.ref("fct_customer_cohorts")
-    users, active = grid_user_counts()
-    agg = c.groupBy("signup_cohort", F.col("activity_month").alias("order_month"), "months_since_signup").agg(
-        users.alias("total_cohort_users"), active.alias("active_customers"),
-        F.sum("orders_in_month").alias("total_orders"), F.sum("revenue_in_month").alias("total_revenue"),
-        F.sum("cumulative_revenue").alias("cumulative_revenue_total"))
+    agg = cohort_months(ctx).select(
+        "signup_cohort", F.col("activity_month").alias("order_month"), "months_since_signup",
+        F.col("users").alias("total_cohort_users"), F.col("active").alias("active_customers"),
+        F.col("orders").alias("total_orders"), F.col("revenue").alias("total_revenue"),
+        F.col("cumulative_revenue").alias("cumulative_revenue_total"))
     return agg.select(
         "*", safe_divide("active_customers", "total_cohort_users").alias("active_pct"),
         safe_divide("total_revenue", "active_customers").alias("avg_revenue_per_active_user"),

@@ -57,7 +57,8 @@ MODEL_KEYS = [
     "stg_distribution_centers",
     "int_order_items_enriched", "int_user_order_summary",
     "fct_orders", "dim_users", "dim_products", "dim_distribution_centers",
-    "fct_customer_orders", "fct_rfm_scores", "fct_customer_cohorts", "fct_customer_retention",
+    "fct_customer_orders", "fct_rfm_scores", "fct_customer_cohorts", "fct_customer_active_months",
+    "fct_customer_retention",
     "fct_product_performance", "fct_category_performance", "fct_brand_performance", "fct_product_affinity",
     "fct_daily_revenue", "fct_monthly_revenue", "fct_cohort_revenue", "fct_geography_revenue", "daily_revenue",
     "fct_order_status", "fct_fulfillment", "fct_fulfillment_summary", "fct_returns",
