@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import day_diff, month_diff, safe_divide
 from cartwheel.operators.calendar import SPINE_START, month_grid, month_of, spine_end
-from cartwheel.operators.quantiles import ntiles
+from cartwheel.operators import quantiles, ranking
 from cartwheel.plans.context import model
 
 
@@ -58,11 +58,16 @@ def rfm_segment(r, f, m):
 
 @model("fct_rfm_scores", "customers")
 def fct_rfm_scores(ctx):
-    """Three global quintiles, ranked together by the distributed ntile (no single-task window)."""
+    """Three global quintiles together, without a single-task window.
+
+    Over the stored summary (a build) they come from the quintiles' edges, which reads its narrow
+    columns a few times and moves no row; a summary that is still to be computed is ranked, which computes it once.
+    """
     s = ctx.ref("int_user_order_summary")
     as_of = F.lit(ctx.as_of).cast("date")
     base = s.select("user_id", day_diff(as_of, F.to_date("last_order_at")).alias("recency_days"),
                     F.col("total_orders").alias("frequency"), F.col("total_revenue").alias("monetary"))
+    ntiles = quantiles.ntiles if "int_user_order_summary" in ctx.materialized else ranking.ntiles
     scored = ntiles(base, "user_id", [("recency_days", 5, True, "recency_score"), ("frequency", 5, False, "frequency_score"),
                                       ("monetary", 5, False, "monetary_score")])
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")

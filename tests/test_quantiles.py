@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from cartwheel.operators import quantiles
 from cartwheel.operators.quantiles import ntile, ntiles
+from cartwheel.registry import context
 
 
 def _wrong(df, ours, column, k, out, descending=False):
@@ -84,3 +86,12 @@ def test_no_job_runs_while_planning(spark):
         assert list(sc.statusTracker().getJobIdsForGroup("quantile-planning")) != []
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_scores_of_a_stored_summary_equal_the_ranked_ones(spark, tmp_out):
+    ranked, stored = context(spark, SF_SMALL), context(spark, SF_SMALL)
+    stored.ref("int_user_order_summary").write.parquet(f"{tmp_out}/summary")
+    stored.replace("int_user_order_summary", spark.read.parquet(f"{tmp_out}/summary"))
+    a, b = ranked.ref("fct_rfm_scores"), stored.ref("fct_rfm_scores")
+    assert a.columns == b.columns and a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
