@@ -7,12 +7,14 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel.plans.intermediate import INT1_COLUMNS
-from cartwheel.session import ADVISORY, TASK_MB, configure, size_mb
+from cartwheel.session import ADVISORY, INITIAL, PARTITIONS, TASK_MB, configure, size_mb
 from test_traps import _item, _order, _product, _user, ctx_for
 
 T = dt.datetime
+LEAST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
 @pytest.fixture
@@ -117,3 +119,23 @@ def test_enriched_items_take_their_own_user(spark):
     assert got.columns == INT1_COLUMNS
     assert Counter(map(tuple, got.select("order_item_id", "user_id", "order_status", "order_created_at", "user_country", "user_city")
                        .collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_an_exchange_begins_with_many_partitions_and_merges_by_size(spark):
+    """However few shuffle partitions the session names, a task gets no more than its share of bytes."""
+    old = {k: spark.conf.get(k, None) for k in (INITIAL, ADVISORY, LEAST)}
+    try:
+        spark.conf.unset(INITIAL)
+        configure(spark)
+        assert int(spark.conf.get(INITIAL)) == PARTITIONS > int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(ADVISORY, "64k")
+        spark.conf.set(LEAST, "64k")
+        counted = spark.range(400_000).selectExpr("uuid() AS id").groupBy("id").count()
+        tasks = counted.select(F.spark_partition_id().alias("p")).toPandas()["p"].nunique()
+        assert tasks > 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(INITIAL, "5000")
+        configure(spark)
+        assert spark.conf.get(INITIAL) == "5000"
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
