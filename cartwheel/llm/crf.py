@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -52,6 +53,8 @@ GAIN = 0.02
 MEMORY = 6
 #: Words whose probabilities are computed at once.
 BLOCK = 100_000
+#: Different words whose emissions a task keeps.
+KEPT_WORDS = 200_000
 PARTITIONS = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = ".,;:!?\"'()[]{}|«»„“”…-–—*#"
@@ -122,11 +125,31 @@ class Features:
         return out
 
 
+class Emissions:
+    """Emissions of words; those of the words met lately (at most ``KEPT_WORDS`` and those of one call) are kept."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._clear()
+
+    def _clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((0, self.model.weights.shape[1]))
+
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self.place) > KEPT_WORDS:
+            self._clear()
+        place, old = self.place, len(self.place)
+        index = [place.setdefault(w, len(place)) for w in words]
+        if len(place) > old:
+            new = Features(list(islice(place, old, None)), self.model.lexicon, len(self.model.weights) - 1)
+            self.rows = np.concatenate((self.rows, new.emissions(self.model.weights)))
+        return self.rows[index]
+
+
 def emissions(words: list[str], model: Model) -> np.ndarray:
     """Emissions of words; each different word is computed once."""
-    place: dict[str, int] = {}
-    index = [place.setdefault(w, len(place)) for w in words]
-    return Features(list(place), model.lexicon, len(model.weights) - 1).emissions(model.weights)[index]
+    return Emissions(model).of(words)
 
 
 # --- forward-backward ------------------------------------------------------------
@@ -151,17 +174,32 @@ class Chain:
         begins = np.concatenate((begins, np.zeros(pad, bool))).reshape(pieces, self.length)
         self.local, self.begins, self.moves, self.start = local, begins, np.exp(moves), np.exp(start)
 
-    def _step(self, s: int) -> np.ndarray:
-        base = np.where(self.begins[:, s, None, None], self.start[None, None, :], self.moves[None])
-        out = base * self.local[:, s, None, :]
+    def _ahead(self, at: np.ndarray, s: int) -> np.ndarray:
+        """Messages (pieces x any x languages) times the matrices of step s, which are never laid out."""
+        out = (at.reshape(-1, self.k) @ self.moves).reshape(at.shape)
+        new = np.flatnonzero(self.begins[:, s])
+        if len(new):
+            out[new] = at[new].sum(-1, keepdims=True) * self.start
+        out *= self.local[:, s, None, :]
         if (len(out) - 1) * self.length + s >= self.n:  # the last piece has ended
-            out[-1] = np.eye(self.k)
+            out[-1] = at[-1]
+        return out
+
+    def _back(self, at: np.ndarray, s: int) -> np.ndarray:
+        """The matrices of step s times messages (pieces x languages)."""
+        held = self.local[:, s] * at
+        out = held @ self.moves.T
+        new = np.flatnonzero(self.begins[:, s])
+        if len(new):
+            out[new] = (held[new] @ self.start)[:, None]
+        if (len(out) - 1) * self.length + s >= self.n:
+            out[-1] = at[-1]
         return out
 
     def products(self) -> np.ndarray:
         out = np.broadcast_to(np.eye(self.k), (len(self.local), self.k, self.k)).copy()
         for s in range(self.length):
-            out = out @ self._step(s)
+            out = self._ahead(out, s)
             out /= out.sum((1, 2), keepdims=True)
         return out
 
@@ -193,7 +231,7 @@ class Chain:
         forward, scale = np.empty((pieces, self.length, k)), np.empty((pieces, self.length))
         at = heads
         for s in range(self.length):
-            at = np.einsum("ci,cij->cj", at, self._step(s))
+            at = self._ahead(at[:, None], s)[:, 0]
             scale[:, s] = at.sum(1)
             at = at / scale[:, s, None]
             forward[:, s] = at
@@ -201,7 +239,7 @@ class Chain:
         at = tails
         for s in range(self.length - 1, -1, -1):
             backward[:, s] = at
-            at = np.einsum("cij,cj->ci", self._step(s), at)
+            at = self._back(at, s)
             at = at / at.sum(1, keepdims=True)
         flat = lambda x: x.reshape(-1, *x.shape[2:])[:self.n]
         forward, backward = flat(forward), flat(backward)
@@ -243,7 +281,7 @@ def lexicon_of(labelled: DataFrame, languages: list[str]) -> Lexicon:
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                held.update([(w, lang) for w in set(words_of(text.as_py()))])
+                held.update([(w, lang) for w in {w.strip(EDGES) for w in set(WORD.findall(text.as_py().lower()))}])
                 if len(held) > 200_000:
                     yield rows()
                     held.clear()
@@ -398,10 +436,11 @@ def _blocks(text: str, size: int):
         yield held
 
 
-def probabilities(text: str, model: Model, block: int = BLOCK):
+def probabilities(text: str, model: Model, block: int = BLOCK, kept: Emissions | None = None):
     """(words, words x languages) of the blocks of a text, by messages over the whole of it."""
+    kept = kept or Emissions(model)
     begins = lambda k, words: np.arange(len(words)) + k == 0
-    chain = lambda k, words: Chain(emissions(words, model), begins(k, words), model.moves, model.start)
+    chain = lambda k, words: Chain(kept.of(words), begins(k, words), model.moves, model.start)
     products = [chain(k, words).product() for k, words in enumerate(_blocks(text, block))]
     n = len(model.languages)
     after = [np.ones(n)]
@@ -416,8 +455,9 @@ def probabilities(text: str, model: Model, block: int = BLOCK):
         before = before / before.sum()
 
 
-def _label(texts: list[str | None], model: Model, block: int):
+def _label(texts: list[str | None], model: Model, block: int, kept: Emissions | None = None):
     """Per text an iterator of (words, probabilities); texts of a slice run together until ``block`` words."""
+    kept = kept or Emissions(model)
     held: list[tuple[int, list[str]]] = []
     size = 0
 
@@ -426,7 +466,7 @@ def _label(texts: list[str | None], model: Model, block: int):
         begins = np.zeros(len(words), bool)
         ends = np.cumsum([len(one) for _, one in held])
         begins[np.concatenate(([0], ends[:-1]))] = True
-        found = Chain(emissions(words, model), begins, model.moves, model.start).run()[0]
+        found = Chain(kept.of(words), begins, model.moves, model.start).run()[0]
         for (at, one), end in zip(held, ends):
             yield at, one, found[end - len(one):end]
 
@@ -434,7 +474,7 @@ def _label(texts: list[str | None], model: Model, block: int):
         if not text:
             continue
         if len(text) > 8 * block:  # it may hold more than a block of words
-            for words, found in probabilities(text, model, block):
+            for words, found in probabilities(text, model, block, kept):
                 yield at, words, found
             continue
         words = words_of(text)
@@ -455,15 +495,15 @@ def predict(docs: DataFrame, model: Model, block: int = BLOCK) -> DataFrame:
 
     def run(batches):
         model = held.value
-        k = len(model.languages)
+        k, kept = len(model.languages), Emissions(held.value)
+        letters: dict[str, bool] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = part.column("text").to_pylist()
                 total, count, switches = np.zeros((len(texts), k)), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
                 last: dict[int, int] = {}
-                letters: dict[str, bool] = {}
-                for row, words, found in _label(texts, model, block) if k else ():
+                for row, words, found in _label(texts, model, block, kept) if k else ():
                     for w in set(words).difference(letters):
                         letters[w] = has_letter(w)
                     found = found[[letters[w] for w in words]]

@@ -149,3 +149,38 @@ def test_nothing_to_learn_from(docs):
     assert C.identify(docs([])).collect() == []
     table = docs([(1, "some words"), (2, None)]).withColumn("lang", F.lit(None).cast("string"))
     assert sorted((r.doc_id, r.lang_pred, r.score) for r in C.identify(table).collect()) == [(1, "und", 0.0), (2, "und", 0.0)]
+
+
+def test_word_emissions_are_kept_between_calls(model, monkeypatch):
+    made = []
+
+    class Counting(C.Features):
+        def __init__(self, words, *rest):
+            made.extend(words)
+            super().__init__(words, *rest)
+
+    monkeypatch.setattr(C, "Features", Counting)
+    kept, one, two = C.Emissions(model), ["der", "the", "der", ""], ["les", "the", "x1"]
+    first, second = kept.of(one), kept.of(two)
+    assert sorted(made) == sorted({*one, *two})
+    assert np.array_equal(first, C.emissions(one, model)) and np.array_equal(second, C.emissions(two, model))
+
+
+def test_messages_equal_the_laid_out_matrices():
+    random = np.random.default_rng(5)
+    n, k = 23, 3
+    emission, moves, start = random.normal(size=(n, k)), random.normal(size=(k, k)), random.normal(size=k)
+    begins = np.isin(np.arange(n), (0, 1, 9, 22))
+    chain, want = C.Chain(emission, begins, moves, start), np.eye(k)
+    steps = [np.exp((start[None] if b else moves) + e) * np.ones((k, 1)) for b, e in zip(begins, emission)]
+    for m in steps:
+        want = want @ m
+    assert np.allclose(chain.product(), want / want.sum())
+    found = chain.run()[0]
+    for at in range(n):
+        left, right = np.full(k, 1 / k), np.ones(k)
+        for m in steps[:at + 1]:
+            left = left @ m / (left @ m).sum()
+        for m in reversed(steps[at + 1:]):
+            right = m @ right / (m @ right).sum()
+        assert np.allclose(found[at], left * right / (left @ right))
