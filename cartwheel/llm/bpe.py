@@ -50,23 +50,27 @@ def _small(numbers: tuple):
 class Transducer:
     """Piecewise encoder; ``encode`` gives the ids of one match of the pattern."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], kept: int | None = None):
+        self.ranks, self.kept = ranks, kept or KEPT_STATES
+        self.tokens = {rank: token for token, rank in ranks.items()}
         self.prefixes = {t[:k] for t in ranks for k in range(1, len(t))}
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.fits: dict[int, bool] = {}  # by the ranks of both
         self.derived: dict[bytes, bool] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[tuple, int] = {}
+        self.index: dict[bytes, int] = {}
         self.states: list[tuple] = []
-        self.moves: dict[int, int | tuple[int, tuple]] = {}  # the next state, with the ids if any are emitted
+        self.moves: dict[int, int] = {}  # the next state, and above it the place of the ids it emits
+        self.emitted: list[tuple] = [()]
+        self.places: dict[tuple, int] = {(): 0}
         self.ends: dict[int, tuple] = {}
         self._state(None, b"", (0,), (0,))
 
     def _state(self, prev: bytes | None, pending: bytes, last: tuple, live: tuple) -> int:
         """last: length of the last token at every position of pending; live: where an entry may be under way."""
-        key = (prev, pending)
+        place = 0 if prev is None else 1 if not prev else self.ranks[prev] + 2
+        key = place.to_bytes(4, "big") + pending
         known = self.index.get(key)
         if known is None:
             known = self.index[key] = len(self.states)
@@ -95,16 +99,18 @@ class Transducer:
             if known is None:
                 known = self.derived[token] = self.merged(token) == [token]
             return known
-        key = (left, token)
+        key = self.ranks[left] << 32 | self.ranks[token]
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) >= KEPT_STATES:
+            if len(self.fits) >= self.kept:
                 self.fits.clear()
             known = self.fits[key] = self.merged(left + token) == [left, token]
         return known
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple]:
-        (prev, pending), last, live = self.states[state]
+        key, last, live = self.states[state]
+        place = int.from_bytes(key[:4], "big")
+        prev, pending = None if place == 0 else b"" if place == 1 else self.tokens[place - 2], key[4:]
         text = pending + bytes((byte,))
         n, ranks, prefixes = len(text), self.ranks, self.prefixes
         for j in live:
@@ -134,8 +140,16 @@ class Transducer:
             prev = b""
         return self._state(prev, text[cut:], (0, *last[cut + 1:]), tuple(j - cut for j in alive)), tuple(reversed(ids))
 
+    def _place(self, ids: tuple) -> int:
+        known = self.places.get(ids)
+        if known is None:
+            known = self.places[ids] = len(self.emitted)
+            self.emitted.append(ids)
+        return known
+
     def _end(self, state: int) -> tuple:
-        (_, pending), last, _ = self.states[state]
+        key, last, _ = self.states[state]
+        pending = key[4:]
         k, ids = len(pending), []
         while k:
             ids.append(self.ranks[pending[k - last[k]:k]])
@@ -146,20 +160,20 @@ class Transducer:
         known = self.ranks.get(piece)
         if known is not None:
             return (known,)
-        if len(self.states) > KEPT_STATES:
+        if len(self.states) > self.kept:
             self._clear()
-        state, out, moves = 0, [], self.moves
+        state, out, moves, emitted = 0, [], self.moves, self.emitted
         for byte in piece:
             at = state << 8 | byte
             move = moves.get(at)
             if move is None:
-                move = self._move(state, byte)
-                move = moves[at] = move if move[1] else move[0]
-            if type(move) is int:
+                move, ids = self._move(state, byte)
+                move = moves[at] = move | self._place(ids) << 32
+            if move < 1 << 32:
                 state = move
             else:
-                state, ids = move
-                out += ids
+                state = move & 0xFFFFFFFF
+                out += emitted[move >> 32]
         end = self.ends.get(state)
         if end is None:
             end = self.ends[state] = self._end(state)
@@ -197,11 +211,11 @@ def latin_pattern(pattern: str) -> str:
 class Encoder:
     """Whole texts: each match of the pattern goes through the transducer."""
 
-    def __init__(self, path: str, pattern: str):
-        self.transducer = Transducer(read_ranks(path))
+    def __init__(self, path: str, pattern: str, states: int | None = None, matches: int | None = None):
+        self.transducer = Transducer(read_ranks(path), states)
         self.find = regex.compile(pattern).findall
         self.plain = re.compile(latin_pattern(pattern)).findall
-        self.known = Kept(KEPT_MATCHES, lambda match: np.array(self.transducer.encode(match.encode()), np.int32).tobytes())
+        self.known = Kept(matches or KEPT_MATCHES, lambda match: np.array(self.transducer.encode(match.encode()), np.int32).tobytes())
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a whole text, as 32-bit integers."""
@@ -292,12 +306,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``decode(encode(docs))`` in one Python stage: doc_id, ids and the decoded text."""
+def round_trip(docs: DataFrame, path: str, pattern: str, states: int | None = None, matches: int | None = None) -> DataFrame:
+    """``decode(encode(docs))`` in one Python stage: doc_id, ids and the decoded text.
+
+    With fewer ``states`` and ``matches`` than KEPT_STATES and KEPT_MATCHES a worker takes less memory and more time.
+    """
     docs = docs.select("doc_id", "text")
 
     def run(batches):
-        encoder = worker_cache(f"bpe {path} {pattern}", lambda: Encoder(path, pattern))
+        encoder = worker_cache(f"bpe {path} {pattern} {states} {matches}", lambda: Encoder(path, pattern, states, matches))
         tokens = worker_cache(f"bpe bytes {path}", lambda: _bytes_of(path))
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):

@@ -15,6 +15,11 @@ from cartwheel.llm import bpe, decontaminate, quality, secrets, simhash
 from cartwheel.llm.common import benchmark, cut, documents, unused
 
 
+#: What an encoder keeps here: executors have grown to their whole heap in the stages before, and each holds workers besides.
+KEPT_STATES = 100_000
+KEPT_MATCHES = 150_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
     return quality.keep(docs)
@@ -42,7 +47,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the ids of every text that is left and the SHA-256 of the text decoded from them."""
-    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, KEPT_STATES, KEPT_MATCHES)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 

@@ -33,6 +33,17 @@ def test_long_runs_and_small_caches(monkeypatch):
         assert small.encode(text).tolist() == LIBRARY.encode_ordinary(text)
 
 
+def test_what_an_encoder_keeps_is_small():
+    """Moves and neighbours are plain numbers, a state one key; no more of them are kept than asked for."""
+    t = bpe.Encoder(PATH, P.PATTERN, 2000, 100).transducer
+    for k in range(2000):
+        word = f"unheardof{k * 7919}ly".encode()
+        assert t.encode(word) == tuple(LIBRARY._encode_single_piece(word))
+    assert len(t.emitted) > 10 and all(type(x) is int for x in (*t.moves, *t.moves.values(), *t.fits))
+    assert all(type(key) is bytes for key in t.index)
+    assert len(t.states) < 2100 and len(t.fits) <= 2000
+
+
 def test_lookahead_is_bounded():
     """Tokens come out before a long match ends."""
     t = bpe.Transducer(ENCODER.transducer.ranks)
