@@ -12,8 +12,8 @@ pair of items meets in exactly one (i, j).
 
 A pair row is shuffled only if its pair can be frequent: a first pass counts the rows of
 ``BUCKETS`` hash buckets (each task brings at most one partial count a bucket, however many pairs
-it makes), and a bucket under ``min_count`` holds no frequent pair.  The buckets that reach it, at
-most BUCKETS numbers, go to every task, which keeps the pairs of these; the second pass
+it makes), and a bucket under ``min_count`` holds no frequent pair.  The buckets that reach it, as
+bits of at most BUCKETS / 64 words, go to every task, which keeps the pairs of these; the second pass
 counts them exactly, so a bucket that several rare pairs fill lets them through but into no result.
 """
 
@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 512
-#: Hash buckets of the first pass: a bound on its counts and on what is broadcast (a number each).
-BUCKETS = 1 << 20
+#: Hash buckets of the first pass: a bound on its counts and on what is broadcast (a bit each, 64 to a word).
+#: A bucket lets all its pairs through once a few rare ones fill it, so there are many.
+BUCKETS = 1 << 26
 
 
 def item_basket_counts(baskets: DataFrame, basket_col: str, item_col: str) -> DataFrame:
@@ -74,5 +75,8 @@ def possible_pairs(pairs: DataFrame, min_count: int, buckets: int = BUCKETS) ->
     if min_count <= 1:
         return pairs
     bucketed = pairs.withColumn("_bucket", F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets)))
-    full = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_count).select("_bucket")
-    return bucketed.join(F.broadcast(full), "_bucket", "left_semi").select("item_a", "item_b")
+    full = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_count)
+    words = full.groupBy(F.expr("shiftright(_bucket, 6)").alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_bucket & 63 as int))")).alias("_bits"))
+    met = bucketed.join(F.broadcast(words), F.expr("shiftright(_bucket, 6) = _word"))
+    return met.where("shiftright(_bits, cast(_bucket & 63 as int)) & 1L = 1L").select("item_a", "item_b")

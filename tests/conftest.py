@@ -30,6 +30,13 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def nothing_stays_cached(spark):
+    """A table that one module caches would replace the same plan in the next."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture
 def tmp_out():
     return tempfile.mkdtemp(prefix="cartwheel-test-out-")

@@ -3,10 +3,12 @@
 import contextlib
 import io
 import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from cartwheel.operators.pairs import possible_pairs
 from cartwheel.plans import intermediate, quality
 from cartwheel.registry import context
 from cartwheel.session import checkpoint_dir
@@ -103,3 +105,23 @@ def test_orphans_are_counted_by_row(spark):
     parent = spark.createDataFrame([(1,), (1,), (None,)], "k int")
     assert quality.relationships_failures(child, "k", parent, "k").collect()[0][0] == 2
     assert quality.relationships_failures(child.where("k = 1"), "k", parent, "k").collect()[0][0] == 0
+
+
+def test_stored_join_marks_each_order_and_product_once(spark, tmp_out):
+    folder = stored(spark, f"{tmp_out}/tables", TWICE)
+    plain, own = context(spark, folder), context(spark, folder, min_support_count=1)
+    quality.report(own, quality.checks_of("unique"))
+    pairs = intermediate.order_products(own)
+    assert "Exchange" not in plan(pairs)
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, intermediate.order_products(plain).collect()))
+    affinity = context(spark, folder, min_support_count=1).ref("fct_product_affinity")
+    assert sorted(map(str, own.ref("fct_product_affinity").collect())) == sorted(map(str, affinity.collect()))
+
+
+@pytest.mark.parametrize("buckets", [64, 100, 1 << 26])
+def test_bits_let_through_the_pairs_of_full_buckets(spark, buckets):
+    pairs = spark.createDataFrame([(a, b) for a in range(20) for b in range(a + 1, 20) for _ in range((a * b) % 4)], "item_a long, item_b long")
+    bucket = F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets))
+    rows = [tuple(r) for r in pairs.select("item_a", "item_b", bucket).collect()]
+    size = Counter(b for _, _, b in rows)
+    assert Counter(map(tuple, possible_pairs(pairs, 3, buckets).collect())) == Counter((a, b) for a, b, k in rows if size[k] >= 3)
