@@ -7,10 +7,12 @@ columns of any name never clash with the ones they add.
 
 from __future__ import annotations
 
+import gc
 import sys
 import uuid
 from collections.abc import Callable
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,8 +82,22 @@ class Kept(dict):
 
 
 def worker_cache(name: str, make: Callable):
-    """What ``make()`` returns, kept for the life of the Python worker."""
+    """What ``make()`` returns, kept by the Python worker while the tasks it runs ask for it.
+
+    Workers outlive stages, and an idle one holds its memory beside those at work: before something is
+    made, what no task of the present stage has asked for is let go (outside tasks all is kept).
+    """
     kept = sys.__dict__.setdefault("_cartwheel_llm_cache", {})
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
     if name not in kept:
-        kept[name] = make()
-    return kept[name]
+        old = [k for k, (_, asked) in kept.items() if asked != stage] if task else []
+        for k in old:
+            del kept[k]
+        if old:
+            gc.collect()  # encoders refer to themselves
+        kept[name] = make(), stage
+    value, asked = kept[name]
+    if asked != stage:
+        kept[name] = value, stage
+    return value
