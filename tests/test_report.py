@@ -2,12 +2,15 @@
 
 import contextlib
 import io
+import random
 import uuid
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from cartwheel.operators import pairs as pairing
 from cartwheel.operators.pairs import possible_pairs
 from cartwheel.plans import intermediate, quality
 from cartwheel.registry import context
@@ -125,3 +128,68 @@ def test_bits_let_through_the_pairs_of_full_buckets(spark, buckets):
     rows = [tuple(r) for r in pairs.select("item_a", "item_b", bucket).collect()]
     size = Counter(b for _, _, b in rows)
     assert Counter(map(tuple, possible_pairs(pairs, 3, buckets).collect())) == Counter((a, b) for a, b, k in rows if size[k] >= 3)
+
+
+class SomeIdsMissing:
+    """The sources of a context, with order items that have no id."""
+
+    def __init__(self, sources):
+        self.sources = sources
+
+    def __call__(self, name):
+        df = self.sources(name)
+        return df.withColumn("id", F.when(F.col("product_id") != 1, F.col("id"))) if name == "order_items" else df
+
+
+@pytest.mark.parametrize("more", [{}, TWICE], ids=["once", "twice"])
+def test_null_report_stores_no_whole_rows_of_which_it_reads_a_key(spark, tmp_out, more):
+    folder = stored(spark, f"{tmp_out}/tables", more)
+    checks = quality.checks_of("not_null")
+    own, plain = context(spark, folder), context(spark, folder)
+    own.sources, plain.sources = SomeIdsMissing(own.sources), SomeIdsMissing(plain.sources)
+    got = {r[:3]: r[3] for r in map(tuple, quality.report(own, checks).collect())}
+    assert own.materialized == {intermediate.JOINED_ITEMS, "fct_sessions"}
+    assert got == {r[:3]: r[3] for r in map(tuple, quality.run_checks(plain, checks).collect())} and len(got) == len(checks)
+    assert got["stg_order_items", "order_item_id", "not_null"] == got["int_order_items_enriched", "order_item_id", "not_null"] > 0
+    # the items' own columns are counted where they were stored, also the id
+    columns = ["order_item_id", *intermediate.KEPT_COLS]
+    assert "lineitem.parquet" not in plan(quality._frame(own, "stg_order_items", columns, columns))
+    assert "lineitem.parquet" in plan(quality._frame(own, "stg_order_items", columns))
+
+
+def test_null_report_counts_models_of_the_same_rows_in_one_job(spark, tmp_out, monkeypatch):
+    ctx, jobs = context(spark, stored(spark, f"{tmp_out}/tables", TWICE)), []
+    run = quality.run_checks
+    monkeypatch.setattr(quality, "run_checks", lambda ctx, checks: jobs.append({c[0] for c in checks}) or run(ctx, checks))
+    quality.report(ctx, quality.checks_of("not_null"))
+    for model, like in quality.ALIKE.items():
+        assert [j for j in jobs if model in j] == [j for j in jobs if like in j], model
+
+
+def test_report_cleans_its_shuffles_and_leaves_the_session_as_it_was(spark, tmp_out, monkeypatch):
+    ctx, seen = context(spark, stored(spark, f"{tmp_out}/tables", {})), []
+    before = spark.conf.get(quality.SHUFFLE_CLEANUP, None)
+    rows = quality.check_rows
+    monkeypatch.setattr(quality, "check_rows", lambda *a: seen.append(spark.conf.get(quality.SHUFFLE_CLEANUP)) or rows(*a))
+    quality.report(ctx, quality.checks_of("not_null")[:3])
+    assert seen == ["true"] and spark.conf.get(quality.SHUFFLE_CLEANUP, None) == before
+
+
+def test_first_pass_of_pairs_brings_about_a_byte_a_pair():
+    rnd = random.Random(5)
+    buckets = [rnd.randrange(1 << 22) for _ in range(40_000)] + [77] * 5_000 + [1 << 21] * 3 + [0] * 2
+    batches = [pa.RecordBatch.from_pydict({"_bucket": buckets[i::7]}) for i in range(7)]
+    packed = [b for k in range(2) for b in pairing.pack_buckets(3)(iter(batches[k::2]))]  # two tasks
+    assert sum(len(x) for b in packed for x in b.column(1).to_pylist()) < 2 * 40_000
+    rows = sorted(((s, d) for b in packed for s, d in zip(*[c.to_pylist() for c in b.columns])), key=lambda r: r[0])
+    met = [pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([d], pa.binary())], ["_section", "_distances"]) for s, d in rows]
+    full = {w * 64 + i for b in pairing.full_words(3)(iter(met)) for w, bits in zip(*[c.to_pylist() for c in b.columns])
+            for i in range(64) if bits >> i & 1}
+    assert full == {b for b, n in Counter(buckets).items() if n >= 3}
+
+
+def test_pairs_of_stored_baskets_move_no_row_to_drop_rare_items(spark, tmp_out):
+    spark.createDataFrame([(o, p) for o in range(40) for p in range(o % 5, 30, 7)], "o long, p long").write.parquet(f"{tmp_out}/baskets")
+    items = spark.read.parquet(f"{tmp_out}/baskets")
+    text = plan(pairing.frequent_pairs(items, "o", "p", 3))
+    assert "LeftSemi" not in text
