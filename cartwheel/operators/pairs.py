@@ -34,6 +34,8 @@ BLOCK = 512
 #: Hash buckets of the first pass: a bound on its counts and on what is broadcast (a bit each, 64 to a word).
 #: A bucket lets all its pairs through once a few rare ones fill it, so there are many.
 BUCKETS = 1 << 27
+#: Hash buckets of the items, fewer, as nearly all items may be kept: a bound on what is broadcast of them.
+ITEM_BUCKETS = 1 << 25
 #: Buckets that are counted together, and pairs that a task sorts at once.
 SECTION = 1 << 16
 SORTED_AT_ONCE = 1 << 22
@@ -68,8 +70,9 @@ def frequent_pairs(baskets: DataFrame, basket_col: str, item_col: str, min_count
     items = baskets.select(basket_col, item_col).where(F.col(basket_col).isNotNull() & F.col(item_col).isNotNull())
     if min_count > 1:
         counts = item_counts if item_counts is not None else item_basket_counts(items, basket_col, item_col)
-        kept = counts.where(F.col("basket_count") >= min_count).select(_bucket(item_col, buckets=buckets).alias("_bucket"))
-        items = in_buckets(items, _bucket(item_col, buckets=buckets), words_of(kept))
+        bucket = _bucket(item_col, buckets=min(buckets, ITEM_BUCKETS))
+        kept = counts.where(F.col("basket_count") >= min_count).select(bucket.alias("_bucket"))
+        items = in_buckets(items, bucket, words_of(kept))
     pairs = possible_pairs(basket_pairs(items, basket_col, item_col, block), min_count, buckets)
     return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("co_count")).where(F.col("co_count") >= min_count)
 
